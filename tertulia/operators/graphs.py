@@ -158,42 +158,48 @@ def closeness(edges: DataFrame) -> DataFrame:
 def betweenness(edges: DataFrame) -> DataFrame:
     """Share of shortest paths (by hops) through each node: ``(topic, term, betweenness)``; Brandes 2001 by levels.
 
-    Forward, every pair (source, node) not reached yet looks at the neighbours of the node that were reached in the last
-    round and adds up their path counts. Term graphs are dense, so few pairs are left after the first round and looking
-    back from them touches far fewer rows than pushing every reached pair forward. Backward, each level hands its
-    dependencies to the level before it.
+    Forward, every pair (source, node) not reached yet adds up the path counts of the node's neighbours that the source
+    reached in the last round. Backward, each level hands its dependencies to the level before it. Both are one sum over
+    a list of at most ``max_terms`` values per source against the node's row of the adjacency matrix, taken inside the
+    row: pairs become rows, the paths between them never do.
     """
     nodes, arcs = _numbered(edges)
-    sources = nodes.select("topic", F.col("id").alias("s"))
-    paths = F.lit(1.0).alias("paths")
-    levels = [
-        stage(sources.select("topic", "s", F.col("s").alias("v"), paths), "paths"),
-        stage(arcs.select("topic", F.col("u").alias("s"), "v", paths), "paths"),
-    ]
-    # the distance matrix itself: at most max_terms squared pairs per topic
-    pairs = sources.join(F.broadcast(nodes.select("topic", F.col("id").alias("v"))), "topic").where("s <> v")
-    rest = stage(pairs.join(levels[1], ["topic", "s", "v"], "left_anti"), "rest")
-    back = arcs.select("topic", "v", "u")
+    grid = nodes.select("topic", F.col("id").alias("s")).join(
+        F.broadcast(nodes.select("topic", F.col("id").alias("v"))), "topic"
+    )
+    linked = arcs.select("topic", F.col("u").alias("s"), "v", F.lit(1).cast("byte").alias("on"))
+    cells = grid.join(linked, ["topic", "s", "v"], "left").select(
+        "topic", "s", "v", F.coalesce("on", F.lit(0).cast("byte")).alias("on")
+    )
+    rows = cells.groupBy("topic", F.col("s").alias("v")).agg(F.array_sort(F.collect_list(F.struct("v", "on"))).alias("r"))
+    matrix = stage(rows.select("topic", "v", F.col("r.on").alias("row")), "adjacency")
+
+    def gather(pairs: DataFrame, values: DataFrame) -> DataFrame:
+        """For each pair (s, v) the sum of the ``value`` that ``values`` has for s at the neighbours of v."""
+        lists = values.groupBy("topic", "s").agg(F.collect_list(F.struct("v", "value")).alias("held"))
+        joined = pairs.join(lists, ["topic", "s"]).join(F.broadcast(matrix), ["topic", "v"])
+        add = lambda total, x: total + F.when(F.get("row", x.v) == 1, x.value).otherwise(F.lit(0.0))
+        return joined.select("topic", "s", "v", F.aggregate("held", F.lit(0.0), add).alias("value"))
+
+    levels = [stage(linked.select("topic", "s", "v", F.lit(1.0).alias("value")), "paths")]
+    rest = stage(cells.where("on = 0 and s <> v").select("topic", "s", "v"), "rest")
     while True:
-        seen = levels[-1].select("topic", "s", F.col("v").alias("u"), "paths")
-        found = rest.join(back, ["topic", "v"]).join(seen, ["topic", "s", "u"])
-        level = stage(found.groupBy("topic", "s", "v").agg(F.sum("paths").alias("paths")), "paths")
+        seen = stage(gather(rest, levels[-1]), "paths")
+        level = seen.where("value > 0")
         if level.isEmpty():
             break
         levels.append(level)
-        rest = stage(rest.join(level, ["topic", "s", "v"], "left_anti"), "rest")
+        rest = seen.where("value = 0").select("topic", "s", "v")
     zero = F.lit(0.0)
-    through = levels[-1].select("topic", "s", "v", "paths", zero.alias("share"))
+    share = levels[-1].withColumnRenamed("value", "paths").withColumn("share", zero)
     parts = []
-    for before in levels[-2:0:-1]:
-        out = through.select("topic", "s", "v", ((1 + F.col("share")) / F.col("paths")).alias("give"))
-        given = out.join(back, ["topic", "v"]).select("topic", "s", F.col("u").alias("v"), "give")
-        given = before.select("topic", "s", "v").join(given, ["topic", "s", "v"])
-        given = given.groupBy("topic", "s", "v").agg(F.sum("give").alias("give"))
-        share = F.coalesce(F.col("paths") * F.col("give"), zero).alias("share")
-        joined = before.join(given, ["topic", "s", "v"], "left").select("topic", "s", "v", "paths", share)
-        through = stage(joined, "dependencies")
-        parts.append(through.groupBy("topic", "v").agg(F.sum("share").alias("share")))
+    for before in levels[-2::-1]:
+        give = share.select("topic", "s", "v", ((1 + F.col("share")) / F.col("paths")).alias("value"))
+        given = gather(before.select("topic", "s", "v"), give).withColumnRenamed("value", "give")
+        paths = before.withColumnRenamed("value", "paths")
+        handed = F.coalesce(F.col("paths") * F.col("give"), zero).alias("share")
+        share = stage(paths.join(given, ["topic", "s", "v"], "left").select("topic", "s", "v", "paths", handed), "shares")
+        parts.append(share.groupBy("topic", "v").agg(F.sum("share").alias("share")))
     sizes = nodes.groupBy("topic").agg(F.count(F.lit(1)).alias("size"))
     out = nodes.join(F.broadcast(sizes), "topic").withColumnRenamed("id", "v")
     if not parts:
@@ -271,7 +277,7 @@ def break_cycles(edges: DataFrame) -> DataFrame:
         dropped = back if dropped is None else dropped.union(back)
         if fresh.isEmpty():
             break
-        seen = seen.union(fresh)
+        seen = seen.unionByName(fresh)
         front = fresh.join(back, ["topic", "word", "next_word"], "left_anti")
     return edges.join(dropped.distinct(), ["topic", "word", "next_word"], "left_anti")
 
