@@ -155,57 +155,70 @@ def closeness(edges: DataFrame) -> DataFrame:
     )
 
 
+def _push(batches: Iterator[pa.RecordBatch], links: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Values held at nodes, passed to the neighbours of those nodes: one matrix product per topic and batch."""
+    for batch in batches:
+        topics = batch.column(0).to_numpy()
+        sources = batch.column(1).to_numpy()
+        row = np.repeat(np.arange(len(topics)), batch.column(2).value_lengths().to_numpy())
+        at, value = batch.column(2).flatten().to_numpy(), batch.column(3).flatten().to_numpy()
+        for topic in np.unique(topics):
+            mine, matrix = topics[row] == topic, links[int(topic)]
+            held = np.zeros((len(topics), len(matrix)))
+            held[row[mine], at[mine]] = value[mine]
+            passed = held @ matrix
+            s, v = np.nonzero(passed)
+            ids = [np.full(len(s), topic, np.int32), sources[s].astype(np.int32), v.astype(np.int32)]
+            yield pa.record_batch([pa.array(c) for c in [*ids, passed[s, v]]], names=["topic", "s", "v", "value"])
+
+
 def betweenness(edges: DataFrame) -> DataFrame:
     """Share of shortest paths (by hops) through each node: ``(topic, term, betweenness)``; Brandes 2001 by levels.
 
-    Forward, every pair (source, node) not reached yet adds up the path counts of the node's neighbours that the source
-    reached in the last round. Backward, each level hands its dependencies to the level before it. Both are one sum over
-    a list of at most ``max_terms`` values per source against the node's row of the adjacency matrix, taken inside the
-    row: pairs become rows, the paths between them never do.
+    Forward, the nodes a source reached in the last round pass their path counts to their neighbours; pairs seen before
+    are taken out. Backward, each level hands its dependencies to the level before it. Spark keeps the pairs and levels;
+    each task multiplies its sources' values with the 0/1 neighbour matrix of the topic, ``max_terms`` wide at most.
     """
     nodes, arcs = _numbered(edges)
-    grid = nodes.select("topic", F.col("id").alias("s")).join(
-        F.broadcast(nodes.select("topic", F.col("id").alias("v"))), "topic"
-    )
-    linked = arcs.select("topic", F.col("u").alias("s"), "v", F.lit(1).cast("byte").alias("on"))
-    cells = grid.join(linked, ["topic", "s", "v"], "left").select(
-        "topic", "s", "v", F.coalesce("on", F.lit(0).cast("byte")).alias("on")
-    )
-    rows = cells.groupBy("topic", F.col("s").alias("v")).agg(F.array_sort(F.collect_list(F.struct("v", "on"))).alias("r"))
-    matrix = stage(rows.select("topic", "v", F.col("r.on").alias("row")), "adjacency")
-
-    def gather(pairs: DataFrame, values: DataFrame) -> DataFrame:
-        """For each pair (s, v) the sum of the ``value`` that ``values`` has for s at the neighbours of v."""
-        lists = values.groupBy("topic", "s").agg(F.collect_list(F.struct("v", "value")).alias("held"))
-        joined = pairs.join(lists, ["topic", "s"]).join(F.broadcast(matrix), ["topic", "v"])
-        add = lambda total, x: total + F.when(F.get("row", x.v) == 1, x.value).otherwise(F.lit(0.0))
-        return joined.select("topic", "s", "v", F.aggregate("held", F.lit(0.0), add).alias("value"))
-
-    levels = [stage(linked.select("topic", "s", "v", F.lit(1.0).alias("value")), "paths")]
-    rest = stage(cells.where("on = 0 and s <> v").select("topic", "s", "v"), "rest")
+    spark, parts = edges.sparkSession, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # at most max_terms rows of at most max_terms numbers per topic
+    near = arcs.groupBy("topic", "u").agg(F.collect_list("v").alias("near")).collect()
+    sizes = {r.topic: r.n for r in nodes.groupBy("topic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    links = {topic: np.zeros((n, n), bool) for topic, n in sizes.items()}
+    for r in near:
+        links[r.topic][r.u, r.near] = True
+    shared = spark.sparkContext.broadcast(links)
+
+    def push(values: DataFrame) -> DataFrame:
+        """For each source the sum of ``value`` that nodes receive from their neighbours."""
+        held = F.collect_list("v").alias("at"), F.collect_list("value").alias("value")
+        lists = values.repartition(parts, "topic", "s").groupBy("topic", "s").agg(*held)
+        return lists.mapInArrow(lambda b: _push(b, shared.value), "topic int, s int, v int, value double")
+
+    on = ["topic", "s", "v"]
+    levels = [stage(arcs.select("topic", F.col("u").alias("s"), "v", F.lit(1.0).alias("value")), "paths")]
+    seen = levels[0].select(on).union(nodes.select("topic", F.col("id").alias("s"), F.col("id").alias("v")))
     while True:
-        seen = stage(gather(rest, levels[-1]), "paths")
-        level = seen.where("value > 0")
+        level = stage(push(levels[-1]).join(seen, on, "left_anti"), "paths")
         if level.isEmpty():
             break
         levels.append(level)
-        rest = seen.where("value = 0").select("topic", "s", "v")
+        seen = seen.union(level.select(on))
     zero = F.lit(0.0)
     share = levels[-1].withColumnRenamed("value", "paths").withColumn("share", zero)
-    parts = []
+    shares = []
     for before in levels[-2::-1]:
-        give = share.select("topic", "s", "v", ((1 + F.col("share")) / F.col("paths")).alias("value"))
-        given = gather(before.select("topic", "s", "v"), give).withColumnRenamed("value", "give")
-        paths = before.withColumnRenamed("value", "paths")
-        handed = F.coalesce(F.col("paths") * F.col("give"), zero).alias("share")
-        share = stage(paths.join(given, ["topic", "s", "v"], "left").select("topic", "s", "v", "paths", handed), "shares")
-        parts.append(share.groupBy("topic", "v").agg(F.sum("share").alias("share")))
+        give = share.select(*on, ((1 + F.col("share")) / F.col("paths")).alias("value"))
+        paths, given = before.withColumnRenamed("value", "paths"), push(give)
+        handed = F.coalesce(F.col("paths") * F.col("value"), zero).alias("share")
+        share = stage(paths.join(given, on, "left").select(*on, "paths", handed), "shares")
+        shares.append(share.groupBy("topic", "v").agg(F.sum("share").alias("share")))
     sizes = nodes.groupBy("topic").agg(F.count(F.lit(1)).alias("size"))
     out = nodes.join(F.broadcast(sizes), "topic").withColumnRenamed("id", "v")
-    if not parts:
+    if not shares:
         return out.select("topic", "term", zero.alias("betweenness"))
-    total = parts[0]
-    for part in parts[1:]:
+    total = shares[0]
+    for part in shares[1:]:
         total = total.union(part)
     total = total.groupBy("topic", "v").agg(F.sum("share").alias("share"))
     scale = (F.col("size") - 1) * (F.col("size") - 2)
