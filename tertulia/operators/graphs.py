@@ -309,7 +309,7 @@ def topic_story(edges: DataFrame, steps: int = 4) -> DataFrame:
         now = state.agg(F.sum("level")).first()[0] or 0
         if now == before:
             return state
-        if rounds * steps > most:
+        if (rounds - 1) * steps >= most:
             raise ValueError("the graph has a cycle; call break_cycles first")
         before, rounds = now, rounds + 1
         for _ in range(steps):

@@ -29,17 +29,24 @@ def topic_timeline(df: DataFrame, grain: str | None = None, topic: str = "topic"
     return df.groupBy(when, topic).agg(F.count("author").alias("author"))
 
 
-def explode_words(df: DataFrame, topic: str = "topic") -> DataFrame:
-    """One row per word of each post; ``processed`` is the joined text."""
-    present = df.dropna("any", subset=["date", topic, "processed"])
-    return present.select("date", topic, "processed", F.explode(split_tokens(F.col("processed"))).alias("word"))
+CARRIED = ("date", "topic", "processed")
 
 
-def words_topic_timeline(df: DataFrame, topic: str = "topic") -> DataFrame:
+def explode_words(df: DataFrame, carry: tuple[str, ...] = CARRIED, column: str = "processed") -> DataFrame:
+    """One row per word of each post; ``column`` is the joined text.
+
+    The published table repeats the whole text on every row. Where only the words matter, ``carry`` the post's key in
+    its place: rows then stay small whatever the length of the posts.
+    """
+    present = df.dropna("any", subset=[*carry, column])
+    return present.select(*carry, F.explode(split_tokens(F.col(column))).alias("word"))
+
+
+def words_topic_timeline(df: DataFrame, carry: tuple[str, ...] = CARRIED, column: str = "processed") -> DataFrame:
     """Like :func:`explode_words`, plus one row with an empty word per post, as the published table has it."""
-    present = df.dropna("any", subset=["date", topic, "processed"])
-    words = F.concat(split_tokens(F.col("processed")), F.array(F.lit("")))
-    return present.select("date", topic, "processed", F.explode(words).alias("word"))
+    present = df.dropna("any", subset=[*carry, column])
+    words = F.concat(split_tokens(F.col(column)), F.array(F.lit("")))
+    return present.select(*carry, F.explode(words).alias("word"))
 
 
 def topic_word_count(df: DataFrame, topic: str = "topic") -> DataFrame:

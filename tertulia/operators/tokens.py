@@ -109,7 +109,7 @@ def lemma_pos_filter(
     forms = lexicon.groupBy("form").agg(F.min(F.struct("pos", "lemma")).alias("_entry"))
     forms = forms.select("form", F.col("_entry.pos").alias("_pos"), F.col("_entry.lemma").alias("_lemma"))
     placed = df.select(key, column).repartition(key)
-    exploded = placed.select(key, F.posexplode(column).alias("_at", "form"))
+    exploded = placed.select(key, F.posexplode_outer(column).alias("_at", "form")).where("form is not null")
     known = lookup_join(exploded, forms, ["form"], "left", key)
     kept = known.where(F.col("_pos").isNull() | F.col("_pos").isin(pos or KEPT_POS))
     word = F.coalesce("_lemma", "form").alias("w")
@@ -127,16 +127,28 @@ def process_words(
     column: str = "processed",
     key: str = "post_id",
 ) -> DataFrame:
-    """Stop words, phrases, lexicon, length filter, stop words again: the final token list of each post."""
+    """Stop words, phrases, lexicon, length filter, stop words again: the final token list of each post.
+
+    The lists come from :func:`clean_posts`, whose tokens already have the allowed lengths.
+    """
     if phrases is not None:
-        df = apply_phrases(remove_stopwords(retokenize(df, column), stop_words, column), phrases, column, key)
+        df = apply_phrases(remove_stopwords(df, stop_words, column), phrases, column, key)
     if lexicon is not None:
         df = lemma_pos_filter(df, lexicon, None, column, key)
     return remove_stopwords(retokenize(df, column), stop_words, column)
 
 
+def each_token(df: DataFrame, *keep: str, column: str = "processed", name: str = "word") -> DataFrame:
+    """One row per token, with the ``keep`` columns.
+
+    A plain ``explode`` of a column makes the optimizer filter on the column's size, and that filter moves below the
+    projection and cleans every text a second time. The outer form with a check of the result does not.
+    """
+    return df.select(*keep, F.explode_outer(column).alias(name)).where(F.col(name).isNotNull())
+
+
 def word_count(df: DataFrame, column: str = "processed") -> DataFrame:
-    words = df.select(F.explode(column).alias("word"))
+    words = each_token(df, column=column)
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -152,7 +164,7 @@ def vocabulary(df: DataFrame, column: str = "processed") -> DataFrame:
 
 def bag_of_words(df: DataFrame, column: str = "processed", key: str = "post_id") -> DataFrame:
     """``(post, term, n)``. Whole posts are partitioned once; counting inside a post then needs no shuffle."""
-    words = df.select(key, column).repartition(key).select(key, F.explode(column).alias("term"))
+    words = each_token(df.select(key, column).repartition(key), key, column=column, name="term")
     return words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tertulia.functions.words import stopword_list
 from tertulia.operators.tokens import clean_posts, word_count
+from tertulia.sources.files import spread_out
 
 NETWORKS = ["click", "purchase", "view"]
 EXTRA_STOP = ["mas", "asi", "aca"]
@@ -18,7 +19,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``content`` and ``content_tagged`` lack text on some rows, for the operators that deal with missing text;
     ``full_text`` is the text of every document. ``topic`` stands in for a model's topic.
     """
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumnRenamed("doc_id", "post_id")
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    d = spread_out(d.withColumnRenamed("doc_id", "post_id"), "post_id")
     e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_id", "post_id")
     p = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumnRenamed("page_id", "post_id").select("post_id", "url")
     joined = d.join(e, "post_id", "left").join(p, "post_id", "left")

@@ -82,13 +82,9 @@ def skip_bad_lines(spark, sf_dir):
         .when(F.col("country") == "es", F.col("post_id").cast("string"))
         .otherwise(F.concat_ws(",", "post_id", "domain_group", "type"))
     )
-    rows = fx.posts(spark, sf_dir).select(line.alias("line"))
-    header = spark.range(1).select(F.lit("post_id,domain_group,type").alias("line"))
-    # every part of the output is a file with its own header
-    parts = rows.withColumn("part", F.pmod(F.xxhash64("line"), F.lit(4)))
-    heads = header.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))))
-    both = heads.withColumn("at", F.lit(0)).unionByName(parts.withColumn("at", F.lit(1)))
-    both.repartition(4, "part").sortWithinPartitions("part", "at").select("line", "part").write.partitionBy("part").text(path)
+    # one column that holds whole lines, written with a separator that no line has
+    lines = fx.posts(spark, sf_dir).select(line.alias("post_id,domain_group,type"))
+    lines.write.option("header", True).option("sep", "\u0001").csv(path)
     return files.scan_csv_tolerant(spark, path).select("post_id", "domain_group", "type")
 
 
@@ -313,7 +309,7 @@ def word_count(spark, sf_dir):
 
 def _topic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(topic, word, n)``: word counts stand in for a model's weights."""
-    words = fx.tokens(spark, sf_dir).select("topic", F.explode("processed").alias("word"))
+    words = tk.each_token(fx.tokens(spark, sf_dir), "topic")
     return timeline.topic_word_count(words)
 
 
@@ -347,18 +343,20 @@ def doc_freq(spark, sf_dir):
 
 @query
 def top_words_per_topic(spark, sf_dir):
-    words = fx.tokens(spark, sf_dir).select("topic", F.explode("processed").alias("word"))
+    words = tk.each_token(fx.tokens(spark, sf_dir), "topic")
     return timeline.top_words_per_topic(words)
 
 
+def _timeline_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Joined tokens, cleaned once and stored; a digest of the text stands for it in the long tables."""
+    joined = fx.joined_text(spark, sf_dir).withColumnRenamed("processed", "words")
+    return stage(joined.select("date", "topic", "words", F.md5("words").alias("processed")), "joined")
+
+
 @query
 def words_timeline_topic(spark, sf_dir):
-    # a few words per topic are kept of a long table: its text is cleaned once and stored
-    joined = stage(fx.joined_text(spark, sf_dir), "joined")
-    rows = timeline.words_topic_timeline(joined)
-    top = timeline.top_words_per_topic(rows)
-    kept = timeline.words_timeline_topic(rows, top)
-    return kept.select("date", "topic", F.md5("processed").alias("processed"), "word")
+    rows = timeline.words_topic_timeline(_timeline_text(spark, sf_dir), column="words")
+    return timeline.words_timeline_topic(rows, timeline.top_words_per_topic(rows))
 
 
 @query
@@ -389,7 +387,7 @@ def join_topic_mix(spark, sf_dir):
 @query
 def join_word_count(spark, sf_dir):
     tokens = stage(fx.tokens(spark, sf_dir), "tokens")
-    words = timeline.topic_word_count(tokens.select("topic", F.explode("processed").alias("word")))
+    words = timeline.topic_word_count(tk.each_token(tokens, "topic"))
     terms = timeline.top_per_topic(words, 25).withColumnRenamed("n", "weight")
     joined = relevance.word_relevance(terms, tk.word_count(tokens))
     return joined.select(F.col("topic_id").alias("topic"), "word", F.col("word_count").alias("n"))
@@ -398,7 +396,7 @@ def join_word_count(spark, sf_dir):
 @query
 def semi_join_top_words(spark, sf_dir):
     tokens = stage(fx.tokens(spark, sf_dir), "tokens")
-    words = tokens.select("post_id", "topic", F.explode("processed").alias("word"))
+    words = tk.each_token(tokens, "post_id", "topic")
     return timeline.words_timeline_topic(words, timeline.top_words_per_topic(words)).select("post_id", "topic", "word")
 
 
@@ -596,14 +594,12 @@ def binary_terms(spark, sf_dir):
 
 @query
 def explode_words(spark, sf_dir):
-    rows = timeline.explode_words(fx.joined_text(spark, sf_dir))
-    return rows.select("date", "topic", F.md5("processed").alias("processed"), "word")
+    return timeline.explode_words(_timeline_text(spark, sf_dir), column="words")
 
 
 @query
 def words_topic_timeline(spark, sf_dir):
-    rows = timeline.words_topic_timeline(fx.joined_text(spark, sf_dir))
-    return rows.select("date", "topic", F.md5("processed").alias("processed"), "word")
+    return timeline.words_topic_timeline(_timeline_text(spark, sf_dir), column="words")
 
 
 @query
@@ -680,7 +676,7 @@ def topic_projection_2d(spark, sf_dir):
 @query
 def coherence_cv(spark, sf_dir):
     tokens = stage(fx.tokens(spark, sf_dir), "tokens")
-    words = timeline.topic_word_count(tokens.select("topic", F.explode("processed").alias("word")))
+    words = timeline.topic_word_count(tk.each_token(tokens, "topic"))
     return _rounded(co.coherence_by_topic(tokens, stage(timeline.top_per_topic(words, 20), "terms")), "coherence")
 
 
@@ -697,7 +693,7 @@ def select_k(spark, sf_dir):
 @query
 def word_relevance(spark, sf_dir):
     tokens = stage(fx.tokens(spark, sf_dir), "tokens")
-    words = timeline.topic_word_count(tokens.select("topic", F.explode("processed").alias("word")))
+    words = timeline.topic_word_count(tk.each_token(tokens, "topic"))
     terms = timeline.top_per_topic(words, 25).withColumn("weight", F.col("n").cast("double")).drop("n")
     return relevance.word_relevance(terms, tk.word_count(tokens))
 
@@ -790,7 +786,7 @@ def parse_topic_names(spark, sf_dir):
 def visual_payload(spark, sf_dir):
     tokens, vocab, edges = _term_graph(spark, sf_dir)
     edges = stage(edges, "edges")
-    words = timeline.topic_word_count(tokens.select("topic", F.explode("processed").alias("word")))
+    words = timeline.topic_word_count(tk.each_token(tokens, "topic"))
     weights = timeline.top_per_topic(words, 25).withColumnRenamed("n", "weight")
     nodes = graphs.graph_nodes(vocab, graphs.closeness(edges), graphs.betweenness(edges))
     top = stage(graphs.top_sqrt_edges(graphs.adjacent_words(tokens)), "top-edges")

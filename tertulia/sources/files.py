@@ -40,24 +40,31 @@ def _reader(spark: SparkSession, sep: str, multiline: bool):
     )
 
 
+def _with_fields(spark: SparkSession, path: str, sep: str, multiline: bool) -> tuple[DataFrame, int]:
+    """Rows with the number of fields of those that differ from the header (``_fields``, else null), and the header's number."""
+    names = _reader(spark, sep, multiline).csv(path).columns
+    schema = T.StructType([T.StructField(n, _TEXT) for n in [*names, "_raw"]])
+    reader = _reader(spark, sep, multiline).schema(schema).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", "_raw").csv(path)
+    unquoted = F.regexp_replace("_raw", F.lit('"[^"]*"'), F.lit(""))
+    separators = (F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit("")))) / len(sep)
+    return rows.withColumn("_fields", (separators + 1).cast("int")).drop("_raw"), len(names)
+
+
 def scan_csv_tolerant(spark: SparkSession, path: str, sep: str = ",", multiline: bool = True) -> DataFrame:
     """Like :func:`scan_csv`, but lines with too many fields are left out; short lines are filled with nulls.
 
-    One more column than the header catches the first surplus field. An empty field reads as empty text here and a
-    missing one as null, so the catcher is null exactly on lines that are not too long.
+    The reader hands over the raw text of lines whose number of fields is not the header's; separators outside quotes
+    tell the long ones from the short ones.
     """
-    names = _reader(spark, sep, multiline).csv(path).columns
-    schema = T.StructType([T.StructField(n, _TEXT) for n in [*names, "_surplus"]])
-    rows = _reader(spark, sep, multiline).schema(schema).option("nullValue", "\u0001").option("emptyValue", "").csv(path)
-    return empty_to_null(rows.where("_surplus is null").drop("_surplus"))
+    rows, width = _with_fields(spark, path, sep, multiline)
+    return rows.where(F.col("_fields").isNull() | (F.col("_fields") <= width)).drop("_fields")
 
 
 def count_skipped(spark: SparkSession, path: str, sep: str = ",", multiline: bool = True) -> int:
     """How many lines :func:`scan_csv_tolerant` leaves out."""
-    names = _reader(spark, sep, multiline).csv(path).columns
-    schema = T.StructType([T.StructField(n, _TEXT) for n in [*names, "_surplus"]])
-    rows = _reader(spark, sep, multiline).schema(schema).option("nullValue", "\u0001").option("emptyValue", "").csv(path)
-    return rows.where("_surplus is not null").count()
+    rows, width = _with_fields(spark, path, sep, multiline)
+    return rows.where(F.col("_fields") > width).count()
 
 
 def empty_to_null(df: DataFrame) -> DataFrame:
@@ -71,6 +78,16 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def spread_out(table: DataFrame, key: str) -> DataFrame:
+    """Give a stored table that lies in fewer parts than there are cores one part per core.
+
+    Text cleaning is all processor time, so a small table in one file would keep one core busy. Tables with enough parts
+    are left as they are and not shuffled. ``table`` must be a plain scan: its parts are known without running it.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+
+
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
