@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tertulia.functions.sequences import adjacent
 from tertulia.operators.timeline import doc_freq, top_per_topic
-from tertulia.session import stage
+from tertulia.session import few_parts, stage
 
 MAX_TERMS = 500
 
@@ -28,64 +28,54 @@ def topic_vocabulary(df: DataFrame, max_terms: int = MAX_TERMS, column: str = "p
     return top_per_topic(doc_freq(lowered, column=column), max_terms, by="df", word="term").drop("rank")
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pair_counts(batches: Iterator[pa.RecordBatch], terms: dict[int, dict[str, int]]) -> Iterator[pa.RecordBatch]:
     """Posts holding both terms, per topic, summed over one task with a 0/1 matrix product."""
-    ids: dict[int, dict[str, int]] = {}
-    sums: dict[int, np.ndarray] = {}
+    sums = {topic: np.zeros((len(ids), len(ids))) for topic, ids in terms.items()}
     for batch in batches:
-        topics = batch.column(0).to_numpy(zero_copy_only=False)
-        lists = batch.column(1)
+        topics, lists = batch.column(0).to_numpy(), batch.column(1)
         words = lists.flatten().dictionary_encode()
-        names = words.dictionary.to_pylist()
-        index = words.indices.to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(len(topics)), lists.value_lengths().to_numpy(zero_copy_only=False))
-        for topic in np.unique(topics):
-            known = ids.setdefault(int(topic), {})
-            mine = topics[row] == topic
-            code = np.zeros(len(names), np.int64)
-            for i in np.unique(index[mine]):
-                code[i] = known.setdefault(names[i], len(known))
-            total = sums.get(int(topic), np.zeros((0, 0)))
-            total = np.pad(total, (0, len(known) - len(total)))
+        names, index = words.dictionary.to_pylist(), words.indices.to_numpy()
+        row = np.repeat(np.arange(len(topics)), lists.value_lengths().to_numpy())
+        for topic in np.unique(topics).tolist():
+            ids, mine = terms[topic], topics[row] == topic
+            code = np.array([ids.get(name, -1) for name in names], np.int64)
             at, col = row[mine], code[index[mine]]
             for low in range(0, len(topics), 2048):
                 inside = (at >= low) & (at < low + 2048)
                 if inside.any():
-                    seen = np.zeros((2048, len(known)), np.float32)
+                    seen = np.zeros((2048, len(ids)), np.float32)
                     seen[at[inside] - low, col[inside]] = 1
-                    total += seen.T @ seen
-            sums[int(topic)] = total
+                    sums[topic] += seen.T @ seen
     for topic, total in sums.items():
-        label = np.array(sorted(ids[topic], key=ids[topic].get), dtype=object)
-        a, b = np.nonzero(total)
-        ordered = label[a] < label[b]
-        a, b = a[ordered], b[ordered]
-        yield pa.record_batch(
-            {
-                "topic": pa.array(np.full(len(a), topic), pa.int32()),
-                "src": pa.array(label[a], pa.string()),
-                "dst": pa.array(label[b], pa.string()),
-                "co": pa.array(total[a, b].astype(np.int64), pa.int64()),
-            }
-        )
+        a, b = np.nonzero(np.triu(total, 1))
+        numbers = [np.full(len(a), topic), a, b]
+        columns = [pa.array(c.astype(np.int32)) for c in numbers] + [pa.array(total[a, b].astype(np.int64))]
+        yield pa.record_batch(columns, names=["topic", "a", "b", "co"])
 
 
 def term_cosine_edges(df: DataFrame, vocab: DataFrame, column: str = "processed") -> DataFrame:
     """Cosine of the 0/1 post vectors of each two vocabulary terms of a topic that share a post: ``src < dst``.
 
     The vocabulary of a topic (``max_terms`` at most) travels to the posts as one array. Each task adds its posts up in
-    one matrix per topic; pairs of terms become rows only after that, and only their sums are shuffled.
+    one matrix per topic; pairs of terms become rows only after that, and only their sums are shuffled, by number.
     """
+    terms: dict[int, dict[str, int]] = {}
+    for r in vocab.select("topic", "term").orderBy("topic", "term").collect():
+        ids = terms.setdefault(r.topic, {})
+        ids[r.term] = len(ids)
+    shared = df.sparkSession.sparkContext.broadcast(terms)
     lists = vocab.groupBy("topic").agg(F.collect_set("term").alias("_vocab"))
     lowered = F.array_distinct(F.transform(F.col(column), F.lower))
     posts = df.join(F.broadcast(lists), "topic").select(
         F.col("topic").cast("int").alias("topic"), F.array_intersect(lowered, F.col("_vocab")).alias("terms")
     )
-    pairs = posts.mapInArrow(_pair_counts, "topic int, src string, dst string, co long")
-    counts = pairs.groupBy("topic", "src", "dst").agg(F.sum("co").alias("co"))
-    a = F.broadcast(vocab.select("topic", F.col("term").alias("src"), F.col("df").alias("df_a")))
-    b = F.broadcast(vocab.select("topic", F.col("term").alias("dst"), F.col("df").alias("df_b")))
-    weighted = counts.join(a, ["topic", "src"]).join(b, ["topic", "dst"])
+    pairs = few_parts(posts).mapInArrow(lambda b: _pair_counts(b, shared.value), "topic int, a int, b int, co long")
+    counts = pairs.groupBy("topic", "a", "b").agg(F.sum("co").alias("co"))
+    place = F.row_number().over(Window.partitionBy("topic").orderBy("term")) - 1
+    known = vocab.select(F.col("topic").cast("int").alias("topic"), "term", "df", place.alias("id"))
+    left = F.broadcast(known.select("topic", F.col("id").alias("a"), F.col("term").alias("src"), F.col("df").alias("df_a")))
+    right = F.broadcast(known.select("topic", F.col("id").alias("b"), F.col("term").alias("dst"), F.col("df").alias("df_b")))
+    weighted = counts.join(left, ["topic", "a"]).join(right, ["topic", "b"])
     return weighted.select("topic", "src", "dst", (F.col("co") / F.sqrt(F.col("df_a") * F.col("df_b"))).alias("weight"))
 
 
@@ -263,15 +253,13 @@ def break_cycles(edges: DataFrame) -> DataFrame:
     head leads back to its tail over heavier edges only. All edges search at once, one step per round, and an edge that
     found its way back stops. Equal weights are ordered by the words.
     """
-    e = stage(edges.select("topic", "word", "next_word", "n"), "story-edges")
-    while True:
-        # an edge whose tail has no way in or whose head has no way out lies on no cycle
+    e = edges.select("topic", "word", "next_word", "n")
+    for _ in range(2):
+        # an edge whose tail has no way in or whose head has no way out lies on no cycle and need not search
         heads = e.select("topic", F.col("next_word").alias("word")).distinct()
         tails = e.select("topic", F.col("word").alias("next_word")).distinct()
-        core = stage(e.join(heads, ["topic", "word"], "left_semi").join(tails, ["topic", "next_word"], "left_semi"), "core")
-        if core.count() == e.count():
-            break
-        e = core
+        e = e.join(heads, ["topic", "word"], "left_semi").join(tails, ["topic", "next_word"], "left_semi")
+    e = stage(e, "core")
     heavier = (F.col("h.n") > F.col("r.n")) | (
         (F.col("h.n") == F.col("r.n"))
         & (F.struct("h.word", "h.next_word") < F.struct("r.word", "r.next_word"))

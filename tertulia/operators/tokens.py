@@ -55,28 +55,40 @@ def retokenize(df: DataFrame, column: str = "processed") -> DataFrame:
     return df.withColumn(column, text.retokenize(F.col(column)))
 
 
+def _followers(df: DataFrame, column: str) -> DataFrame:
+    """Counts ``(a, b, n)`` of each word with the word after it; ``b`` is null where ``a`` ends a post."""
+    tokens = F.col(column)
+    following = F.arrays_zip(tokens.alias("a"), F.slice(tokens, F.lit(2), F.size(tokens)).alias("b"))
+    links = df.select(F.explode(following).alias("u")).select("u.a", "u.b")
+    return links.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _words_and_pairs(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every use of a word is in one of its links, so the word counts are sums over the much shorter table of links."""
+    return links.groupBy("a").agg(F.sum("n").alias("n")), links.where("b is not null")
+
+
 def phrase_counts(df: DataFrame, column: str = "processed") -> DataFrame:
     """Counts ``(a, b, n)`` of words (``b`` null) and of adjacent pairs, from one pass over the tokens."""
-    single = F.transform(F.col(column), lambda t: F.struct(t.alias("a"), F.lit(None).cast("string").alias("b")))
-    units = df.select(F.explode(F.concat(single, adjacent(F.col(column)))).alias("u")).select("u.a", "u.b")
-    return units.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    words, pairs = _words_and_pairs(_followers(df, column))
+    return words.select("a", F.lit(None).cast("string").alias("b"), "n").unionByName(pairs)
 
 
 def phrase_model(df: DataFrame, min_count: int = 5, threshold: float = 20.0, column: str = "processed") -> DataFrame:
     """Pairs worth merging: ``(n_ab - min_count) / (n_a * n_b) * V`` above ``threshold`` (Mikolov et al. 2013).
 
-    ``V`` is the number of distinct words plus distinct pairs. The counts are written once: ``V`` is then a footer count,
-    and the pairs that can pass (``n_ab > min_count``) are a filter on the stored table. They meet the word counts in
-    two joins on unique keys, whose skewed partitions the adaptive plan splits.
+    ``V`` is the number of distinct words plus distinct pairs. The counts are written once: the pairs that can pass
+    (``n_ab > min_count``) are then a filter on the stored table. They meet the word counts in two joins on unique keys,
+    whose skewed partitions the adaptive plan splits.
     """
-    counts = stage(phrase_counts(df, column), "phrase-counts")
-    size = counts.count()
-    words = counts.where("b is null")
-    pairs = counts.where(F.col("b").isNotNull() & (F.col("n") > min_count))
+    links = stage(_followers(df, column), "followers")
+    words, pairs = _words_and_pairs(links)
+    words = stage(words, "words")
+    size = words.count() + pairs.count()
     left = words.select("a", F.col("n").alias("n_a"))
     right = words.select(F.col("a").alias("b"), F.col("n").alias("n_b"))
     score = (F.col("n") - min_count) / (F.col("n_a") * F.col("n_b")) * F.lit(float(size))
-    scored = pairs.join(left, "a").join(right, "b").withColumn("score", score)
+    scored = pairs.where(F.col("n") > min_count).join(left, "a").join(right, "b").withColumn("score", score)
     return scored.where(F.col("score") > threshold).select("a", "b", "n", "score")
 
 

@@ -119,7 +119,8 @@ def write_processed(df: DataFrame, path: str, mode: str = "errorifexists", csv:
     """The processed posts: Parquet with token arrays; with ``csv`` also as text, tokens joined by blanks."""
     df.write.mode(mode).parquet(f"{path}/df_processed.parquet")
     if csv:
-        joined = df.withColumn("processed", F.array_join("processed", " "))
+        stored = df.sparkSession.read.schema(df.schema).parquet(f"{path}/df_processed.parquet")
+        joined = stored.withColumn("processed", F.array_join("processed", " "))
         write_csv(joined, f"{path}/df_processed.csv", mode)
 
 
