@@ -72,7 +72,8 @@ def term_cosine_edges(df: DataFrame, vocab: DataFrame, column: str = "processed"
     pairs = few_parts(posts).mapInArrow(lambda b: _pair_counts(b, shared.value), "topic int, a int, b int, co long")
     counts = pairs.groupBy("topic", "a", "b").agg(F.sum("co").alias("co"))
     place = F.row_number().over(Window.partitionBy("topic").orderBy("term")) - 1
-    known = vocab.select(F.col("topic").cast("int").alias("topic"), "term", "df", place.alias("id"))
+    df_term = F.col("df").cast("double").alias("df")
+    known = vocab.select(F.col("topic").cast("int").alias("topic"), "term", df_term, place.alias("id"))
     left = F.broadcast(known.select("topic", F.col("id").alias("a"), F.col("term").alias("src"), F.col("df").alias("df_a")))
     right = F.broadcast(known.select("topic", F.col("id").alias("b"), F.col("term").alias("dst"), F.col("df").alias("df_b")))
     weighted = counts.join(left, ["topic", "a"]).join(right, ["topic", "b"])
@@ -170,7 +171,8 @@ def betweenness(edges: DataFrame) -> DataFrame:
     each task multiplies its sources' values with the 0/1 neighbour matrix of the topic, ``max_terms`` wide at most.
     """
     nodes, arcs = _numbered(edges)
-    spark, parts = edges.sparkSession, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = edges.sparkSession
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     # at most max_terms rows of at most max_terms numbers per topic
     near = arcs.groupBy("topic", "u").agg(F.collect_list("v").alias("near")).collect()
     sizes = {r.topic: r.n for r in nodes.groupBy("topic").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -85,8 +85,9 @@ def phrase_model(df: DataFrame, min_count: int = 5, threshold: float = 20.0, col
     words, pairs = _words_and_pairs(links)
     words = stage(words, "words")
     size = words.count() + pairs.count()
-    left = words.select("a", F.col("n").alias("n_a"))
-    right = words.select(F.col("a").alias("b"), F.col("n").alias("n_b"))
+    # as doubles: the product of two large counts does not fit a long
+    left = words.select("a", F.col("n").cast("double").alias("n_a"))
+    right = words.select(F.col("a").alias("b"), F.col("n").cast("double").alias("n_b"))
     score = (F.col("n") - min_count) / (F.col("n_a") * F.col("n_b")) * F.lit(float(size))
     scored = pairs.where(F.col("n") > min_count).join(left, "a").join(right, "b").withColumn("score", score)
     return scored.where(F.col("score") > threshold).select("a", "b", "n", "score")

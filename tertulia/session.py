@@ -8,8 +8,10 @@ gives the planner its real size.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +45,23 @@ def build_session(app: str = "tertulia", master: str | None = None, **conf: str)
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+@lru_cache(maxsize=None)
+def _ship(app: str) -> None:
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tertulia-code-"), "tertulia")
+    path = shutil.make_archive(archive, "zip", os.path.dirname(here), os.path.basename(here))
+    SparkSession.active().sparkContext.addPyFile(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once per application: they may run where it is not installed."""
+    _ship(spark.sparkContext.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only where the session names none (local tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
