@@ -29,16 +29,21 @@ def dedupe_tokens(df: DataFrame, column: str = "processed", key: str = "post_id"
     return _keep_first(present, F.sha2(F.array_join(F.col(column), " "), 256), key)
 
 
+def _lot(key: str, seed: int) -> Column:
+    """An even random number per key as 32 hexadecimal digits, the same on any partitioning."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+
+
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 42, key: str = "post_id") -> DataFrame:
-    """A share of the posts, the same ones on any partitioning."""
-    parts = 1_000_000
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(parts)) < int(fraction * parts))
+    """A share of the posts: those whose lot is below the share. A filter, without a shuffle."""
+    if fraction >= 1:
+        return df
+    return df.where(_lot(key, seed) < F.lit(f"{int(fraction * 2**32):08x}"))
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "post_id") -> DataFrame:
-    """Exactly ``n`` posts (or all, if fewer), the same ones on any partitioning."""
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    return df.orderBy(order, key).limit(n)
+    """Exactly ``n`` posts (or all, if fewer): those with the lowest lots."""
+    return df.orderBy(_lot(key, seed), key).limit(n)
 
 
 def sample_posts(df: DataFrame, fraction: float | None = None, n: int | None = None) -> DataFrame:

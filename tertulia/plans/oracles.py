@@ -61,10 +61,13 @@ def _punct(x: str) -> str:
 
 
 def _repeats(x: str) -> str:
-    """Drop a word equal to the one before it, words being what lies between single blanks."""
-    kept = f"list_filter(list_zip(string_split({x}, ' '), list_prepend(NULL, string_split({x}, ' '))), "
-    kept += "lambda p: p[1] IS NOT NULL AND (p[2] IS NULL OR p[1] = '' OR p[1] <> p[2]))"
-    return f"array_to_string(list_transform({kept}, lambda p: p[1]), ' ')"
+    """Between single blanks: a piece that begins with the word that ends the piece before loses that word and the blank."""
+    pairs = f"list_zip(string_split({x}, ' '), list_prepend(NULL, string_split({x}, ' '))[:-2])"
+    last = r"regexp_extract(p[2], '[\p{L}\p{N}_]+$')"
+    first = r"regexp_extract(p[1], '^[\p{L}\p{N}_]+')"
+    piece = f"CASE WHEN p[2] IS NULL THEN p[1] WHEN {last} <> '' AND {last} = {first} THEN substr(p[1], len({first}) + 1) "
+    piece += "ELSE concat(' ', p[1]) END"
+    return f"array_to_string(list_transform({pairs}, lambda p: {piece}), '')"
 
 
 def _tokens(x: str, deaccent: bool = True) -> str:
@@ -187,6 +190,35 @@ size AS (SELECT topic, count(*) AS n FROM node GROUP BY topic),
 closeness AS (SELECT topic, term, (r / CAST(dist AS DOUBLE)) * (r / CAST(n - 1 AS DOUBLE)) AS closeness FROM sums JOIN size USING (topic))"""
 
 
+def _betweenness(depth: int = 4) -> str:
+    """Shortest paths level by level, then their shares back; like above, the graphs are not deeper than the levels."""
+    sql = _EDGES + """,
+node AS MATERIALIZED (SELECT topic, term, CAST(row_number() OVER (PARTITION BY topic ORDER BY term) AS INTEGER) AS id
+  FROM (SELECT topic, src AS term FROM edges UNION SELECT topic, dst FROM edges)),
+half_arcs AS (SELECT e.topic, a.id AS s, b.id AS v FROM edges e JOIN node a ON a.topic = e.topic AND a.term = e.src
+  JOIN node b ON b.topic = e.topic AND b.term = e.dst),
+adj AS MATERIALIZED (SELECT topic, s, v FROM half_arcs UNION ALL SELECT topic, v, s FROM half_arcs),
+p1 AS MATERIALIZED (SELECT topic, s, v, 1.0::DOUBLE AS paths FROM adj),
+rest1 AS MATERIALIZED (SELECT a.topic, a.id AS s, b.id AS v FROM node a JOIN node b ON a.topic = b.topic AND a.id <> b.id
+  ANTI JOIN p1 ON p1.topic = a.topic AND p1.s = a.id AND p1.v = b.id)"""
+    for d in range(2, depth + 1):
+        sql += f""",
+p{d} AS MATERIALIZED (SELECT r.topic, r.s, r.v, sum(p.paths) AS paths FROM rest{d - 1} r
+  JOIN adj a ON a.topic = r.topic AND a.s = r.v JOIN p{d - 1} p ON p.topic = r.topic AND p.s = r.s AND p.v = a.v GROUP BY ALL),
+rest{d} AS MATERIALIZED (SELECT r.* FROM rest{d - 1} r ANTI JOIN p{d} p ON p.topic = r.topic AND p.s = r.s AND p.v = r.v)"""
+    sql += f",\nd{depth} AS (SELECT topic, s, v, paths, 0.0::DOUBLE AS share FROM p{depth})"
+    for d in range(depth - 1, 0, -1):
+        sql += f""",
+g{d} AS (SELECT x.topic, x.s, a.v, sum((1 + x.share) / x.paths) AS give FROM d{d + 1} x
+  JOIN adj a ON a.topic = x.topic AND a.s = x.v GROUP BY ALL),
+d{d} AS MATERIALIZED (SELECT p.topic, p.s, p.v, p.paths, coalesce(p.paths * g.give, 0) AS share FROM p{d} p
+  LEFT JOIN g{d} g ON g.topic = p.topic AND g.s = p.s AND g.v = p.v)"""
+    shares = " UNION ALL ".join(f"SELECT topic, v, share FROM d{d}" for d in range(1, depth))
+    return sql + f""",
+total AS (SELECT topic, v, sum(share) AS share FROM ({shares}) GROUP BY topic, v),
+size AS (SELECT topic, count(*) AS n FROM node GROUP BY topic)"""
+
+
 _ADJACENT = _TOKENS + """,
 adjacent AS (SELECT topic, p[1] AS word, p[2] AS next_word, count(*) AS n
   FROM (SELECT topic, unnest(list_zip(processed[1:len(processed)-1], processed[2:])) AS p FROM tokens WHERE len(processed) > 1)
@@ -273,7 +305,7 @@ _TAGGED = "concat_ws(' ', full_text, concat('#', domain_group), concat('@', auth
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL per query name. Fitted models, and shortest-path counts that SQL is too slow for, have none."""
+    """SQL per query name. Queries over fitted models have none."""
     stop = _stop_words()
     csv_columns = "author, content, date, context, link, domain_group, country, type"
     distribution = _with(
@@ -341,6 +373,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT post_id, array_to_string(processed, ' ') AS processed FROM tokens "
             "QUALIFY row_number() OVER (PARTITION BY array_to_string(processed, ' ') ORDER BY post_id) = 1",
         ),
+        "sample_fraction": _with(
+            _POSTS, "SELECT post_id FROM posts WHERE md5(concat('42:', CAST(post_id AS VARCHAR))) < '40000000'"
+        ),
         "sample_n": _with(
             _POSTS, "SELECT post_id FROM posts ORDER BY md5(concat('42:', CAST(post_id AS VARCHAR))), post_id LIMIT 150"
         ),
@@ -518,6 +553,11 @@ grid AS (SELECT t.topic, w.word, coalesce(p.p, 0) AS p FROM tot t CROSS JOIN wn
             "CAST(row_number() OVER (PARTITION BY topic ORDER BY freq, term) - 1 AS INTEGER) AS rank FROM vocab",
         ),
         "closeness": _with(_closeness(), "SELECT topic, term, round(closeness, 6) AS closeness FROM closeness"),
+        "betweenness": _with(
+            _betweenness(),
+            "SELECT k.topic, k.term, round(coalesce(t.share, 0) / CAST((z.n - 1) * (z.n - 2) AS DOUBLE), 6) AS betweenness "
+            "FROM node k LEFT JOIN total t ON t.topic = k.topic AND t.v = k.id JOIN size z ON z.topic = k.topic",
+        ),
         "break_cycles": _with(_ACYCLIC, "SELECT topic, word, next_word, n FROM acyclic", recursive=True),
         "topic_story": _with(_STORY, "SELECT topic, word, level FROM story", recursive=True),
         "topic_prompt_payload": _with(

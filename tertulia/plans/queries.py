@@ -616,7 +616,7 @@ def map_chunks(spark, sf_dir):
 @lru_cache(maxsize=4)
 def _model(app: str, sf_dir: str, k: int = 4):
     """Tokens, vectors and model that the model queries share within one session."""
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.active()
     kept = tk.remove_stopwords(fx.tokens(spark, sf_dir), fx.stop_words())
     tokens = stage(kept.select("post_id", "topic", "processed").withColumnRenamed("topic", "lang_topic"), "tokens")
     vectors = tm.vectorize(tokens)

@@ -135,3 +135,14 @@ def test_only_missing_models_are_fitted(spark, fitted, tmp_path):
     rows = {r.k: r.coherence for r in got.collect()}
     assert rows[2] == 0.25 and set(rows) == {2, 3}
     assert [p.name for p in tmp_path.iterdir()] == ["k=3"]
+
+
+def test_languages_are_found_again(spark):
+    """Four languages in the documents: four topics should tell most of them apart."""
+    from tertulia.plans import queries
+
+    rows = queries._classified(spark, "/root/testdata/sf0.01").groupBy("lang_topic", "topic").count().collect()
+    best = Counter()
+    for r in rows:
+        best[r.topic] = max(best[r.topic], r["count"])
+    assert sum(best.values()) / sum(r["count"] for r in rows) > 0.9
