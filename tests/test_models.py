@@ -138,11 +138,11 @@ def test_only_missing_models_are_fitted(spark, fitted, tmp_path):
 
 
 def test_languages_are_found_again(spark):
-    """Four languages in the documents: four topics should tell most of them apart."""
+    """Four languages in the documents: four topics should tell most of them apart. The floor is the one of the blueprint."""
     from tertulia.plans import queries
 
     rows = queries._classified(spark, "/root/testdata/sf0.01").groupBy("lang_topic", "topic").count().collect()
     best = Counter()
     for r in rows:
         best[r.topic] = max(best[r.topic], r["count"])
-    assert sum(best.values()) / sum(r["count"] for r in rows) > 0.9
+    assert sum(best.values()) / sum(r["count"] for r in rows) > 0.7
