@@ -6,11 +6,18 @@ numbering, windows are counted by merging intervals, and graph walks are recursi
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-
-import pyspark
+# Spark's English stop words, in its order. The SQL must not need a session or Spark's files.
+ENGLISH_STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its
+itself they them their theirs themselves what which who whom this that these those am is are was were be been being
+have has had having do does did doing a an the and but if or because as until while of at by for with about against
+between into through during before after above below to from up down in out on off over under again further then once
+here there when where why how all any both each few more most other some such no nor not only own same so than too
+very s t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm
+you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't
+doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's
+there's what's when's where's who's why's would
+""".split()
 
 _POSTS = """
 posts AS (
@@ -108,11 +115,8 @@ phrases AS (SELECT bi.a, bi.b, bi.n,
 
 
 def _stop_words() -> str:
-    """Spark's English list from the library's own file, plus the extra words, as SQL literals."""
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as z:
-        lines = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split("\n")
-    words = [w for w in lines if w] + ["mas", "asi", "aca"]
+    """The English list plus the extra words, as SQL literals."""
+    words = [*ENGLISH_STOP_WORDS, "mas", "asi", "aca"]
     return ", ".join("'" + w.replace("'", "''") + "'" for w in dict.fromkeys(words))
 
 

@@ -8,6 +8,7 @@ gives the planner its real size.
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -63,10 +64,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where the session names none (local tests)."""
+    """The cluster's checkpoint folder. Only a local master may do without one and gets a temporary folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     named = named or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="tertulia-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
