@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tertulia.llm import packing, token_counts
+from tertulia.llm import line_dedup, packing, token_counts
 from tertulia.llm.tables import read
 from tertulia.session import ship_package, stage
 
@@ -36,5 +36,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op5_token_counts": op5_token_counts, "op7_packing": op7_packing}
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_common_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
+QUERIES: dict[str, Query] = {"op5_token_counts": op5_token_counts, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup}
 SQL: dict[str, str] = {}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Code points a Python task gathers before it hands a batch on.
 BATCH_CHARS = 4_000_000
@@ -50,3 +51,22 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterable[tuple]], sc
 def _batch(rows: list[tuple], names: list[str], arrow: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows))
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def box(docs: DataFrame, **named: Column) -> DataFrame:
+    """All columns of ``docs`` as one column ``row`` beside the named ones, so that no name of the input can clash."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in named.items()])
+
+
+def unbox(df: DataFrame, changed: dict[str, Column] | None = None, added: dict[str, Column] | None = None) -> DataFrame:
+    """The columns of ``row`` again, some of them changed; an added column takes the place of one of the same name."""
+    changed, added = changed or {}, added or {}
+    taken = {c.lower() for c in added}
+    names = [f.name for f in df.schema["row"].dataType if f.name.lower() not in taken]
+    return df.select(*[changed.get(n, F.col("row").getField(n)).alias(n) for n in names], *[c.alias(n) for n, c in added.items()])
