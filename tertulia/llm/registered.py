@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tertulia.llm import line_dedup, packing, token_counts
+from tertulia.llm import decontaminate, line_dedup, packing, token_counts
 from tertulia.llm.tables import read
 from tertulia.session import ship_package, stage
 
@@ -42,5 +42,17 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
-QUERIES: dict[str, Query] = {"op5_token_counts": op5_token_counts, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES: dict[str, Query] = {"op5_token_counts": op5_token_counts, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op10_decontaminate": op10_decontaminate}
 SQL: dict[str, str] = {}
