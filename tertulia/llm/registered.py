@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tertulia.llm import decontaminate, line_dedup, packing, token_counts
+from tertulia.llm import decontaminate, html_text, line_dedup, packing, token_counts
 from tertulia.llm.tables import read
 from tertulia.session import ship_package, stage
 
@@ -21,6 +21,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
@@ -54,5 +58,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op5_token_counts": op5_token_counts, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op10_decontaminate": op10_decontaminate}
+QUERIES: dict[str, Query] = {"op4_html_text": op4_html_text, "op5_token_counts": op5_token_counts, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op10_decontaminate": op10_decontaminate}
 SQL: dict[str, str] = {}
