@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tertulia.llm import decontaminate, html_text, line_dedup, packing, token_counts
+from tertulia.llm import decontaminate, html_text, line_dedup, packing, token_counts, toxicity
 from tertulia.llm.tables import read
 from tertulia.session import ship_package, stage
 
@@ -21,6 +21,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _held_out() -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Fitted on labelled rows that are not held out."""
+    labels = read(spark, sf_dir, "labels").filter(~_held_out())
+    texts, toxic = toxicity.sample(read(spark, sf_dir, "documents"), labels, "doc_id", "text", "toxic", toxicity.Settings())
+    return toxicity.fit(texts, toxic)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -58,5 +75,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op4_html_text": op4_html_text, "op5_token_counts": op5_token_counts, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op10_decontaminate": op10_decontaminate}
+QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
+    "op4_html_text": op4_html_text, "op5_token_counts": op5_token_counts, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op10_decontaminate": op10_decontaminate}
 SQL: dict[str, str] = {}
