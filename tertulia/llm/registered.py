@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tertulia.llm import decontaminate, html_text, line_dedup, packing, token_counts, toxicity
+from tertulia.llm import decontaminate, html_text, line_dedup, near_duplicates, packing, token_counts, toxicity
 from tertulia.llm.tables import read
 from tertulia.session import ship_package, stage
 
@@ -63,6 +63,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -77,5 +82,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
-    "op4_html_text": op4_html_text, "op5_token_counts": op5_token_counts, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op10_decontaminate": op10_decontaminate}
+    "op4_html_text": op4_html_text, "op5_token_counts": op5_token_counts, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op9_near_duplicates": op9_near_duplicates, "op10_decontaminate": op10_decontaminate}
 SQL: dict[str, str] = {}
