@@ -45,9 +45,10 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of each word; words are runs of anything but ASCII white space, A-Z lower-cased."""
-    codes = np.frombuffer(b" " + text.encode("utf-8", "surrogatepass").lower() + b" ", dtype=np.uint8)
+def word_hashes(text: str, fold: bool = True) -> np.ndarray:
+    """A 64-bit hash of each word; words are runs of anything but ASCII white space, ``fold`` lower-cases A-Z."""
+    data = text.encode("utf-8", "surrogatepass")
+    codes = np.frombuffer(b" " + (data.lower() if fold else data) + b" ", dtype=np.uint8)
     blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
     starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
     if not len(starts):
@@ -68,12 +69,18 @@ def shingle_set(text: str | None, length: int = SHINGLE) -> np.ndarray:
     words = word_hashes(text) if text else np.zeros(0, np.uint64)
     if not len(words):
         return words
-    n = min(length, len(words))
+    return np.unique(window_hashes(words, min(length, len(words))))
+
+
+def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each run of ``n`` words."""
+    if len(words) < n:
+        return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
         h = np.full(len(words) - n + 1, n, np.uint64)
         for i in range(n):
             h = h + words[i : len(words) - n + 1 + i] * _SLOT[i]
-        return np.unique(_mix(h))
+        return _mix(h)
 
 
 def band_keys(shingles: np.ndarray) -> np.ndarray:
