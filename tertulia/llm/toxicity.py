@@ -42,8 +42,8 @@ class Settings:
     """``toxic``, ``clean``: most labelled texts of each class used for training; ``longest``: code points of the longest of them;
     ``ratio``: see ``_telling``."""
 
-    toxic: int = 1500
-    clean: int = 4500
+    toxic: int = 1000
+    clean: int = 3000
     longest: int = 200_000
     ratio: float = 3.0
     dimension: int = 8
@@ -165,11 +165,13 @@ def fit(texts: list[str], toxic: list[int], settings: Settings = Settings()) ->
         return Model(np.zeros(BUCKETS), 30.0 if len(y) and y[0] else -30.0)
     texts, y = _without_copies(texts, y)
     known: dict[str, int] = {}
-    ids = [np.array([known.setdefault(w, len(known)) for words in _words(t) for w in words], dtype=np.int64) for t in texts]
-    buckets, owners, words = features(" ".join(known))
-    n_features = np.bincount(owners, minlength=words)
-    telling = _telling(ids, y, buckets, owners, words, settings)
-    buckets, owners = buckets[telling[buckets]], owners[telling[buckets]]
+    ids = [np.array([known.setdefault(w, len(known)) for words in _words(t) for w in words], dtype=np.int32) for t in texts]
+    vocabulary, words = list(known), len(known)
+    del known, texts
+    telling, n_features = _telling(ids, y, vocabulary, settings)
+    found = [(b[telling[b]].astype(np.int32), o[telling[b]].astype(np.int32)) for b, o in _features_of(vocabulary)]
+    del vocabulary
+    buckets, owners = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int32), np.zeros(0, np.int32))
     if not len(buckets) or y.min() == y.max():
         return Model(np.zeros(BUCKETS), -30.0)
     share = 1.0 / n_features
@@ -236,17 +238,32 @@ def _without_copies(texts: list[str], y: np.ndarray) -> tuple[list[str], np.ndar
     return [texts[i] for i in kept], y[kept]
 
 
-def _telling(ids: list[np.ndarray], y: np.ndarray, buckets: np.ndarray, owners: np.ndarray, words: int, settings: Settings) -> np.ndarray:
-    """Buckets that are clearly more frequent in one class: even the low end of the one rate is ``ratio`` times the high end of the other."""
-    counts = []
-    for c in (0, 1):
-        in_texts = np.bincount(np.concatenate([np.zeros(0, np.int64), *(np.unique(i) for i, label in zip(ids, y) if label == c)]), minlength=words)
-        counts.append((np.bincount(buckets, weights=in_texts[owners], minlength=BUCKETS), max(1, in_texts.sum())))
+def _features_of(words: list[str], step: int = 20_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets and owners of many words, a part at a time to bound the memory."""
+    for at in range(0, len(words), step):
+        buckets, owners, _ = features(" ".join(words[at : at + step]))
+        yield buckets, owners + at
 
-    def above(a: tuple, b: tuple) -> np.ndarray:
-        return (a[0] - 2 * np.sqrt(a[0])) / a[1] > settings.ratio * (b[0] + 2 * np.sqrt(b[0]) + 1) / b[1]
 
-    return above(counts[1], counts[0]) | above(counts[0], counts[1])
+def _telling(ids: list[np.ndarray], y: np.ndarray, vocabulary: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that are clearly more frequent in one class, and the number of features of each word.
+
+    Even the low end of the rate in the one class must be ``ratio`` times the high end in the other.
+    """
+    in_texts = [np.zeros(len(vocabulary)), np.zeros(len(vocabulary))]
+    for words, label in zip(ids, y):
+        in_texts[int(label)][np.unique(words)] += 1
+    counts, n_features = [np.zeros(BUCKETS), np.zeros(BUCKETS)], np.zeros(len(vocabulary), np.int32)
+    for buckets, owners in _features_of(vocabulary):
+        n_features += np.bincount(owners, minlength=len(vocabulary)).astype(np.int32)
+        for c in (0, 1):
+            counts[c] += np.bincount(buckets, weights=in_texts[c][owners], minlength=BUCKETS)
+
+    def above(a: int, b: int) -> np.ndarray:
+        low = (counts[a] - 2 * np.sqrt(counts[a])) / max(1, in_texts[a].sum())
+        return low > settings.ratio * (counts[b] + 2 * np.sqrt(counts[b]) + 1) / max(1, in_texts[b].sum())
+
+    return above(1, 0) | above(0, 1), n_features
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, settings: Settings) -> tuple[list[str], list[int]]:
