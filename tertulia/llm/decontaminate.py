@@ -32,7 +32,7 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w))
 
 
-def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
+def held(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with a column that is computed once per row, also where lambdas refer to it again and again."""
     return df.select("*", F.explode(F.array(value)).alias(name))
 
@@ -41,7 +41,7 @@ def _fingerprints(df: DataFrame, window: int, gram: int) -> DataFrame:
     """``df`` with ``h`` (word hashes) plus the distinct fingerprints; null for texts shorter than a window."""
     n = F.size("h")
     grams = F.transform(F.sequence(F.lit(0), n - gram), lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(gram)]))
-    with_grams = _held(df, "g", F.when(n >= window, grams))
+    with_grams = held(df, "g", F.when(n >= window, grams))
     least = F.transform(F.sequence(F.lit(0), n - window), lambda i: F.least(*[F.get("g", i + j) for j in range(window - gram + 1)]))
     return with_grams.withColumn("prints", F.when(n >= window, F.array_distinct(least))).drop("g")
 
@@ -53,7 +53,7 @@ def _windows(df: DataFrame, length: int) -> DataFrame:
     return rows.withColumns({"length": F.lit(length), "a": F.xxhash64("words"), "b": F.xxhash64(F.lit(length), "words")}).drop("words")
 
 
-def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Two hashes over key and text name a row; rows that repeat both are alike in all that follows."""
     return docs.withColumns({"k1": F.xxhash64(F.col(key), F.col(text)), "k2": F.xxhash64(F.lit(1), F.col(key), F.col(text))})
 
@@ -74,13 +74,13 @@ def contamination(
     A null or empty text has no words, is hit by nothing and hits nothing. Items with equal texts are all reported; an
     item id that repeats is reported once, and null item ids are left out. Other columns are ignored.
     """
-    rows = _keyed(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), "id", "text")
+    rows = keyed(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), "id", "text")
     bench = stage(items.select(F.col(item_key).cast("string").alias("item"), word_hashes(F.col(item_text)).alias("h")), "items")
     lengths = [r[0] for r in bench.select(F.least(F.size("h"), F.lit(window)).alias("n")).filter("n > 0").distinct().collect()]
 
     # documents with a fingerprint of some item; a row is a document again right after the join, inside the same task
     prints = _fingerprints(bench, window, gram).select(F.explode("prints").alias("print")).distinct().withColumn("known", F.lit(1))
-    hashed = _held(rows, "h", word_hashes(F.col("text"))).drop("text")
+    hashed = held(rows, "h", word_hashes(F.col("text"))).drop("text")
     own = _fingerprints(hashed, window, gram).select("id", "k1", "k2", F.size("h").alias("n_words"), F.posexplode_outer("prints").alias("no", "print"))
     met = lookup_join(own, prints, ["print"], "left", salt_by="k1", max_rows=max_broadcast)
     first = F.coalesce(F.col("no"), F.lit(0)) == 0
@@ -93,9 +93,9 @@ def contamination(
     if window in lengths:
         near = base.filter("known = 1").select("k1", "k2").distinct()
         texts_met = lookup_join(texts, near, ["k1", "k2"], "left_semi", salt_by="k2", max_rows=max_broadcast)
-        found.append(_windows(_held(texts_met, "h", word_hashes(F.col("text"))).drop("text"), window))
+        found.append(_windows(held(texts_met, "h", word_hashes(F.col("text"))).drop("text"), window))
     for length in sorted(set(lengths) - {window}):
-        found.append(_windows(_held(texts, "h", word_hashes(F.col("text"))).drop("text"), length))
+        found.append(_windows(held(texts, "h", word_hashes(F.col("text"))).drop("text"), length))
     if not found:
         return base.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
             F.col("id").alias(key), "k1", "k2", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("item_ids")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tertulia.llm import decontaminate, html_text, line_dedup, near_duplicates, packing, quality_rules, token_counts, toxicity
+from tertulia.llm import decontaminate, html_text, licenses, line_dedup, near_duplicates, packing, quality_rules, token_counts, toxicity
 from tertulia.llm.tables import read
 from tertulia.session import ship_package, stage
 
@@ -52,6 +52,21 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licenses whose notices it holds, comma-joined, and the number of them."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    templates = spark.createDataFrame(licenses.NOTICES, "license_id string, template string")
+    found = licenses.scan(docs, templates).groupBy("doc_id").agg(
+        F.array_join(F.array_sort(F.collect_list("license_id")), ",").alias("licenses"),
+        F.count(F.lit(1)).alias("n_licenses"),
+        F.round(F.max("containment"), 6).alias("containment"),
+    )
+    joined = docs.select("doc_id").join(found, "doc_id", "left")
+    return joined.select(
+        "doc_id", F.coalesce("licenses", F.lit("")).alias("licenses"), F.coalesce("n_licenses", F.lit(0)).alias("n_licenses"), "containment"
+    )
+
+
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.cut_pieces(docs, vocabulary("byte_bpe_50k.json"))
     digests = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
@@ -88,5 +103,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op3_quality_rules": op3_quality_rules,
-    "op4_html_text": op4_html_text, "op5_token_counts": op5_token_counts, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op9_near_duplicates": op9_near_duplicates, "op10_decontaminate": op10_decontaminate}
+    "op4_html_text": op4_html_text, "op5_token_counts": op5_token_counts, "op6_licenses": op6_licenses, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op9_near_duplicates": op9_near_duplicates, "op10_decontaminate": op10_decontaminate}
 SQL: dict[str, str] = {}
