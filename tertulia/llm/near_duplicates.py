@@ -6,17 +6,22 @@ probability of their Jaccard similarity, so half as many hash evaluations give a
 and of lower variance. ``BANDS`` bands of four values each go into buckets; two sets of similarity 0.8 share none with a
 probability of 1.4e-7.
 
-Equal sets are one class, found by a 128-bit digest, and only class representatives go on. In a bucket, members are not
-compared pair by pair. First each is compared with the member of least id; what that confirms joins up to components.
-Then only members that are not in the bucket's largest component are compared with members of other components. A pair
-inside a component needs no comparison, so the result is exact for all pairs that share a bucket, while a group of many
-near copies costs about one comparison per member. Comparisons read the full sets of the two documents.
+Equal sets are one class, found by a 128-bit digest, and only class representatives go on. The members of all buckets that
+have the same smallest set are a group around it, its pivot. Each member is compared with the pivot on full sets; members
+linked to it are one component. The rest of a group of up to ``SMALL`` members is compared pair by pair, at most ``SMALL``
+comparisons per member. Larger groups use that a link between x and y needs no look at most pairs: let B be a pivot no
+larger than y. If x and y have no shingle in common outside of B, all they share is in B, so x shares as much with B and
+is linked to B as well, B being no larger. So a member that is not linked to the pivot can only be linked to members it
+shares a shingle outside the pivot with, and such pairs are found by a join on these shingles, of which a prefix in hash
+order is enough. A group of very many copies, each with edits of its own, thus costs one comparison per member. What is
+left of a group becomes a group around its own smallest set, ``LEVELS`` times.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,6 +35,8 @@ from tertulia.session import stage
 
 SHINGLE = 4
 BANDS = 30
+SMALL = 16
+LEVELS = 3
 PERMUTATIONS = 2 * BANDS
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -112,21 +119,72 @@ def _sets(docs: DataFrame, length: int) -> DataFrame:
     return map_rows(docs, run, f"doc {kind}, n long, d1 long, d2 long, bands array<long>")
 
 
-def _similar(percent: int) -> Column:
-    """Whether 100 * intersection >= percent * union, of two sorted sets as bytes."""
+def _compared(percent: int) -> Column:
+    """``(linked, tokens)`` of the sets ``set_a`` (the pivot) and ``set_b``: whether 100 * intersection >= percent * union,
+    and, where ``large``, the shingles outside the pivot that a link to another member must touch."""
 
-    @F.pandas_udf(T.BooleanType())
-    def enough(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b):
+    @F.pandas_udf(T.StructType([T.StructField("linked", T.BooleanType()), T.StructField("tokens", T.ArrayType(T.LongType()))]))
+    def compare(a: pd.Series, b: pd.Series, large: pd.Series) -> pd.DataFrame:
+        linked, tokens = [], []
+        for x, y, more in zip(a, b, large):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.concatenate((x, y))
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            out.append(100 * common >= percent * (len(both) - common))
-        return pd.Series(out, dtype=bool)
-
-    return enough(F.col("set_a"), F.col("set_b"))
+            common = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
+            same = int(common.sum())
+            linked.append(100 * same >= percent * (len(x) + len(y) - same))
+            if not more:
+                tokens.append(None)
+                continue
+            outside = y[~common].view(np.int64)
+            if not linked[-1]:
+                # a link shares this many shingles with any other member, and so some of the first ones outside
+                least = -(-percent * (len(y) + max(len(x), -(-percent * len(y) // 100))) // (100 + percent))
+                outside = outside[: max(0, len(outside) - max(1, least - same) + 1)]
+            tokens.append(outside.tolist())
+        return pd.DataFrame({"linked": linked, "tokens": tokens})
+
+    return compare(F.col("set_a"), F.col("set_b"), F.col("large"))
+
+
+def _candidates(groups: DataFrame, full: DataFrame, percent: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """From ``groups (p, x)``, the pivots and members: tables ``(p, x, linked, tokens)`` of all comparisons with pivots, and
+    tables ``(a, b)`` of the pairs that may be linked besides."""
+    compared, pairs = [], []
+    a = full.select(F.col("c").alias("pc"), F.col("shingles").alias("set_a"))
+    b = full.select(F.col("c").alias("xc"), F.col("shingles").alias("set_b"))
+    for level in range(LEVELS):
+        sizes = groups.groupBy("p").agg((F.count(F.lit(1)) > SMALL).alias("large"))
+        both = groups.join(sizes, "p").select("p", "x", "large", F.col("p.c").alias("pc"), F.col("x.c").alias("xc"))
+        rows = both.join(a, "pc").join(b, "xc").select("p", "x", "large", _compared(percent).alias("r"))
+        rows = stage(rows.select("p", "x", "large", "r.linked", "r.tokens"), "compared")
+        compared.append(rows)
+        apart = rows.filter(~F.col("linked"))
+
+        small = rows.filter(~F.col("large")).select("p", F.col("x").alias("y"), F.col("linked").alias("joined"))
+        mine = apart.filter(~F.col("large")).select("p", "x")
+        ask = F.col("joined") | (F.col("x") < F.col("y"))  # of two members apart, the smaller one asks
+        pairs.append(mine.join(small, "p").filter(ask & _close(F.col("x.n"), F.col("y.n"), percent)).select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
+
+        touch = apart.filter("large").select("p", "x", F.explode("tokens").alias("token"))
+        inside = rows.filter(F.col("large") & F.col("linked")).select("p", F.col("x").alias("y"), F.explode("tokens").alias("token"))
+        shared = touch.join(inside, ["p", "token"])
+        pairs.append(shared.filter(_close(F.col("x.n"), F.col("y.n"), percent)).select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
+
+        left = apart.filter("large")
+        if level == LEVELS - 1:
+            other = touch.select("p", F.col("x").alias("y"), "token")
+            shared = touch.join(other, ["p", "token"]).filter((F.col("x") < F.col("y")) & _close(F.col("x.n"), F.col("y.n"), percent))
+            pairs.append(shared.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
+        else:
+            pivots = left.groupBy("p").agg(F.min("x").alias("q"))
+            groups = stage(left.select("p", "x").join(pivots, "p").filter("x <> q").select(F.col("q").alias("p"), "x").distinct(), "groups")
+            if groups.isEmpty():
+                break
+    return compared, pairs
+
+
+def _close(a: Column, b: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be similar enough."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = SHINGLE, percent: int = 80) -> DataFrame:
@@ -146,27 +204,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     wanted = members.select("c.d1", "c.d2").distinct()
     full = stage(_full_sets(rows, sets, wanted, length), "full-sets")
 
-    def close(a: Column, b: Column) -> Column:
-        return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-    stars = members.filter("c <> first.c").filter(close(F.col("n"), F.col("first.n"))).select(F.col("first.c").alias("a"), F.col("c").alias("b"))
-    stars = stage(stars.distinct(), "pairs")
-    links = stage(_confirmed(stars, full, percent), "links")
+    around = members.filter("c <> first.c").select(F.col("first").alias("p"), F.struct("n", "c").alias("x")).distinct()
+    compared, pairs = _candidates(stage(around, "groups"), full, percent)
+    tested = reduce(DataFrame.unionByName, compared).select(F.col("p.c").alias("a"), F.col("x.c").alias("b"), "linked")
+    links = tested.filter("linked").select("a", "b").distinct()
     groups = connected(_as_nodes(links))
 
-    # members outside of their bucket's largest component against all members of other components
-    node = F.xxhash64("c.d1", "c.d2")
-    labelled = members.withColumn("node", node).join(groups, "node", "left").withColumn("g", F.coalesce("component", "node"))
-    counts = labelled.groupBy("bucket", "g").agg(F.count(F.lit(1)).alias("m"))
-    largest = counts.groupBy("bucket").agg(F.max(F.struct("m", "g")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    mixed = stage(labelled.select("bucket", "n", "c", "g").join(largest.select("bucket", F.col("top.g").alias("top")), "bucket"), "mixed-buckets")
-    x, y = mixed.filter("g <> top").alias("x"), mixed.alias("y")
-    # of two members outside, the smaller one asks
-    ask = (F.col("x.g") != F.col("y.g")) & ((F.col("y.g") == F.col("y.top")) | (F.col("x.c") < F.col("y.c")))
-    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & ask & close(F.col("x.n"), F.col("y.n")))
-    rest = pairs.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct()
-    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = stage(_confirmed(rest.join(tested, ["a", "b"], "left_anti"), full, percent), "links")
+    # pairs inside a component need no comparison
+    rest = reduce(DataFrame.unionByName, pairs).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = _as_nodes(rest.join(known, ["a", "b"], "left_anti"), keep=True)
+    of_a, of_b = (groups.select(F.col("node").alias(f"n{s}"), F.col("component").alias(f"g{s}")) for s in "ab")
+    apart = rest.join(of_a, "na", "left").join(of_b, "nb", "left").filter(F.coalesce("ga", "na") != F.coalesce("gb", "nb"))
+    more = stage(_confirmed(apart.select("a", "b"), full, percent), "links")
     if not more.isEmpty():
         groups = connected(_as_nodes(links.unionByName(more)))
 
@@ -179,8 +229,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     return out.select(F.col("doc").alias(key), "d1", "d2", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
 
 
-def _as_nodes(links: DataFrame) -> DataFrame:
-    return links.select(F.xxhash64("a.d1", "a.d2").alias("a"), F.xxhash64("b.d1", "b.d2").alias("b"))
+def _as_nodes(links: DataFrame, keep: bool = False) -> DataFrame:
+    a, b = F.xxhash64("a.d1", "a.d2"), F.xxhash64("b.d1", "b.d2")
+    return links.select("a", "b", a.alias("na"), b.alias("nb")) if keep else links.select(a.alias("a"), b.alias("b"))
 
 
 def _full_sets(rows: DataFrame, sets: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -203,7 +254,8 @@ def _full_sets(rows: DataFrame, sets: DataFrame, wanted: DataFrame, length: int)
 def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     a = full.select(F.col("c").alias("a"), F.col("shingles").alias("set_a"))
     b = full.select(F.col("c").alias("b"), F.col("shingles").alias("set_b"))
-    return pairs.join(a, "a").join(b, "b").filter(_similar(percent)).select("a", "b")
+    both = pairs.join(a, "a").join(b, "b").withColumn("large", F.lit(False))
+    return both.select("a", "b", _compared(percent).alias("r")).filter("r.linked").select("a", "b")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
