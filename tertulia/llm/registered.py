@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tertulia.llm import decontaminate, html_text, licenses, line_dedup, near_duplicates, packing, quality_rules, token_counts, toxicity
+from tertulia.llm import decontaminate, html_text, licenses, line_dedup, near_duplicates, packing, quality_rules, repeats, token_counts, toxicity
 from tertulia.llm.tables import read
 from tertulia.session import ship_package, stage
 
@@ -38,6 +38,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality_rules.assess(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -102,6 +107,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_html_text": op4_html_text, "op5_token_counts": op5_token_counts, "op6_licenses": op6_licenses, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op9_near_duplicates": op9_near_duplicates, "op10_decontaminate": op10_decontaminate}
 SQL: dict[str, str] = {}
