@@ -25,16 +25,15 @@ def _held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
 
 
-def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Fitted on labelled rows that are not held out."""
-    labels = read(spark, sf_dir, "labels").filter(~_held_out())
-    texts, toxic = toxicity.sample(read(spark, sf_dir, "documents"), labels, "doc_id", "text", "toxic", toxicity.Settings())
+    texts, toxic = toxicity.sample(docs, labels.filter(~_held_out()), "doc_id", "text", "toxic", toxicity.Settings())
     return toxicity.fit(texts, toxic)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    scored = toxicity.score(docs, toxicity_model(docs, read(spark, sf_dir, "labels")))
     return scored.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
