@@ -7,14 +7,13 @@ and of lower variance. ``BANDS`` bands of four values each go into buckets; two
 probability of 1.4e-7.
 
 Equal sets are one class, found by a 128-bit digest, and only class representatives go on. The members of all buckets that
-have the same smallest set are a group around it, its pivot. Each member is compared with the pivot on full sets; members
-linked to it are one component. The rest of a group of up to ``SMALL`` members is compared pair by pair, at most ``SMALL``
-comparisons per member. Larger groups use that a link between x and y needs no look at most pairs: let B be a pivot no
-larger than y. If x and y have no shingle in common outside of B, all they share is in B, so x shares as much with B and
-is linked to B as well, B being no larger. So a member that is not linked to the pivot can only be linked to members it
-shares a shingle outside the pivot with, and such pairs are found by a join on these shingles, of which a prefix in hash
-order is enough. A group of very many copies, each with edits of its own, thus costs one comparison per member. What is
-left of a group becomes a group around its own smallest set, ``LEVELS`` times.
+have the same least digest are a group around it, its pivot. Each member is compared with the pivot on full sets, and what
+is linked makes up components. A pair inside a component needs no look; of other pairs in a group, one member at least is
+not linked to the pivot. In groups of up to ``SMALL`` members these pairs are compared one by one. In larger groups only
+some can be linked: let x and y share i shingles, and c(x), c(y) shingles with the pivot. Either i <= min(c(x), c(y)),
+which the sizes must allow, or they share a shingle outside the pivot, at least i - c(x) of them, so that a prefix in hash
+order has one. The first kind is found by sizes, the second by a join on shingles. A group of very many copies, each with
+edits of its own, thus costs about one comparison per member, and no link is lost.
 """
 
 from __future__ import annotations
@@ -36,7 +35,6 @@ from tertulia.session import stage
 SHINGLE = 4
 BANDS = 30
 SMALL = 16
-LEVELS = 3
 PERMUTATIONS = 2 * BANDS
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -120,66 +118,57 @@ def _sets(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _compared(percent: int) -> Column:
-    """``(linked, tokens)`` of the sets ``set_a`` (the pivot) and ``set_b``: whether 100 * intersection >= percent * union,
-    and, where ``large``, the shingles outside the pivot that a link to another member must touch."""
+    """Of the sets ``set_a`` (the pivot) and ``set_b``: whether 100 * intersection >= percent * union, the size of the
+    intersection, and, where ``large``, the shingles outside the pivot one of which a link to another member must have."""
+    fields = [("linked", T.BooleanType()), ("same", T.LongType()), ("tokens", T.ArrayType(T.LongType()))]
 
-    @F.pandas_udf(T.StructType([T.StructField("linked", T.BooleanType()), T.StructField("tokens", T.ArrayType(T.LongType()))]))
+    @F.pandas_udf(T.StructType([T.StructField(*f) for f in fields]))
     def compare(a: pd.Series, b: pd.Series, large: pd.Series) -> pd.DataFrame:
-        linked, tokens = [], []
+        linked, shared, tokens = [], [], []
         for x, y, more in zip(a, b, large):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             common = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
             same = int(common.sum())
             linked.append(100 * same >= percent * (len(x) + len(y) - same))
+            shared.append(same)
             if not more:
                 tokens.append(None)
                 continue
             outside = y[~common].view(np.int64)
-            if not linked[-1]:
-                # a link shares this many shingles with any other member, and so some of the first ones outside
-                least = -(-percent * (len(y) + max(len(x), -(-percent * len(y) // 100))) // (100 + percent))
-                outside = outside[: max(0, len(outside) - max(1, least - same) + 1)]
-            tokens.append(outside.tolist())
-        return pd.DataFrame({"linked": linked, "tokens": tokens})
+            # a partner is not smaller than percent of this set
+            least = -(-percent * (len(y) + -(-percent * len(y) // 100)) // (100 + percent)) - same
+            tokens.append(outside[: max(0, len(outside) - max(1, least) + 1)].tolist())
+        return pd.DataFrame({"linked": linked, "same": shared, "tokens": tokens})
 
     return compare(F.col("set_a"), F.col("set_b"), F.col("large"))
 
 
-def _candidates(groups: DataFrame, full: DataFrame, percent: int) -> tuple[list[DataFrame], list[DataFrame]]:
-    """From ``groups (p, x)``, the pivots and members: tables ``(p, x, linked, tokens)`` of all comparisons with pivots, and
-    tables ``(a, b)`` of the pairs that may be linked besides."""
-    compared, pairs = [], []
+def _with_pivots(groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """``groups (p, x)``, pivots and members, with the result of the comparison."""
+    sizes = groups.groupBy("p").agg((F.count(F.lit(1)) > SMALL).alias("large"))
+    both = groups.join(sizes, "p").select("p", "x", "large", F.col("p.c").alias("pc"), F.col("x.c").alias("xc"))
     a = full.select(F.col("c").alias("pc"), F.col("shingles").alias("set_a"))
     b = full.select(F.col("c").alias("xc"), F.col("shingles").alias("set_b"))
-    for level in range(LEVELS):
-        sizes = groups.groupBy("p").agg((F.count(F.lit(1)) > SMALL).alias("large"))
-        both = groups.join(sizes, "p").select("p", "x", "large", F.col("p.c").alias("pc"), F.col("x.c").alias("xc"))
-        rows = both.join(a, "pc").join(b, "xc").select("p", "x", "large", _compared(percent).alias("r"))
-        rows = stage(rows.select("p", "x", "large", "r.linked", "r.tokens"), "compared")
-        compared.append(rows)
-        apart = rows.filter(~F.col("linked"))
-
-        small = rows.filter(~F.col("large")).select("p", F.col("x").alias("y"), F.col("linked").alias("joined"))
-        mine = apart.filter(~F.col("large")).select("p", "x")
-        ask = F.col("joined") | (F.col("x") < F.col("y"))  # of two members apart, the smaller one asks
-        pairs.append(mine.join(small, "p").filter(ask & _close(F.col("x.n"), F.col("y.n"), percent)).select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
-
-        touch = apart.filter("large").select("p", "x", F.explode("tokens").alias("token"))
-        inside = rows.filter(F.col("large") & F.col("linked")).select("p", F.col("x").alias("y"), F.explode("tokens").alias("token"))
-        shared = touch.join(inside, ["p", "token"])
-        pairs.append(shared.filter(_close(F.col("x.n"), F.col("y.n"), percent)).select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
-
-        left = apart.filter("large")
-        if level == LEVELS - 1:
-            other = touch.select("p", F.col("x").alias("y"), "token")
-            shared = touch.join(other, ["p", "token"]).filter((F.col("x") < F.col("y")) & _close(F.col("x.n"), F.col("y.n"), percent))
-            pairs.append(shared.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
-        else:
-            pivots = left.groupBy("p").agg(F.min("x").alias("q"))
-            groups = stage(left.select("p", "x").join(pivots, "p").filter("x <> q").select(F.col("q").alias("p"), "x").distinct(), "groups")
-            if groups.isEmpty():
-                break
-    return compared, pairs
+    rows = both.join(a, "pc").join(b, "xc").select("p", "x", "large", _compared(percent).alias("r"))
+    return stage(rows.select("p", "x", "large", "r.*"), "compared")
+
+
+def _candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: pairs of different components ``g`` that may be linked and were not compared yet."""
+    names = ["x", "linked", "same", "g"]
+    mine = lambda df, *more: df.filter(~F.col("linked")).select("p", *more, F.struct(*names).alias("u"))
+    others = lambda df, *more: df.select("p", *more, F.struct(*names).alias("v"))
+    # of two members that are both not linked to the pivot, the smaller one asks
+    ask = (F.col("u.g") != F.col("v.g")) & (F.col("v.linked") | (F.col("u.x") < F.col("v.x"))) & _close(F.col("u.x.n"), F.col("v.x.n"), percent)
+    small, large = rows.filter(~F.col("large")), rows.filter("large")
+    tokens = large.withColumn("token", F.explode("tokens"))
+    inside = percent * (F.col("u.x.n") + F.col("v.x.n")) <= (100 + percent) * F.least("u.same", "v.same")
+    pairs = [
+        mine(small).join(others(small), "p").filter(ask),
+        mine(large).join(others(large), "p").filter(ask & inside),
+        mine(tokens, "token").join(others(tokens, "token"), ["p", "token"]).filter(ask),
+    ]
+    return reduce(DataFrame.unionByName, [df.select(F.col("u.x.c").alias("a"), F.col("v.x.c").alias("b")) for df in pairs])
 
 
 def _close(a: Column, b: Column, percent: int) -> Column:
@@ -199,24 +188,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     classes = sets.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"), F.any_value("bands").alias("bands")).filter("rep IS NOT NULL")
     classes = stage(classes, "classes")
     banded = classes.select("n", F.struct("d1", "d2").alias("c"), F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("n", "c")).alias("first")).filter("m > 1").drop("m")
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("c", "n")).alias("first")).filter("m > 1").drop("m")
     members = stage(banded.join(shared, "bucket"), "buckets")
     wanted = members.select("c.d1", "c.d2").distinct()
     full = stage(_full_sets(rows, sets, wanted, length), "full-sets")
 
-    around = members.filter("c <> first.c").select(F.col("first").alias("p"), F.struct("n", "c").alias("x")).distinct()
-    compared, pairs = _candidates(stage(around, "groups"), full, percent)
-    tested = reduce(DataFrame.unionByName, compared).select(F.col("p.c").alias("a"), F.col("x.c").alias("b"), "linked")
-    links = tested.filter("linked").select("a", "b").distinct()
+    around = members.filter("c <> first.c").select(F.col("first").alias("p"), F.struct("c", "n").alias("x")).distinct()
+    compared = _with_pivots(stage(around, "groups"), full, percent)
+    links = compared.filter("linked").select(F.col("p.c").alias("a"), F.col("x.c").alias("b")).distinct()
     groups = connected(_as_nodes(links))
 
-    # pairs inside a component need no comparison
-    rest = reduce(DataFrame.unionByName, pairs).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = _as_nodes(rest.join(known, ["a", "b"], "left_anti"), keep=True)
-    of_a, of_b = (groups.select(F.col("node").alias(f"n{s}"), F.col("component").alias(f"g{s}")) for s in "ab")
-    apart = rest.join(of_a, "na", "left").join(of_b, "nb", "left").filter(F.coalesce("ga", "na") != F.coalesce("gb", "nb"))
-    more = stage(_confirmed(apart.select("a", "b"), full, percent), "links")
+    node = F.xxhash64("x.c.d1", "x.c.d2")
+    labelled = compared.withColumn("node", node).join(groups, "node", "left").withColumn("g", F.coalesce("component", "node"))
+    rest = _candidates(stage(labelled.drop("component", "node"), "labelled"), percent)
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = stage(_confirmed(rest, full, percent), "links")
     if not more.isEmpty():
         groups = connected(_as_nodes(links.unionByName(more)))
 
@@ -229,9 +215,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     return out.select(F.col("doc").alias(key), "d1", "d2", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
 
 
-def _as_nodes(links: DataFrame, keep: bool = False) -> DataFrame:
-    a, b = F.xxhash64("a.d1", "a.d2"), F.xxhash64("b.d1", "b.d2")
-    return links.select("a", "b", a.alias("na"), b.alias("nb")) if keep else links.select(a.alias("a"), b.alias("b"))
+def _as_nodes(links: DataFrame) -> DataFrame:
+    return links.select(F.xxhash64("a.d1", "a.d2").alias("a"), F.xxhash64("b.d1", "b.d2").alias("b"))
 
 
 def _full_sets(rows: DataFrame, sets: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
