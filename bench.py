@@ -35,8 +35,11 @@ HEADLINE = [
     "term_relevance",
     "term_cosine_edges",
     "closeness",
+    "betweenness",
     "top_sqrt_edges",
     "break_cycles",
+    "topic_story",
+    "visual_payload",
 ]
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tertulia.functions.sequences import adjacent
 from tertulia.operators.timeline import doc_freq, top_per_topic
-from tertulia.session import few_parts, stage
+from tertulia.session import stage
 
 MAX_TERMS = 500
 
@@ -69,7 +69,7 @@ def term_cosine_edges(df: DataFrame, vocab: DataFrame, column: str = "processed"
     posts = df.join(F.broadcast(lists), "topic").select(
         F.col("topic").cast("int").alias("topic"), F.array_intersect(lowered, F.col("_vocab")).alias("terms")
     )
-    pairs = few_parts(posts).mapInArrow(lambda b: _pair_counts(b, shared.value), "topic int, a int, b int, co long")
+    pairs = posts.mapInArrow(lambda b: _pair_counts(b, shared.value), "topic int, a int, b int, co long")
     counts = pairs.groupBy("topic", "a", "b").agg(F.sum("co").alias("co"))
     place = F.row_number().over(Window.partitionBy("topic").orderBy("term")) - 1
     df_term = F.col("df").cast("double").alias("df")

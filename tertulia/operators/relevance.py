@@ -61,6 +61,11 @@ def topic_distance(terms: DataFrame) -> DataFrame:
     shared = a.join(b, "word").where("topic_a < topic_b")
     mid = (F.col("pa") + F.col("pb")) / 2
     both = F.col("pa") * F.log(F.col("pa") / mid) + F.col("pb") * F.log(F.col("pb") / mid)
+    topics = terms.agg(F.collect_set("topic").alias("all"))
+    first = topics.select("all", F.explode("all").alias("topic_a"))
+    pairs = first.select("topic_a", F.explode(F.filter("all", lambda t: t > F.col("topic_a"))).alias("topic_b"))
     sums = shared.groupBy("topic_a", "topic_b").agg(F.sum(both).alias("both"), F.sum(F.col("pa") + F.col("pb")).alias("mass"))
-    alone = F.log(F.lit(2.0)) * (2 - F.col("mass"))
-    return sums.select("topic_a", "topic_b", ((F.col("both") + alone) / 2).alias("distance"))
+    alone = F.log(F.lit(2.0)) * (2 - F.coalesce("mass", F.lit(0.0)))
+    # one row per pair of topics, also where they have no term in common
+    whole = pairs.join(sums, ["topic_a", "topic_b"], "left")
+    return whole.select("topic_a", "topic_b", ((F.coalesce("both", F.lit(0.0)) + alone) / 2).alias("distance"))

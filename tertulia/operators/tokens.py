@@ -18,7 +18,7 @@ KEPT_POS = ["NOUN", "ADJ", "VERB", "ADV", "PROPN", "NUM"]
 # Blocks that hold pictographs, skin tones, and sequences joined by a zero-width joiner; two letters make a flag.
 PICTOGRAPH = r"[\x{2300}-\x{23FF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}\x{1F000}-\x{1FAFF}]"
 _TONE = r"\x{FE0F}?[\x{1F3FB}-\x{1F3FF}]?"
-EMOJI = rf"[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|{PICTOGRAPH}{_TONE}(?:\x{{200D}}{PICTOGRAPH}{_TONE}){{0,8}}"
+EMOJI = rf"[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|{PICTOGRAPH}{_TONE}(?:\x{{200D}}{PICTOGRAPH}{_TONE})*+"
 
 
 def clean_posts(

@@ -191,7 +191,10 @@ r{i + 1} AS MATERIALIZED (SELECT topic, term, bit_or(reach) AS reach FROM (
 steps AS ({steps}),
 sums AS (SELECT topic, term, sum(found) AS r, sum(found * d) AS dist FROM steps GROUP BY topic, term),
 size AS (SELECT topic, count(*) AS n FROM node GROUP BY topic),
-closeness AS (SELECT topic, term, (r / CAST(dist AS DOUBLE)) * (r / CAST(n - 1 AS DOUBLE)) AS closeness FROM sums JOIN size USING (topic))"""
+deeper AS (SELECT count(*) AS n_deeper FROM r{rounds - 1} a JOIN r{rounds} b USING (topic, term) WHERE bit_count(b.reach) > bit_count(a.reach)),
+closeness AS (SELECT topic, term, (r / CAST(dist AS DOUBLE)) * (r / CAST(n - 1 AS DOUBLE))
+    * CASE WHEN n_deeper > 0 THEN error('the graph is deeper than the rounds of this query') ELSE 1 END AS closeness
+  FROM sums JOIN size USING (topic) CROSS JOIN deeper)"""
 
 
 def _betweenness(depth: int = 4) -> str:
@@ -312,6 +315,13 @@ def oracle_sql() -> dict[str, str]:
     """SQL per query name. Queries over fitted models have none."""
     stop = _stop_words()
     csv_columns = "author, content, date, context, link, domain_group, country, type"
+
+    def _model_terms(n: int) -> str:
+        return (
+            f"SELECT topic, least({n}, terms) AS n_terms, least({n}, terms) AS n_known, true AS falling, true AS is_share "
+            f"FROM (SELECT DISTINCT topic FROM tokens), (SELECT count(DISTINCT word) AS terms FROM words WHERE word NOT IN ({stop}))"
+        )
+
     distribution = _with(
         _POSTS, "SELECT domain_group, count(*) AS count FROM posts WHERE domain_group IS NOT NULL GROUP BY domain_group"
     )
@@ -525,6 +535,26 @@ bare AS (SELECT post_id, list_filter(processed, lambda t: t NOT IN ({stop})) AS
             "SELECT date, topic, md5(processed) AS processed, unnest(string_split(processed, ' ')) AS word FROM joined WHERE date IS NOT NULL",
         ),
         "words_topic_timeline": _with(_TIMELINE, "SELECT date, topic, md5(processed) AS processed, word FROM timeline"),
+        "lda_fit": _with(_WORDS, _model_terms(10)),
+        "lda_range": _with(_POSTS, "SELECT CAST(unnest(range(2, 1 + count(DISTINCT topic))) AS INTEGER) AS k, true AS in_range FROM posts"),
+        "topic_terms": _with(_WORDS, _model_terms(25)),
+        "model_store": _with(
+            _WORDS,
+            f"SELECT CAST(topic AS INTEGER) AS topic, least(25, (SELECT count(DISTINCT word) FROM words WHERE word NOT IN ({stop}))) AS n_terms, "
+            "CAST(0 AS BIGINT) AS n_different FROM (SELECT DISTINCT topic FROM tokens)",
+        ),
+        "classify": _with(_TOKENS, "SELECT post_id, true AS known_topic, true AS is_largest, 1.0::DOUBLE AS mix FROM tokens"),
+        "topic_proba_wide": _with(_TOKENS, "SELECT post_id, true AS topic_has_largest, 1.0::DOUBLE AS mix FROM tokens"),
+        "topic_projection_2d": _with(_TOKENS, "SELECT post_id, true AS on_plane, true AS own_colour FROM tokens"),
+        "visual_payload": _with(
+            _EDGES + _STORY.removeprefix(_TOKENS),
+            """SELECT w.topic, w.weights, n.nodes, e.edges, s.story FROM
+  (SELECT topic, least(25, count(DISTINCT translate(term, 'áéíóú', 'aeiou'))) AS weights FROM dw GROUP BY topic) w
+  LEFT JOIN (SELECT topic, count(*) AS nodes FROM vocab GROUP BY topic) n ON n.topic = w.topic
+  LEFT JOIN (SELECT topic, count(*) AS edges FROM edges GROUP BY topic) e ON e.topic = w.topic
+  LEFT JOIN (SELECT topic, count(*) AS story FROM story GROUP BY topic) s ON s.topic = w.topic""",
+            recursive=True,
+        ),
         "coherence_cv": _with(_COHERENCE, "SELECT mt AS topic, round(avg(c), 6) AS coherence FROM cosine GROUP BY mt"),
         "coherence_curve": _with(_CURVE, "SELECT k, coherence, k = 4 AS is_recommended FROM curve"),
         "select_k": _with(
@@ -572,8 +602,8 @@ grid AS (SELECT t.topic, w.word, coalesce(p.p, 0) AS p FROM tot t CROSS JOIN wn
         ),
         "parse_topic_names": _with(
             _POSTS,
-            "SELECT post_id, CASE WHEN country = 'de' THEN NULL ELSE domain_group END AS first_title, "
-            "country NOT IN ('de', 'es') AS complete FROM posts WHERE domain_group IS NOT NULL",
+            "SELECT post_id, CASE WHEN country = 'de' THEN NULL ELSE coalesce(domain_group, 'none') END AS first_title, "
+            "country NOT IN ('de', 'es') AS complete FROM posts",
         ),
         "map_chunks": _with(_POSTS, "SELECT post_id, len(full_text) AS n FROM posts"),
     }

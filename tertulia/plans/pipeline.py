@@ -17,6 +17,7 @@ from tertulia.operators import tokens as tk
 from tertulia.operators import topics as tm
 from tertulia.session import stage
 from tertulia.sources import files
+from tertulia.sources.emoji import unicode_aliases
 from tertulia.sources.layout import RunLayout
 
 
@@ -84,7 +85,8 @@ def mine_topics(
 
     The order matters and is fixed: samples come before all statistics; posts per network count missing, repeated and
     unlisted posts; repeated posts and hashtags are counted before deduplication; and texts are deduplicated before
-    networks are filtered, so the first post of a text decides.
+    networks are filtered, so the first post of a text decides. Emoji become words, named by ``emoji (emoji, alias)`` or
+    else by their Unicode names.
     """
     began = datetime.now()
     layout, mode = c.layout.settle(spark, c.conflict)
@@ -107,6 +109,7 @@ def mine_topics(
     with clock.time("Text cleaning"):
         unique = volumes.watch(dedupe.dedupe_content(present), "distinct_text")
         kept = profile.filter_networks(profile.parse_date(unique), c.networks)
+        emoji = unicode_aliases(spark) if emoji is None else emoji
         cleaned = stage(tk.clean_posts(kept, emoji=emoji, strict_urls=c.strict_urls), "cleaned")
     with clock.time("Drop duplicates after cleaning"):
         distinct = stage(volumes.watch(dedupe.dedupe_tokens(cleaned), "distinct_tokens"), "distinct")
@@ -170,7 +173,9 @@ def classify_and_report(
     out(words.select("date", F.col("topic").alias("Topic"), "processed", F.col("word").alias("Palabra")), "Words_Topic_Timeline")
     short = timeline.words_topic_timeline(flat, carry=("post_id", "date", "topic"))
     top = stage(timeline.top_words_per_topic(short), "top-words")
-    out(timeline.words_timeline_topic(words, top), "words_timeline_topic", ["topic"])
+    hits = timeline.words_timeline_topic(words, top)
+    named = hits.select("date", F.col("topic").alias("Topic"), "processed", F.col("word").alias("Palabra"), F.col("topic").alias("topic_id"))
+    out(named, "words_timeline_topic", ["topic_id"])
     labels = naming.default_labels(terms)
     out(labels, "topic_names")
     counts = stage(timeline.topic_word_count(short), "topic-words")
@@ -199,7 +204,11 @@ def choose_from_stored(spark: SparkSession, layout: RunLayout) -> DataFrame:
 
 
 def more_topics(spark: SparkSession, c: MiningConfig, layout: RunLayout, ks: list[int]) -> DataFrame:
-    """The stored curve extended by the requested numbers of topics; only missing ones are fitted."""
+    """The values of the requested numbers of topics; only missing ones are fitted, and the stored curve is extended by them."""
     stored = stage(files.scan_coherence(spark, layout.table("Coherence_values")), "coherence")
     done = files.scan_parquet(spark, f"{layout.results}/df_processed.parquet")
-    return tm.lda_range(done, ks, layout.models, stored, replace(c.lda))
+    found = stage(tm.lda_range(done, ks, layout.models, stored, replace(c.lda)), "coherence")
+    curve = stored.join(found, "k", "left_anti").select("k", "coherence").unionByName(found.select("k", "coherence"))
+    pairs = curve.select(F.col("k").alias("Topics"), F.col("coherence").alias("Coherence")).orderBy("Topics")
+    files.write_csv(pairs, layout.table("Coherence_values"), "overwrite")
+    return found

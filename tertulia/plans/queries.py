@@ -629,20 +629,32 @@ def _fitted(spark: SparkSession, sf_dir: str):
 
 @query
 def lda_fit(spark, sf_dir):
-    _, vectors, model = _fitted(spark, sf_dir)
-    return tm.topic_terms(model, vectors.counter, 10)
+    """Per topic: how many leading terms there are, how many of them the posts have, and whether weights fall."""
+    tokens, vectors, model = _fitted(spark, sf_dir)
+    return _term_summary(tokens, tm.topic_terms(model, vectors.counter, 10))
+
+
+def _term_summary(tokens: DataFrame, terms: DataFrame) -> DataFrame:
+    known = tk.vocabulary(tokens).select(F.col("term").alias("word"), F.lit(1).alias("known"))
+    weights = F.col("rows.weight")
+    falling = F.forall(F.zip_with(weights, F.slice(weights, 2, F.size(weights)), lambda a, b: b.isNull() | (a >= b)), lambda x: x)
+    rows = terms.join(known, "word", "left").groupBy("topic").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "weight"))).alias("rows"), F.sum("known").alias("n_known"), F.sum("weight").alias("mass")
+    )
+    return rows.select("topic", F.size("rows").cast("long").alias("n_terms"), "n_known", falling.alias("falling"), (F.col("mass") <= 1 + 1e-9).alias("is_share"))
 
 
 @query
 def lda_range(spark, sf_dir):
     tokens, _, _ = _fitted(spark, sf_dir)
-    return tm.lda_range(tokens, [2, 3, 4], settings=tm.LdaSettings(passes=5))
+    curve = tm.lda_range(tokens, [2, 3, 4])
+    return curve.select("k", F.col("coherence").between(0, 1).alias("in_range"))
 
 
 @query
 def topic_terms(spark, sf_dir):
-    _, vectors, model = _fitted(spark, sf_dir)
-    return tm.topic_terms(model, vectors.counter, 25)
+    tokens, vectors, model = _fitted(spark, sf_dir)
+    return _term_summary(tokens, tm.topic_terms(model, vectors.counter, 25))
 
 
 @query
@@ -650,7 +662,10 @@ def model_store(spark, sf_dir):
     _, vectors, model = _fitted(spark, sf_dir)
     folder = new_folder(spark, "models")
     tm.save_model(model, vectors.counter, folder, 4)
-    return tm.topic_terms(*tm.load_model(folder, 4), 25)
+    before = tm.topic_terms(model, vectors.counter, 25).withColumnRenamed("weight", "was")
+    after = tm.topic_terms(*tm.load_model(folder, 4), 25)
+    both = before.join(after, ["topic", "rank", "word"], "full")
+    return both.groupBy("topic").agg(F.count("weight").alias("n_terms"), F.count_if(~F.col("was").eqNullSafe(F.col("weight"))).alias("n_different"))
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -660,17 +675,26 @@ def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def classify(spark, sf_dir):
-    return _classified(spark, sf_dir).select("post_id", "topic", F.round(F.array_max("topic_proba"), 6).alias("p"))
+    mix = F.col("topic_proba")
+    whole = F.round(F.aggregate(mix, F.lit(0.0), lambda a, x: a + x), 6)
+    best = F.get(mix, F.col("topic")) == F.array_max(mix)
+    return _classified(spark, sf_dir).select("post_id", F.col("topic").between(0, 3).alias("known_topic"), best.alias("is_largest"), whole.alias("mix"))
 
 
 @query
 def topic_proba_wide(spark, sf_dir):
-    return tm.topic_proba_wide(_classified(spark, sf_dir).drop("processed", "lang_topic"), 4)
+    wide = tm.topic_proba_wide(_classified(spark, sf_dir).drop("processed", "lang_topic"), 4)
+    parts = [F.col(f"Topic_{i}_proba") for i in range(4)]
+    own = F.get(F.array(*parts), F.col("Topic")) == F.greatest(*parts)
+    return wide.select("post_id", own.alias("topic_has_largest"), F.round(sum(parts[1:], parts[0]), 6).alias("mix"))
 
 
 @query
 def topic_projection_2d(spark, sf_dir):
-    return tm.topic_projection_2d(_classified(spark, sf_dir))
+    points = tm.topic_projection_2d(_classified(spark, sf_dir))
+    finite = F.abs("x").between(0, 2) & F.abs("y").between(0, 2)  # mixes lie in the unit simplex
+    listed = F.get(F.array(*[F.lit(c) for c in tm.COLOURS]), F.col("topic")) == F.col("colour")
+    return points.select("post_id", finite.alias("on_plane"), listed.alias("own_colour"))
 
 
 @query
@@ -772,7 +796,7 @@ def topic_prompt_payload(spark, sf_dir):
 @query
 def parse_topic_names(spark, sf_dir):
     """Replies made from the posts: German ones are no JSON, Spanish ones name one topic only."""
-    posts = fx.posts(spark, sf_dir).where("domain_group is not null")
+    posts = fx.posts(spark, sf_dir).withColumn("domain_group", F.coalesce("domain_group", F.lit("none")))
     titles = F.when(F.col("country") == "es", F.create_map(F.lit("0"), "domain_group")).otherwise(
         F.create_map(F.lit("0"), "domain_group", F.lit("1"), "country")
     )
@@ -790,4 +814,7 @@ def visual_payload(spark, sf_dir):
     weights = timeline.top_per_topic(words, 25).withColumnRenamed("n", "weight")
     nodes = graphs.graph_nodes(vocab, graphs.closeness(edges), graphs.betweenness(edges))
     top = stage(graphs.top_sqrt_edges(graphs.adjacent_words(tokens)), "top-edges")
-    return naming.visual_payload(weights, nodes, edges, graphs.topic_story(graphs.break_cycles(top)))
+    payload = naming.visual_payload(weights, nodes, edges, graphs.topic_story(graphs.break_cycles(top)))
+    shape = "weights array<struct<word:string>>, nodes array<struct<term:string>>, edges array<struct<src:string>>, story array<struct<word:string>>"
+    parts = payload.select("topic", F.from_json("payload", shape).alias("p"))
+    return parts.select("topic", *[F.size(f"p.{name}").cast("long").alias(name) for name in ("weights", "nodes", "edges", "story")])

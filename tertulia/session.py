@@ -89,14 +89,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def few_parts(df: DataFrame) -> DataFrame:
-    """Merge the parts of ``df`` down to four per shuffle partition, without a shuffle.
-
-    For tasks that hand on one summary of fixed size each: with fewer tasks, fewer summaries have to be added up.
-    """
-    return df.coalesce(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (cheap on a staged table: row counts sit in the footers)."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -146,3 +146,62 @@ def test_languages_are_found_again(spark):
     for r in rows:
         best[r.topic] = max(best[r.topic], r["count"])
     assert sum(best.values()) / sum(r["count"] for r in rows) > 0.7
+
+
+def test_posts_without_known_terms_get_the_prior(spark):
+    docs = token_table(spark, [["a", "b"], ["a", "c"], ["b", "c", "c"]] * 4)
+    vectors = tm.vectorize(docs)
+    model = tm.lda_fit(vectors, 2)
+    rows = tm.classify(token_table(spark, [[], ["zzz"], ["a"]]), model, vectors.counter).orderBy("post_id").collect()
+    assert rows[0].topic_proba == rows[1].topic_proba == [0.5, 0.5] and rows[0].topic == 0
+    assert all(sum(r.topic_proba) == pytest.approx(1) for r in rows)
+
+
+def test_all_terms_are_kept_or_fitting_stops(spark):
+    docs = token_table(spark, [[f"t{i}" for i in range(40)], ["t1"]])
+    assert len(tm.vectorize(docs).counter.vocabulary) == 40
+    with pytest.raises(ValueError, match="bytes on the driver"):
+        tm.lda_fit(tm.vectorize(docs), 3, tm.LdaSettings(matrix_bytes=40 * 2 * 8))
+
+
+def test_a_range_goes_on_where_it_stopped(spark, tmp_path):
+    docs = token_table(spark, [["a", "b"], ["a", "c"], ["b", "c", "c"]] * 4)
+    first = {r.k: r.coherence for r in tm.lda_range(docs, [2], str(tmp_path)).collect()}
+    stored = spark.createDataFrame([(2, -5.0)], "k int, coherence double")
+    stored.write.mode("overwrite").parquet(f"{tmp_path}/k=2/coherence")  # a value that no fit gives
+    after = {r.k: r.coherence for r in tm.lda_range(docs, [2, 3], str(tmp_path)).collect()}
+    assert set(first) == {2} and after[2] == -5.0 and set(after) == {2, 3}
+
+
+def test_topics_without_a_common_term_have_a_distance(spark):
+    from tertulia.operators.relevance import topic_distance
+
+    terms = spark.createDataFrame([(0, "a", 1.0), (1, "b", 1.0), (2, "a", 0.5), (2, "c", 0.5)], "topic int, word string, p double")
+    found = {(r.topic_a, r.topic_b): r.distance for r in topic_distance(terms).collect()}
+    assert set(found) == {(0, 1), (0, 2), (1, 2)}
+    assert found[0, 1] == found[1, 2] == pytest.approx(math.log(2)) and 0 < found[0, 2] < math.log(2)
+
+
+def test_long_emoji_sequences_stay_whole(spark):
+    from tertulia.operators import tokens as tk
+
+    text = "\u200d".join(["\U0001F469"] * 12)
+    table = spark.createDataFrame([(text, "twelve")], "emoji string, alias string")
+    rows = tk.demojize(spark.createDataFrame([(1, f"x {text} y")], "post_id long, content string"), table)
+    assert rows.first().content == "x :twelve: y"
+
+
+def test_other_masters_need_a_shared_folder(spark, monkeypatch):
+    from tertulia import session
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = lambda self: self
+        get = lambda self, *a: None
+        getCheckpointDir = lambda self: None
+
+    class Session:
+        sparkContext = conf = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())

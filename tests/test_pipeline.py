@@ -61,7 +61,8 @@ def test_reports_follow_from_the_stored_model(spark, run):
     words = files.scan_csv(spark, layout.table("words_global"))
     assert words.columns == ["word", "topic_id", "importance", "word_count"] and words.count() == 75
     top = spark.read.option("header", True).csv(layout.table("words_timeline_topic"))
-    assert top.where("Palabra = ''").isEmpty() if "Palabra" in top.columns else top.count() > 0
+    assert top.columns == ["date", "Topic", "processed", "Palabra", "topic_id"] and top.count() > 0
+    assert top.where("Palabra = '' or Topic <> topic_id").isEmpty()
 
 
 def test_more_topics_keeps_stored_values(spark, run):
@@ -69,6 +70,8 @@ def test_more_topics_keeps_stored_values(spark, run):
     before = {r.k: r.coherence for r in files.scan_coherence(spark, result.layout.table("Coherence_values")).collect()}
     after = {r.k: r.coherence for r in pipeline.more_topics(spark, config, result.layout, [3, 4, 5]).collect()}
     assert set(after) == {3, 4, 5} and after[3] == pytest.approx(before[3])
+    stored = {r.k for r in files.scan_coherence(spark, result.layout.table("Coherence_values")).collect()}
+    assert stored == {2, 3, 4, 5}
 
 
 def test_a_second_run_does_not_overwrite(spark, run):
