@@ -175,7 +175,7 @@ def _bitmap(values: DataFrame) -> Broadcast:
 
     placed = map_rows(values, place, "part long, place long")
     out = np.zeros(bits // 8, np.uint8)
-    for row in placed.groupBy("part").agg(F.bitmap_construct_agg("place").alias("b")).toLocalIterator():
+    for row in placed.groupBy("part").agg(F.bitmap_construct_agg("place").alias("b")).collect():  # BITS bits at most
         out[row["part"] * 4096 : row["part"] * 4096 + 4096] |= np.frombuffer(row["b"], np.uint8)[: len(out)]
     return spark.sparkContext.broadcast(out)
 
