@@ -22,23 +22,25 @@ changes nothing. Sums are formed before every shuffle, and very frequent keys ar
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tertulia.llm.tables import box, map_rows, unbox
+from tertulia.llm.tables import box, unbox
 from tertulia.session import stage
 
 LENGTH = 100
 GRAM = 32
 BLOCK = 11
 BITS = 1 << 28
+# Rows after which a task hands on what it has found.
+ROWS = 500_000
 # A position is a number below 2**40, above it 23 bits of the text's hash: rows that repeat an id are told apart.
 PLACE = (1 << 40) - 1
 
@@ -140,26 +142,44 @@ def _runs(text: str, tag: int, level: int, open_runs: np.ndarray | None, open_bl
     return whole, whole, window, np.ones(len(window), np.int64)
 
 
-def _emit(docs: DataFrame, level: int, seen: Broadcast | None, open_docs: Broadcast | None, open_runs: Broadcast | None, open_blocks: Broadcast | None) -> DataFrame:
+def _emit(docs: DataFrame, level: int, seen: Broadcast | None, filters: list[Broadcast | None]) -> DataFrame:
+    """The runs of a level: the short strings alone for counting, or all columns of those that ``seen`` lets through."""
     kind = docs.schema["doc"].dataType.simpleString()
-    value: Callable = lambda b: b.value if b is not None else None
-
-    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        known, texts, runs, blocks = value(seen), value(open_docs), value(open_runs), value(open_blocks)
-        for doc, tag, text in rows:
-            if texts is not None and not _is_set(texts, np.array([tag]))[0]:
-                continue
-            found = _runs(text, tag, level, runs, blocks)
-            if found is None:
-                continue
-            short, long, at, n = found
-            keep = np.flatnonzero(_is_set(known, short.view(np.int64)))
-            if len(keep):
-                short, long = short[keep].view(np.int64).tolist(), long[keep].view(np.int64).tolist()
-                for row in zip(short, long, (at[keep] + tag).tolist(), n[keep].tolist()):
-                    yield row[0], row[1], doc, row[2], row[3]
-
-    return map_rows(docs, run, f"short long, long long, doc {kind}, at long, n int")
+    schema = f"short long, long long, doc {kind}, at long, n int" if seen else "short long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, texts, runs, blocks = (b.value if b is not None else None for b in (seen, *filters))
+        for batch in batches:
+            ids, tags = batch.column(0), batch.column(1).to_numpy()
+            held: list[tuple] = []
+            size = 0
+            for i in np.flatnonzero(_is_set(texts, tags)).tolist():
+                found = _runs(batch.column(2)[i].as_py(), int(tags[i]), level, runs, blocks)
+                if found is None:
+                    continue
+                short, long, at, n = found
+                if seen is None:
+                    held.append((short,))
+                else:
+                    keep = np.flatnonzero(_is_set(known, short.view(np.int64)))
+                    held.append((short[keep], long[keep], np.full(len(keep), i), at[keep] + tags[i], n[keep]))
+                size += len(held[-1][0])
+                if size > ROWS:
+                    yield _as_batch(held, ids)
+                    held, size = [], 0
+            if held:
+                yield _as_batch(held, ids)
+
+    return docs.mapInArrow(run, schema)
+
+
+def _as_batch(held: list[tuple], ids: pa.Array) -> pa.RecordBatch:
+    columns = [np.concatenate(x) for x in zip(*held)]
+    out = {"short": pa.array(columns[0].view(np.int64))}
+    if len(columns) > 1:
+        out |= {"long": pa.array(columns[1].view(np.int64)), "doc": ids.take(pa.array(columns[2]))}
+        out |= {"at": pa.array(columns[3].astype(np.int64)), "n": pa.array(columns[4].astype(np.int32))}
+    return pa.RecordBatch.from_pydict(out)
 
 
 def _bitmap(values: DataFrame) -> Broadcast:
@@ -168,12 +188,12 @@ def _bitmap(values: DataFrame) -> Broadcast:
     values = stage(values.distinct(), "bits")
     bits = min(BITS, max(1 << 16, 1 << (64 * values.count()).bit_length()))
 
-    def place(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for (value,) in rows:
-            at = int(_mix(np.array([value], np.int64).view(np.uint64))[0]) & (bits - 1)
-            yield at >> 15, at & 32767
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = (_mix(batch.column(0).to_numpy().astype(np.int64).view(np.uint64)) & np.uint64(bits - 1)).view(np.int64)
+            yield pa.RecordBatch.from_pydict({"part": pa.array(at >> 15), "place": pa.array(at & 32767)})
 
-    placed = map_rows(values, place, "part long, place long")
+    placed = values.mapInArrow(place, "part long, place long")
     out = np.zeros(bits // 8, np.uint8)
     for row in placed.groupBy("part").agg(F.bitmap_construct_agg("place").alias("b")).collect():  # BITS bits at most
         out[row["part"] * 4096 : row["part"] * 4096 + 4096] |= np.frombuffer(row["b"], np.uint8)[: len(out)]
@@ -198,8 +218,8 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     tagged = docs.select(F.col(key).alias("doc"), _tag(text).alias("tag"), F.col(text).alias("text")).filter(F.octet_length("text") >= LENGTH)
     found, filters = [], [None, None, None]
     for level in range(3):
-        counted = _emit(tagged, level, None, *filters).groupBy("short").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("short")
-        rows = stage(_emit(tagged, level, _bitmap(counted), *filters), "ranked-runs")
+        counted = _emit(tagged, level, None, filters).groupBy("short").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("short")
+        rows = stage(_emit(tagged, level, _bitmap(counted), filters), "ranked-runs")
         decided = _decided(rows)
         found.append(decided.filter("repeated"))
         still = decided.filter(~F.col("repeated"))
