@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tertulia.functions.words import stopword_list
 from tertulia.operators.tokens import clean_posts, word_count
 from tertulia.sources.files import spread_out
+from tertulia.session import stage
 
 NETWORKS = ["click", "purchase", "view"]
 EXTRA_STOP = ["mas", "asi", "aca"]
@@ -59,7 +60,7 @@ def stop_words() -> list[str]:
 
 def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A concave curve ``(k, coherence)``: the share of all tokens that the k most used words cover, k = 1 to 12."""
-    counts = word_count(tokens(spark, sf_dir))
+    counts = stage(word_count(tokens(spark, sf_dir)), "word-counts")
     total = counts.agg(F.sum("n").alias("n")).scalar()
     top = counts.orderBy(F.desc("n"), "word").limit(12)
     order = Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "word")

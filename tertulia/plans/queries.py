@@ -219,7 +219,7 @@ def distinct_networks(spark, sf_dir):
 
 @query
 def stage_volumes(spark, sf_dir):
-    posts, tokens = fx.posts(spark, sf_dir), fx.tokens(spark, sf_dir)
+    posts, tokens = stage(fx.posts(spark, sf_dir), "posts"), fx.tokens(spark, sf_dir)
     present = profile.drop_null_content(posts)
     stages = {"read": posts, "with_text": present, "distinct_text": dedupe.dedupe_content(posts)}
     return profile.stage_volumes(stages | {"distinct_tokens": dedupe.dedupe_tokens(tokens)})
