@@ -39,6 +39,7 @@ LENGTH = 100
 GRAM = 32
 BLOCK = 11
 BITS = 1 << 28
+PART = 1 << 22
 # Rows after which a task hands on what it has found.
 ROWS = 500_000
 # A position is a number below 2**40, above it 23 bits of the text's hash: rows that repeat an id are told apart.
@@ -109,9 +110,22 @@ def _is_set(bitmap: np.ndarray | None, values: np.ndarray) -> np.ndarray:
     return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def _runs(text: str, tag: int, level: int, open_runs: np.ndarray | None, open_blocks: np.ndarray | None):
-    """``(short, long, at, n)`` of the runs of one level, as arrays."""
-    found = anchor_runs(text.encode("utf-8", "surrogatepass"))
+def _runs(text: str, tag: int, level: int, open_runs: np.ndarray | None, open_blocks: np.ndarray | None, part_size: int):
+    """``(short, long, at, n)`` of the runs of one level, as arrays, or None.
+
+    Huge texts are done in parts of ``part_size`` windows; a run that a part's end divides is two runs, on every level.
+    """
+    data = text.encode("utf-8", "surrogatepass")
+    parts = []
+    for at in range(0, max(1, len(data) - LENGTH + 1), part_size):
+        part = _part_runs(data[at : at + part_size + LENGTH - 1], tag + at, level, open_runs, open_blocks)
+        if part is not None:
+            parts.append((part[0], part[1], part[2] + at, part[3]))
+    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else None
+
+
+def _part_runs(data: bytes, tag: int, level: int, open_runs: np.ndarray | None, open_blocks: np.ndarray | None):
+    found = anchor_runs(data)
     if found is None:
         return None
     hashes, anchor, first, n = found
@@ -146,6 +160,7 @@ def _emit(docs: DataFrame, level: int, seen: Broadcast | None, filters: list[Bro
     """The runs of a level: the short strings alone for counting, or all columns of those that ``seen`` lets through."""
     kind = docs.schema["doc"].dataType.simpleString()
     schema = f"short long, long long, doc {kind}, at long, n int" if seen else "short long"
+    part_size = PART
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, texts, runs, blocks = (b.value if b is not None else None for b in (seen, *filters))
@@ -154,7 +169,7 @@ def _emit(docs: DataFrame, level: int, seen: Broadcast | None, filters: list[Bro
             held: list[tuple] = []
             size = 0
             for i in np.flatnonzero(_is_set(texts, tags)).tolist():
-                found = _runs(batch.column(2)[i].as_py(), int(tags[i]), level, runs, blocks)
+                found = _runs(batch.column(2)[i].as_py(), int(tags[i]), level, runs, blocks, part_size)
                 if found is None:
                     continue
                 short, long, at, n = found
@@ -244,14 +259,14 @@ def _cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
     out = []
     for text, own in zip(texts, spans):
         data = text.encode("utf-8", "surrogatepass")
-        edge = np.zeros(len(data) + 1, np.int64)
-        pairs = np.array([(s["start"], s["start"] + s["size"]) for s in own], dtype=np.int64)
-        np.add.at(edge, pairs[:, 0], 1)
-        np.add.at(edge, pairs[:, 1], -1)
-        gone = np.cumsum(edge[:-1]) > 0
-        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-        runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-        out.append((kept, int(gone.sum()), runs))
+        start = np.array([s["start"] for s in own], dtype=np.int64)
+        order = np.argsort(start, kind="stable")
+        start = start[order]
+        reach = np.maximum.accumulate(start + np.array([s["size"] for s in own], dtype=np.int64)[order])
+        first = np.flatnonzero(np.concatenate(([True], start[1:] > reach[:-1])))  # spans that touch are one
+        begin, end = start[first], reach[np.append(first[1:], len(start)) - 1]
+        kept = b"".join(data[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(data)]))
+        out.append((kept, int((end - begin).sum()), len(first)))
     return pd.DataFrame(out, columns=["kept", "n_removed", "n_spans"])
 
 

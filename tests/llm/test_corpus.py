@@ -19,7 +19,9 @@ def test_repeats(spark, sf, rows):
     assert by_id(registered.op2_suffix_dedup(spark, sf), "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.suffix_dedup(rows)
 
 
-def test_repeats_of_hard_texts(spark):
+@pytest.mark.parametrize("part", [37, 1 << 22])
+def test_repeats_of_hard_texts(spark, monkeypatch, part):
+    monkeypatch.setattr(repeats, "PART", part)
     rng = random.Random(3)
     base = "".join(rng.choice("abcé") for _ in range(400))
     texts = ["q" * 350, base, base[:99] + "X" + base[100:], base[50:260] + base[40:250], "", None, base, "ab" * 200, base[7:107], base[120:219]]
