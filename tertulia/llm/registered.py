@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tertulia.llm import decontaminate, html_text, licenses, line_dedup, near_duplicates, packing, quality_rules, repeats, token_counts, toxicity
+from tertulia.llm import decontaminate, html_text, licenses, line_dedup, near_duplicates, oracles, packing, quality_rules, repeats, token_counts, toxicity
 from tertulia.llm.tables import read
 from tertulia.session import ship_package, stage
 
@@ -109,4 +109,4 @@ QUERIES: dict[str, Query] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_html_text": op4_html_text, "op5_token_counts": op5_token_counts, "op6_licenses": op6_licenses, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op9_near_duplicates": op9_near_duplicates, "op10_decontaminate": op10_decontaminate}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracles.SQL

@@ -166,3 +166,11 @@ def test_native_operators_run_no_python(spark, sf):
     for name in ("op6_licenses", "op10_decontaminate"):
         plan = registered.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "MapInArrow", "CartesianProduct", "NestedLoop"))
+
+
+@pytest.mark.parametrize("name", sorted(registered.SQL))
+def test_queries_equal_their_sql(spark, sf, name):
+    from tests.compare import compare, connect
+
+    ok, note = compare(spark, connect(sf), sf, name, registered.QUERIES[name], registered.SQL[name])
+    assert ok, note
