@@ -10,9 +10,9 @@ Equal sets are one class, found by a 128-bit digest, and only class representati
 have the same least digest are a group around it, its pivot. Each member is compared with the pivot on full sets, and what
 is linked makes up components. A pair inside a component needs no look; of other pairs in a group, one member at least is
 not linked to the pivot. In groups of up to ``SMALL`` members these pairs are compared one by one. In larger groups only
-some can be linked: let x and y share i shingles, and c(x), c(y) shingles with the pivot. Either i <= min(c(x), c(y)),
-which the sizes must allow, or they share a shingle outside the pivot, at least i - c(x) of them, so that a prefix in hash
-order has one. The first kind is found by sizes, the second by a join on shingles. A group of very many copies, each with
+some can be linked: let P be any set of shingles, here those of the pivot and of ``MODELS`` further members, x and y share
+i shingles, and c(x), c(y) be in P. Either i <= min(c(x), c(y)), which the sizes must allow, or they share a shingle
+outside of P, at least i - c(x) of them, so that a prefix in hash order has one. The first kind is found by sizes, the second by a join on shingles. A group of very many copies, each with
 edits of its own, thus costs about one comparison per member, and no link is lost.
 """
 
@@ -24,7 +24,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,7 @@ from tertulia.session import stage
 SHINGLE = 4
 BANDS = 30
 SMALL = 16
+MODELS = 4
 PERMUTATIONS = 2 * BANDS
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -118,35 +119,44 @@ def _sets(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _compared(percent: int) -> Column:
-    """Of the sets ``set_a`` (the pivot) and ``set_b``: whether 100 * intersection >= percent * union, the size of the
-    intersection, and, where ``large``, the shingles outside the pivot one of which a link to another member must have."""
+    """Of the sets ``set_a`` (the pivot) and ``set_b``: whether 100 * intersection >= percent * union. With the sets of
+    ``models`` also how much of ``set_b`` is in one of them or the pivot, and the shingles outside, one of which a link to
+    another member must have."""
     fields = [("linked", T.BooleanType()), ("same", T.LongType()), ("tokens", T.ArrayType(T.LongType()))]
 
     @F.pandas_udf(T.StructType([T.StructField(*f) for f in fields]))
-    def compare(a: pd.Series, b: pd.Series, large: pd.Series) -> pd.DataFrame:
+    def compare(a: pd.Series, b: pd.Series, models: pd.Series) -> pd.DataFrame:
         linked, shared, tokens = [], [], []
-        for x, y, more in zip(a, b, large):
+        for x, y, more in zip(a, b, models):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
-            same = int(common.sum())
+            same = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
             linked.append(100 * same >= percent * (len(x) + len(y) - same))
-            shared.append(same)
-            if not more:
+            if more is None:
+                shared.append(same)
                 tokens.append(None)
                 continue
+            x = np.unique(np.concatenate([x, *(np.frombuffer(m, np.uint64) for m in more)]))
+            common = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
+            same = int(common.sum())
+            shared.append(same)
             outside = y[~common].view(np.int64)
             # a partner is not smaller than percent of this set
             least = -(-percent * (len(y) + -(-percent * len(y) // 100)) // (100 + percent)) - same
             tokens.append(outside[: max(0, len(outside) - max(1, least) + 1)].tolist())
         return pd.DataFrame({"linked": linked, "same": shared, "tokens": tokens})
 
-    return compare(F.col("set_a"), F.col("set_b"), F.col("large"))
+    return compare(F.col("set_a"), F.col("set_b"), F.col("models"))
 
 
 def _with_pivots(groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """``groups (p, x)``, pivots and members, with the result of the comparison."""
     sizes = groups.groupBy("p").agg((F.count(F.lit(1)) > SMALL).alias("large"))
-    both = groups.join(sizes, "p").select("p", "x", "large", F.col("p.c").alias("pc"), F.col("x.c").alias("xc"))
+    sized = groups.join(sizes, "p")
+    # a few members of each large group; the rank is cut before the shuffle
+    first = sized.filter("large").withColumn("rank", F.row_number().over(Window.partitionBy("p").orderBy("x"))).filter(F.col("rank") <= MODELS)
+    some = full.select(F.col("c").alias("xc"), F.col("shingles").alias("model"))
+    models = first.select("p", F.col("x.c").alias("xc")).join(some, "xc").groupBy("p").agg(F.collect_list("model").alias("models"))
+    both = sized.join(models, "p", "left").select("p", "x", "large", "models", F.col("p.c").alias("pc"), F.col("x.c").alias("xc"))
     a = full.select(F.col("c").alias("pc"), F.col("shingles").alias("set_a"))
     b = full.select(F.col("c").alias("xc"), F.col("shingles").alias("set_b"))
     rows = both.join(a, "pc").join(b, "xc").select("p", "x", "large", _compared(percent).alias("r"))
@@ -239,7 +249,7 @@ def _full_sets(rows: DataFrame, sets: DataFrame, wanted: DataFrame, length: int)
 def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     a = full.select(F.col("c").alias("a"), F.col("shingles").alias("set_a"))
     b = full.select(F.col("c").alias("b"), F.col("shingles").alias("set_b"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("large", F.lit(False))
+    both = pairs.join(a, "a").join(b, "b").withColumn("models", F.lit(None).cast("array<binary>"))
     return both.select("a", "b", _compared(percent).alias("r")).filter("r.linked").select("a", "b")
 
 
