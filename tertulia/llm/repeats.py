@@ -49,7 +49,6 @@ _RNG = np.random.default_rng(1729)
 _BYTES = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
-_TOP = np.iinfo(np.uint64).max
 _PLACES = np.uint64((1 << 31) - 1)  # a string has less than 2**31 bytes
 
 
@@ -59,11 +58,17 @@ def _mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(32))
 
 
+_KNOWN: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(out, out=out)
+    """The first ``n`` powers; the longest list so far is kept, at most ``PART`` and a little of them."""
+    if base not in _KNOWN or len(_KNOWN[base]) < n:
+        out = np.full(max(n, 1 << 16), base, np.uint64)
+        out[0] = 1
+        with np.errstate(over="ignore"):
+            _KNOWN[base] = np.cumprod(out, out=out)
+    return _KNOWN[base][:n]
 
 
 class Hashes:
@@ -76,6 +81,13 @@ class Hashes:
         with np.errstate(over="ignore"):
             np.cumsum(_BYTES[codes] * _powers(_BASE, len(codes) + 1)[:-1], out=self.sums[1:])
 
+    def every(self, width: int) -> np.ndarray:
+        """The hashes of all spans of one width."""
+        with np.errstate(over="ignore"):
+            h = self.sums[width:] - self.sums[:-width]
+            h *= self.back[: len(h)]
+            return _mix(h)
+
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             return _mix((self.sums[end] - self.sums[start]) * self.back[start])
@@ -85,10 +97,12 @@ def _least(h: np.ndarray, w: int) -> np.ndarray:
     """The place of the least of the upper 33 bits, the leftmost of equal ones, in every run of ``w``."""
     n = len(h)
     h = (h & ~_PLACES) | np.arange(n, dtype=np.uint64)
-    x = np.concatenate((h, np.full(-n % w, _TOP, np.uint64))).reshape(-1, w)
-    before = np.minimum.accumulate(x, 1).ravel()
-    after = np.minimum.accumulate(x[:, ::-1], 1)[:, ::-1].ravel()
-    return (np.minimum(after[: n - w + 1], before[w - 1 : n]) & _PLACES).astype(np.int64)
+    # the least of runs of doubling length, until two of them overlap to one of w
+    size = 1
+    while 2 * size <= w:
+        h = np.minimum(h[:-size], h[size:])
+        size *= 2
+    return (np.minimum(h[: n - w + 1], h[w - size : w - size + n - w + 1]) & _PLACES).astype(np.int64)
 
 
 def anchor_runs(data: bytes) -> tuple[Hashes, np.ndarray, np.ndarray, np.ndarray] | None:
@@ -97,8 +111,7 @@ def anchor_runs(data: bytes) -> tuple[Hashes, np.ndarray, np.ndarray, np.ndarray
     if n < LENGTH:
         return None
     hashes = Hashes(data)
-    grams = hashes.spans(np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))
-    anchor = _least(grams, LENGTH - GRAM + 1)
+    anchor = _least(hashes.every(GRAM), LENGTH - GRAM + 1)
     first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
     return hashes, anchor[first], first, np.diff(np.append(first, len(anchor)))
 
@@ -130,7 +143,8 @@ def _part_runs(data: bytes, tag: int, level: int, open_runs: np.ndarray | None,
         return None
     hashes, anchor, first, n = found
     if level == 0:
-        return hashes.spans(anchor, anchor + GRAM), hashes.spans(first, first + n - 1 + LENGTH), first, n
+        long = hashes.spans(first, first + n - 1 + LENGTH)
+        return hashes.spans(anchor, anchor + GRAM), long, first, n
     live = _is_set(open_runs, first + tag)
     anchor, first, n = anchor[live], first[live], n[live]
     if not len(first):
