@@ -6,7 +6,8 @@ text stands side by side below an element; the main text is where that sum is la
 there to the body is the page's threshold, and other subtrees that reach it give their densest part too.
 
 Elements that by their name, role or class are no article (menus, footers, sidebars, notices, adverts, forms, reader
-comments) are taken out before. Tags are read by one regular expression, from left to right; ends that are missing are
+comments) are taken out before. What only a class, id, role, ``hidden`` or a form says does not take out the article itself:
+an element that holds an article or most of the page's text outside of links stays. Tags are read by one regular expression, from left to right; ends that are missing are
 implied as browsers do for paragraphs, list items and table cells. Time and memory are linear in the page.
 """
 
@@ -30,41 +31,48 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 # Elements that are never part of an article.
-OUTSIDE = RAW | frozenset("head nav header footer aside form button select option input menu dialog svg math canvas object video audio".split())
+OUTSIDE = RAW | frozenset("head nav header footer aside button select option input menu dialog svg math canvas object video audio".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-# Words of class and id attributes that name what is no article.
+# Words of class and id attributes that name what is no article; a compound ("has-sidebar") may just mention it.
 NOTES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsored sponsor promo promoted promotion menu nav navbar navigation breadcrumb breadcrumbs "
     "sidebar aside widget widgets related recommended footer header masthead cookie cookies consent notice notices popup modal overlay newsletter subscribe "
     "signup login share sharing social comment comments respond disqus form search pagination pager toolbar copyright".split()
 )
-ATTRIBUTE = re.compile(r"(?i)\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
+# How much an element's marks say that it is no article.
+PLAIN, HINTED, NAMED = 0, 1, 2
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("html body article section main div ul ol dl table td th blockquote".split())
 
 
-def _outside(tag: str, attributes: str) -> bool:
-    if tag in OUTSIDE:
-        return True
+def _mark(tag: str, attributes: str) -> int:
     if not attributes.strip() or tag in ("html", "body", "article", "main"):
-        return False
+        return HINTED if tag == "form" else PLAIN
+    mark, seen = HINTED if tag == "form" else PLAIN, set()
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         value, name = (a or b or c).lower(), name.lower()
+        if name in seen:  # the first of a name counts
+            continue
+        seen.add(name)
         if name == "role":
-            if value in ROLES:
-                return True
+            if value.strip() in ROLES:
+                return NAMED
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        elif name in ("class", "id") and not NOTES.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+            return NAMED
+        elif name in ("class", "id"):
+            if not NOTES.isdisjoint(value.split()):
+                return NAMED
+            if not NOTES.isdisjoint(re.split(r"[^a-z]+", value)):
+                mark = HINTED
+    return mark
 
 
 class _Page:
     """Elements in page order; ``pieces`` are texts and breaks between blocks, each with its element."""
 
     def __init__(self, source: str):
-        self.tags, self.parents, self.skipped = ["#page"], [-1], [False]
+        self.tags, self.parents, self.skipped, self.marks = ["#page"], [-1], [False], [PLAIN]
         self.pieces: list[tuple[int, str | None]] = []
         stack, at = [0], 0
         lowered: str | None = None  # made once, for pages with raw elements that do not end in the usual form
@@ -91,11 +99,13 @@ class _Page:
                 at = len(source) if stop < 0 else source.find(">", stop) + 1 or len(source)
             elif tag not in VOID and not m[3].endswith("/"):
                 stack.append(node)
+        self._take_out()
 
     def _open(self, parent: int, tag: str, attributes: str) -> int:
         self.tags.append(tag)
         self.parents.append(parent)
-        self.skipped.append(self.skipped[parent] or _outside(tag, attributes))
+        self.skipped.append(self.skipped[parent] or tag in OUTSIDE)
+        self.marks.append(PLAIN if self.skipped[-1] else _mark(tag, attributes))
         if tag not in INLINE:
             self.pieces.append((parent, None))
         return len(self.tags) - 1
@@ -126,6 +136,49 @@ class _Page:
                 return
 
 
+    def _unlinked(self) -> list[int]:
+        """Characters outside of links in each element, without what is skipped."""
+        n = len(self.tags)
+        chars, in_link = [0] * n, [False] * n
+        for i in range(1, n):
+            in_link[i] = self.tags[i] == "a" or in_link[self.parents[i]]
+        for node, text in self.pieces:
+            if text and not in_link[node] and not self.skipped[node]:
+                chars[node] += len("".join(text.split()))
+        for i in range(n - 1, 0, -1):
+            chars[self.parents[i]] += chars[i]
+        return chars
+
+    def _skip(self, mark: int, stays: list[bool]) -> None:
+        for i in range(1, len(self.tags)):
+            if self.skipped[self.parents[i]] or (self.marks[i] == mark and not stays[i]):
+                self.skipped[i] = True
+
+    def _take_out(self) -> None:
+        """Skip marked elements, unless they hold an article or most of the text outside of links.
+
+        What is named outright goes, too, where an article stands beside it (comments are often articles). Where nothing
+        would be left, hints count for nothing.
+        """
+        if not any(self.marks):
+            return
+        n = len(self.tags)
+        holds, named, beside = [False] * n, [False] * n, False
+        for i in range(1, n):
+            named[i] = named[self.parents[i]] or self.marks[i] == NAMED
+            if self.tags[i] in ("article", "main") and not self.skipped[i]:
+                holds[i] = True
+                beside = beside or not named[i]
+        for i in range(n - 1, 0, -1):
+            holds[self.parents[i]] |= holds[i]
+        chars = self._unlinked()
+        self._skip(NAMED, [not beside and (h or 2 * c > chars[0]) for h, c in zip(holds, chars)])
+        chars, before = self._unlinked(), list(self.skipped)
+        self._skip(HINTED, [h or 2 * c > chars[0] for h, c in zip(holds, chars)])
+        if not self._unlinked()[0]:
+            self.skipped = before
+
+
 def main_text(source: str | None) -> str:
     """The blocks of the main text in page order, white space in each turned into single blanks, joined by a blank."""
     if not source:
@@ -134,7 +187,7 @@ def main_text(source: str | None) -> str:
     n = len(page.tags)
     chars, linked, tags, links = [0] * n, [0] * n, [0] * n, [0] * n
     for node, text in page.pieces:
-        if text:
+        if text and not page.skipped[node]:
             chars[node] += len("".join(text.split()))
     in_link = [False] * n
     for i in range(1, n):

@@ -105,6 +105,31 @@ def test_page_forms(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "Here is a sentence of the article. " * 6
+
+
+@pytest.mark.parametrize("wrapper", ["div style='overflow:hidden'", "div data-hidden=false", "div title='hidden gems'", "div data-class=ad data-id=menu"])
+def test_pages_attributes_are_whole_names(wrapper):
+    page = f"<body><nav><a>home</a></nav><{wrapper}><p>{LONG}</p></div></body>"
+    assert html_text.main_text(page) == LONG.strip()
+
+
+@pytest.mark.parametrize("wrapper", ["div class='content has-sidebar'", "div id=page-with-menu", "div class='post share-enabled'", "form action=x", "div hidden"])
+@pytest.mark.parametrize("inside", ["article", "div"])
+def test_pages_with_marked_wrappers(wrapper, inside):
+    tag = wrapper.split()[0]
+    page = f"<{wrapper}><div class=menu-bar>menu</div><{inside}><p>{LONG}</p><p>{LONG}</p></{inside}></{tag}>"
+    assert html_text.main_text(f"<body>{page}<div class=site-footer>some words at the end</div></body>") == (LONG * 2).strip()
+
+
+def test_pages_drop_comments_that_are_articles():
+    page = f"<article><p>{LONG}</p></article><div id=comments><article><p>{LONG * 3}</p></article></div><div hidden><p>{LONG * 9}</p></div>"
+    assert html_text.main_text(page) == LONG.strip()
+    shared = "<div class='post share-on'><article><p>one</p></article></div>"
+    assert html_text.main_text(shared * 3) == "one one one"
+    assert html_text.main_text("<div class=post-widget>" + LONG + "</div>" + "<div class=text-widget>" + LONG + "</div>") == (LONG * 2).strip()
+
+
 def test_pages_with_clashing_columns(spark):
     pages = spark.createDataFrame([(1, "<p>a", "old", 9), (1, None, None, None)], "page_id long, html string, text string, n_chars int")
     assert sorted(map(tuple, html_text.extract_text(pages).collect())) == [(1, "", 0), (1, "a", 1)]
