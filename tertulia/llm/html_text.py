@@ -2,8 +2,10 @@
 
 A page becomes a tree of elements. An element's density is its characters per tag, adjusted for links: text inside links
 counts against it, by the page's own share of linked text. The sum of the densities of its children says how much dense
-text stands side by side below an element; the main text is where that sum is largest. The least density on the path from
-there to the body is the page's threshold, and other subtrees that reach it give their densest part too.
+text stands side by side below an element; the main text lies where that sum is largest. If that is inside an article (or,
+without one, inside main), all of the article is taken: its headings and short sections, too. From there on the outermost
+element is taken that adds hardly any links. The least density on the path from the densest part to the body is the page's
+threshold, and other subtrees that reach it give their densest part too, with the article around it.
 
 Elements that by their name, role or class are no article (menus, footers, sidebars, notices, adverts, forms, reader
 comments) are taken out before. What only a class, id, role, ``hidden`` or a form says does not take out the article itself:
@@ -42,6 +44,8 @@ NOTES = frozenset(
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
 # How much an element's marks say that it is no article.
 PLAIN, HINTED, NAMED = 0, 1, 2
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+FEW_LINKS = 0.05  # share of linked characters
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("html body article section main div ul ol dl table td th blockquote".split())
 
@@ -226,16 +230,46 @@ def main_text(source: str | None) -> str:
     while i > body:
         i = page.parents[i]
         least = min(least, density[i])
+    # the outermost article around each element, or the outermost main if there is no article
+    around, mains, articles, heads = [-1] * n, [-1] * n, [0] * n, [0] * n
+    for i in range(1, n):
+        p, tag = page.parents[i], page.tags[i]
+        around[i] = i if around[p] < 0 and tag == "article" else around[p]
+        mains[i] = i if mains[p] < 0 and tag == "main" else mains[p]
+    for i in range(n - 1, 0, -1):
+        if not page.skipped[i]:
+            if page.tags[i] in HEADINGS:
+                heads[i] = chars[i]
+            articles[page.parents[i]] += articles[i] + (page.tags[i] == "article")
+            heads[page.parents[i]] += heads[i]
+
+    def whole(i: int) -> int:
+        return around[i] if around[i] >= 0 else mains[i] if mains[i] >= 0 else i
+
     chosen = [False] * n
-    chosen[top] = True
+    main = i = whole(top)
+    plain = around[top] < 0 and mains[top] < 0
+    few = max(FEW_LINKS, linked[main] / max(1, chars[main]))
+    while i > body:
+        i = page.parents[i]
+        added = chars[i] - chars[main]
+        if linked[i] - linked[main] > few * added:
+            continue
+        # beside a marked article only what belongs to it: more articles, headings, the rest of main
+        if plain or page.tags[i] == "main" or articles[i] > articles[main] + (page.tags[main] == "article") or heads[i] - heads[main] == added:
+            main = i
+    chosen[main] = True
+    seen = [False] * n
     for i in range(body, n):
         p = page.parents[i]
-        if p >= 0 and chosen[p]:
-            chosen[i] = True
-        elif i != body and not page.skipped[i] and density[i] >= least and i != top and chars[i]:
+        seen[i] = chosen[i] or (p >= 0 and seen[p])
+        if not seen[i] and i != body and not page.skipped[i] and density[i] >= least and chars[i]:
             inside = best[i]
             if sums[inside] > 0 or page.tags[i] not in INLINE:
-                chosen[inside] = True
+                chosen[whole(inside) if around[inside] >= 0 else inside] = True
+                seen[i] = chosen[i]
+    for i in range(body + 1, n):
+        chosen[i] = chosen[i] or chosen[page.parents[i]]
     blocks, block = [], []
     for node, text in page.pieces:
         if text is None:

@@ -122,6 +122,29 @@ def test_pages_with_marked_wrappers(wrapper, inside):
     assert html_text.main_text(f"<body>{page}<div class=site-footer>some words at the end</div></body>") == (LONG * 2).strip()
 
 
+def _paragraphs(n, length):
+    return " ".join(f"<p>{'word ' * (length // 5)}</p>" for _ in range(n))
+
+
+@pytest.mark.parametrize("outer", ["article", "main", "div", "main><article"])
+@pytest.mark.parametrize("heading", ["<h1>A heading of some thirty letters</h1>", "", "<p>A short plain paragraph</p>"])
+def test_pages_with_sections(outer, heading):
+    links = "<ul>" + "<li><a href=x>some other page</a></li>" * 9 + "</ul>"
+    sections = f"<section><h2>A</h2>{_paragraphs(10, 200)}</section><section>{_paragraphs(2, 150)}</section><div><p>end</p></div>"
+    found = html_text.main_text(f"<body><nav>{links}</nav>{links}<{outer}>{heading}{sections}</{outer.split('>')[0]}>{links}</body>")
+    want = " ".join([re.sub("<.*?>", "", heading), "A", *["word"] * (10 * 40 + 2 * 30), "end"])
+    assert found == want.strip()
+
+
+def test_pages_with_outer_headings_and_more_articles():
+    article = f"<article>{_paragraphs(3, 200)}</article>"
+    want = " ".join(["word"] * 120)
+    assert html_text.main_text(f"<body><div><h1>Outer</h1>{article}</div><div>beside</div></body>") == f"Outer {want}"
+    short = "<article><h2>Short</h2><p>short post</p></article>"
+    assert html_text.main_text(f"<main>{article}{short}</main>") == f"{want} Short short post"
+    assert html_text.main_text(f"<body><div>{article}{short}{short}</div></body>") == f"{want} Short short post Short short post"
+
+
 def test_pages_drop_comments_that_are_articles():
     page = f"<article><p>{LONG}</p></article><div id=comments><article><p>{LONG * 3}</p></article></div><div hidden><p>{LONG * 9}</p></div>"
     assert html_text.main_text(page) == LONG.strip()
