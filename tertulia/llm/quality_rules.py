@@ -1,12 +1,15 @@
 """Quality rules whose cutoffs come with a guarantee.
 
-A rule rejects a document when a ratio of its base statistics passes a cutoff. Cutoffs are not set by hand: labelled
-documents are a holdout that no cutoff was fitted on, and a cutoff may be used in a stratum (a language) only if the share
-of good documents it rejects there is proven to be at most ``risk``. The proof is the exact binomial (Clopper-Pearson)
-upper bound. With ``S`` strata, ``R`` rules and ``C`` cutoffs per rule the bounds are taken at an error of
-``error / (S * R * C)`` each (Bonferroni), so that with probability ``1 - error`` all rules of all strata keep their
-promise at once, whichever cutoffs are then chosen. Of the proven cutoffs the one is chosen that rejects most of the bad
-documents less ``caution`` times the good ones; where none is proven or none helps, the rule is off.
+A rule rejects a document when a ratio of its base statistics passes a cutoff. Cutoffs are not set by hand, and those of a
+stratum (a language) may be used only if the share of good documents that they reject there, all rules together, is proven
+to be at most ``risk``. Labelled documents are divided by a hash of their ids. On a third of them cutoffs are looked for:
+one step after the other is taken that adds rejected bad documents, less ``caution`` times the good ones, those first that
+cost least. So each combination of cutoffs rejects what the one before rejects and more. The other documents, on which
+nothing was fitted, prove them in this order: the exact binomial (Clopper-Pearson) upper bound of the good documents that
+any rule rejects must be at most ``risk``. The first combination that fails ends the search, and the last proven one is
+used. An order that is fixed before needs no correction for the number of combinations, so with ``S`` strata the bounds are
+taken at an error of ``error / S`` each: with probability ``1 - error`` all strata keep their promise at once. Where nothing
+is proven or helps, the rules are off. The base check is no rule and not part of the promise.
 """
 
 from __future__ import annotations
@@ -34,14 +37,14 @@ REPEAT_WINDOW = 5
 
 @dataclass(frozen=True)
 class Settings:
-    """``risk`` bounds the share of good documents a rule may reject in a stratum."""
+    """``risk`` bounds the share of good documents that all rules together may reject in a stratum."""
 
     risk: float = 0.02
     error: float = 0.05
     caution: float = 5.0
 
 
-# The ratio of each rule and its cutoffs; a document above the cutoff is rejected.
+# The ratio of each rule and its cutoffs, laxest first; a document above the cutoff is rejected.
 RULES: dict[str, tuple[str, tuple[float, ...]]] = {
     "symbols": ("n_symbols / greatest(n_words, 1)", (1.0, 0.5, 0.3, 0.2, 0.1, 0.05, 0.02)),
     "duplicate_lines": ("n_dup_lines / greatest(n_lines, 1)", (0.7, 0.6, 0.5, 0.4, 0.3, 0.2)),
@@ -114,35 +117,41 @@ def cutoffs(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str
     """
     truth = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("good"))
     held = stats.filter(~base_failed()).join(truth, "id")
-    counts = [F.count_if(F.col("good") == 1).alias("good"), F.count_if(F.col("good") != 1).alias("bad")]
-    for rule, (ratio, steps) in RULES.items():
-        for i, step in enumerate(steps):
-            above = F.expr(ratio) > step
-            counts.append(F.count_if(above & (F.col("good") == 1)).alias(f"{rule}_{i}_good"))
-            counts.append(F.count_if(above & (F.col("good") != 1)).alias(f"{rule}_{i}_bad"))
-    table = stage(held.groupBy("stratum").agg(*counts), "rule-counts")
-    tests = max(1, table.count()) * sum(len(steps) for _, steps in RULES.values())
-    error = settings.error / tests
+    # how many of its cutoffs a document passes says all of a rule: these are the strictest ones
+    passed = [sum((F.expr(ratio) > step).cast("int") for step in steps).alias(rule) for rule, (ratio, steps) in RULES.items()]
+    proof = (F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(3)) != 0).alias("proof")
+    alike = held.select("stratum", proof, *passed, (F.col("good") == 1).alias("is_good")).groupBy("stratum", "proof", *RULES)
+    table = stage(alike.agg(F.count_if("is_good").alias("good"), F.count_if(~F.col("is_good")).alias("bad")), "rule-counts")
+    error = settings.error / max(1, table.select("stratum").distinct().count())
     schema = T.StructType([T.StructField("stratum", T.StringType()), *(T.StructField(rule, T.DoubleType()) for rule in RULES)])
 
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            out = []
-            for row in rows.to_dict("records"):
-                chosen: dict = {"stratum": row["stratum"]}
-                for rule, (_, steps) in RULES.items():
-                    best = None
-                    for i, step in enumerate(steps):
-                        good, bad = int(row[f"{rule}_{i}_good"]), int(row[f"{rule}_{i}_bad"])
-                        if upper_bound(good, int(row["good"]), error) <= settings.risk:
-                            gain = bad / max(1, row["bad"]) - settings.caution * good / max(1, row["good"])
-                            if gain > 0 and (best is None or gain > best[0]):
-                                best = (gain, step)
-                    chosen[rule] = best[1] if best else None
-                out.append(chosen)
-            yield pd.DataFrame(out, columns=schema.fieldNames()).astype({r: "float64" for r in RULES})
-
-    return table.mapInPandas(choose, schema)
+    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+        found = _proven(rows, settings, error)
+        out = {"stratum": rows["stratum"].iloc[0]} | {r: RULES[r][1][i] if i >= 0 else None for r, i in found.items()}
+        return pd.DataFrame([out], columns=schema.fieldNames()).astype({r: "float64" for r in RULES})
+
+    return table.groupBy("stratum").applyInPandas(choose, schema)
+
+
+def _proven(rows: pd.DataFrame, settings: Settings, error: float) -> dict[str, int]:
+    """The number of the cutoff of each rule in one stratum, -1 where it is off."""
+    good, bad, proof = rows["good"].to_numpy(), rows["bad"].to_numpy(), rows["proof"].to_numpy(bool)
+    passed = {rule: rows[rule].to_numpy() for rule in RULES}
+    n_good, n_bad, n_proof = max(1, good[~proof].sum()), max(1, bad[~proof].sum()), int(good[proof].sum())
+    used, gone = {rule: -1 for rule in RULES}, np.zeros(len(rows), bool)
+    while True:
+        best = None
+        for rule, (_, steps) in RULES.items():
+            for i in range(used[rule] + 1, len(steps)):
+                more = gone | (passed[rule] >= len(steps) - i)
+                cost = good[more & ~gone & ~proof].sum()
+                gain = bad[more & ~gone & ~proof].sum() / n_bad - settings.caution * cost / n_good
+                if gain > 0 and (best is None or gain / (cost + 1) > best[0]):
+                    best = (gain / (cost + 1), rule, i, more)
+        if best is None or upper_bound(int(good[best[3] & proof].sum()), n_proof, error) > settings.risk:
+            return used
+        _, rule, i, gone = best
+        used = used | {rule: i}
 
 
 def assess(

@@ -175,6 +175,21 @@ def test_quality_cutoffs_keep_good_documents(spark):
     assert kept[1] > 0.95 and kept[0] < 0.5
 
 
+def test_quality_risk_holds_for_all_rules_together(spark):
+    # each rule alone rejects 1.5 % of the good documents, other ones than the other rules, and 20 % of the bad ones
+    plain = dict(n_words=100, word_chars=500, n_symbols=0, n_dup_lines=0, n_lines=10, n_repeat_words=0)
+    marks = [dict(n_symbols=60), dict(n_dup_lines=5), dict(n_repeat_words=16), dict(word_chars=1100), dict(word_chars=220)]
+    kinds = [plain | marks[i % 1000 // 15] if i % 1000 < 75 else plain for i in range(12_000)] + [plain | marks[i % 5] for i in range(3_000)]
+    names = ["id", "stratum", *plain]
+    stats = spark.createDataFrame([(i, "en", *kind.values()) for i, kind in enumerate(kinds)], names)
+    labels = spark.createDataFrame([(i, int(i < 12_000)) for i in range(15_000)], "doc_id long, quality int")
+    chosen = quality_rules.cutoffs(stats, labels).first().asDict()
+    fails = [F.coalesce(F.expr(ratio) > F.lit(chosen[rule]), F.lit(False)) for rule, (ratio, _) in quality_rules.RULES.items()]
+    lost = stats.filter(F.array_contains(F.array(*fails), True)).groupBy((F.col("id") < 12_000).alias("good")).count()
+    lost = {r.good: r["count"] for r in lost.collect()}
+    assert lost[True] <= 0.02 * 12_000 and lost[False] >= 600
+
+
 def test_upper_bound_is_exact():
     for k, n in ((0, 50), (3, 200), (10, 1000)):
         p = quality_rules.upper_bound(k, n, 0.01)
