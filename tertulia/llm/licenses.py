@@ -9,6 +9,8 @@ by exact containment of the template's shingles in the window.
 
 Only windows that hold some shingle of some template can share a MinHash value with one. They are found first, by a join
 on shingles, and all others are left alone; this loses nothing.
+
+Templates of fewer than ``SHINGLE`` words have no shingle. They are found word for word, by a join on their first word.
 """
 
 from __future__ import annotations
@@ -42,6 +44,17 @@ def _bands(df: DataFrame, name: str) -> DataFrame:
     return df.select("*", F.posexplode(F.array(*values)).alias("band", "least"))
 
 
+def _short(rows: DataFrame, short: DataFrame, max_broadcast: int) -> DataFrame:
+    """``(id, license, containment)`` for the short templates that occur word for word."""
+    starts = short.groupBy(F.get("h", F.lit(0)).alias("x")).agg(F.collect_set(F.struct("license", "h")).alias("starts"))
+    hashed = held(rows, "h", word_hashes(F.col("text"))).drop("text")
+    runs = F.transform("h", lambda w, i: F.struct(w.alias("x"), F.slice("h", i + 1, SHINGLE - 1).alias("words")))
+    spots = hashed.select("id", "k1", F.explode(runs).alias("r")).select("id", "k1", "r.x", "r.words")
+    met = lookup_join(spots, starts, ["x"], "inner", salt_by="k1", max_rows=max_broadcast)
+    here = F.filter("starts", lambda t: F.slice("words", F.lit(1), F.size(t["h"])) == t["h"])
+    return met.select("id", F.explode(F.transform(here, lambda t: t["license"])).alias("license")).distinct().withColumn("containment", F.lit(1.0))
+
+
 def scan(
     docs: DataFrame, templates: DataFrame, key: str = "doc_id", text: str = "text", license_key: str = "license_id", template_text: str = "template",
     max_broadcast: int = 1_000_000,
@@ -49,11 +62,12 @@ def scan(
     """``(key, license_id, containment)``: a row for each document and license found in it, with the largest containment.
 
     Words are compared without case and punctuation. Null and empty texts have no license; templates of fewer than
-    ``SHINGLE`` words are found nowhere. Rows that repeat an id give one result together, and rows without an id are one
+    ``SHINGLE`` words must occur word for word, and those without words are found nowhere. Rows that repeat an id give one result together, and rows without an id are one
     document called null. A license may have several templates. Other columns are ignored.
     """
     rows = keyed(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), "id", "text")
     known = templates.select(F.col(license_key).alias("license"), word_hashes(F.col(template_text)).alias("h"))
+    short = stage(known.filter((F.size("h") > 0) & (F.size("h") < SHINGLE)).distinct(), "short-templates")
     size = F.greatest(F.lit(SMALLEST), F.pow(F.lit(2), F.ceil(F.log2(F.size("h")))).cast("int"))
     known = _shingles(known.filter(F.size("h") >= SHINGLE).withColumn("c", size))
     known = stage(known.select("license", "c", F.array_distinct("g").alias("g")).distinct(), "templates")
@@ -88,6 +102,8 @@ def scan(
     found = _bands(cut.select("id", "c", "s"), "s").join(template_bands, ["c", "band", "least"]).drop("band", "least")
     share = F.size(F.array_intersect("s", "t")) / F.size("t")
     verified = found.select("id", "license", share.alias("containment")).filter(F.col("containment") >= CONTAINED)
+    if not short.isEmpty():
+        verified = verified.unionByName(_short(texts, short, max_broadcast))
     best = verified.groupBy("id", "license").agg(F.max("containment").alias("containment"))
     return best.select(F.col("id").alias(key), F.col("license").alias(license_key), "containment")
 
@@ -116,3 +132,53 @@ NOTICES = [
         "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions",
     ),
 ]
+
+# Further headers, titles and short forms. Each differs from those of other licenses in more than a fifth of its shingles.
+RESERVED = "LicenseRef-All-Rights-Reserved"
+_FORMS = {
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"],
+    "AGPL-3.0": [
+        "GNU Affero General Public License version 3", "GNU Affero General Public License v3", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+        "GNU Affero General Public License as published by the", "AGPLv3", "AGPL v3", "AGPL-3.0",
+    ],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0 license", "Apache License Version 2.0, January 2004"],
+    "BSD-2-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "BSD 2-Clause", "2-Clause BSD", "Simplified BSD License",
+    ],
+    "BSD-3-Clause": [
+        "may be used to endorse or promote products derived from this software without specific prior written permission",
+        "BSD 3-Clause", "3-Clause BSD", "New BSD License", "Modified BSD License",
+    ],
+    "BSL-1.0": ["Boost Software License"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International", "CC BY 4.0"],
+    "CC-BY-SA-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International", "CC BY-SA 4.0"],
+    "CC-BY-SA-3.0": ["Creative Commons Attribution-ShareAlike 3.0", "CC BY-SA 3.0"],
+    "CC-BY-ND-4.0": ["Creative Commons Attribution-NoDerivatives 4.0 International", "CC BY-ND 4.0"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International", "CC BY-NC 4.0"],
+    "CC-BY-NC-SA-4.0": ["Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International", "CC BY-NC-SA 4.0"],
+    "CC-BY-NC-ND-4.0": ["Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International", "CC BY-NC-ND 4.0"],
+    "CC0-1.0": ["CC0 1.0 Universal", "CC0 1.0", "has waived all copyright and related or neighboring rights to"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License v2.0", "Eclipse Public License - v 2.0"],
+    "GPL-2.0": ["GNU General Public License version 2", "GNU General Public License v2", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991", "GPLv2", "GPL v2"],
+    "GPL-3.0": ["GNU General Public License version 3", "GNU General Public License v3", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June", "GPLv3", "GPL v3"],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+        "copyright notice and this permission notice appear in all copies",
+        "ISC License",
+    ],
+    "LGPL-2.1": ["GNU Lesser General Public License version 2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", "LGPLv2.1", "LGPL v2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License version 3", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "LGPLv3", "LGPL v3"],
+    "MIT": ["MIT License", "Licensed under MIT", "Released under MIT"],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        "Mozilla Public License 2.0", "Mozilla Public License Version 2.0", "MPL 2.0",
+    ],
+    "Unlicense": ["This is free and unencumbered software released into the public domain"],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising "
+        "from the use of this software",
+        "zlib License",
+    ],
+}
+FORMS = [(name, form) for name, forms in _FORMS.items() for form in [*forms, f"SPDX-License-Identifier: {name}"]] + [(RESERVED, "All rights reserved.")]

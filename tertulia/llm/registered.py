@@ -57,17 +57,23 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the licenses whose notices it holds, comma-joined, and the number of them."""
+    """Every document with the licenses whose notices it holds, comma-joined, and the number of them.
+
+    A notice that rights are reserved is no license and has a column of its own.
+    """
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    templates = spark.createDataFrame(licenses.NOTICES, "license_id string, template string")
+    templates = spark.createDataFrame(licenses.NOTICES + licenses.FORMS, "license_id string, template string")
+    granted = F.col("license_id") != licenses.RESERVED
     found = licenses.scan(docs, templates).groupBy("doc_id").agg(
-        F.array_join(F.array_sort(F.collect_list("license_id")), ",").alias("licenses"),
-        F.count(F.lit(1)).alias("n_licenses"),
-        F.round(F.max("containment"), 6).alias("containment"),
+        F.array_join(F.array_sort(F.collect_list(F.when(granted, F.col("license_id")))), ",").alias("licenses"),
+        F.count_if(granted).alias("n_licenses"),
+        F.round(F.max(F.when(granted, F.col("containment"))), 6).alias("containment"),
+        F.count_if(~granted).alias("reserved"),
     )
     joined = docs.select("doc_id").join(found, "doc_id", "left")
     return joined.select(
-        "doc_id", F.coalesce("licenses", F.lit("")).alias("licenses"), F.coalesce("n_licenses", F.lit(0)).alias("n_licenses"), "containment"
+        "doc_id", F.coalesce("licenses", F.lit("")).alias("licenses"), F.coalesce("n_licenses", F.lit(0)).alias("n_licenses"), "containment",
+        (F.coalesce("reserved", F.lit(0)) > 0).alias("rights_reserved"),
     )
 
 

@@ -53,6 +53,18 @@ def test_licenses_inside_long_texts(spark):
     assert licenses.scan(docs.limit(0), templates).count() == licenses.scan(docs, templates.limit(0)).count() == 0
 
 
+def test_licenses_of_other_forms(spark, tmp_path):
+    texts = {
+        "Licensed under the MIT License": "MIT", "x SPDX-License-Identifier: MPL-2.0 y": "MPL-2.0", "under CC BY 4.0.": "CC-BY-4.0", "GPLv2": "GPL-2.0",
+        "the GNU Lesser General Public License, version 2.1": "LGPL-2.1", "CC BY-SA 4.0": "CC-BY-SA-4.0", "BSD 3-Clause": "BSD-3-Clause", "ISC License": "ISC",
+        "CC0 1.0": "CC0-1.0", "GNU Affero General Public License version 3": "AGPL-3.0", "MIT is no license": "", "all rights": "", None: "",
+    }
+    data = [(i, t) for i, t in enumerate([*texts, "(c) All Rights Reserved"])]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = by_id(registered.op6_licenses(spark, str(tmp_path)), "licenses", "rights_reserved")
+    assert found == {i: (want, False) for i, want in enumerate(texts.values())} | {len(texts): ("", True)}
+
+
 def test_lines(spark, sf, rows):
     want = {d: (n, k, hashlib.sha256(t.encode()).hexdigest()) for d, (n, k, t) in brute.line_dedup(rows).items()}
     assert by_id(registered.op8_line_dedup(spark, sf), "n_lines", "n_dropped", "kept_sha256") == want
