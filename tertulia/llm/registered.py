@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tertulia.llm import decontaminate, html_text, licenses, line_dedup, near_duplicates, oracles, packing, quality_rules, repeats, token_counts, toxicity
+from tertulia.llm import decontaminate, html_text, knn_join, licenses, line_dedup, near_duplicates, oracles, packing, quality_rules, repeats, token_counts, toxicity, whitening, word_runs
 from tertulia.llm.tables import read
 from tertulia.session import ship_package, stage
 
@@ -110,9 +111,46 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_join.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of every tenth document (by a checksum of its id) with a tail that repeats a few of them."""
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_runs.word_runs(read(spark, sf_dir, "documents"), rewrite=repeated_tail)
+    # exact comparison of length / period; runs are in order, so that the first of equals stays
+    better = lambda best, r: F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", F.aggregate("runs", none, better))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
-    "op4_html_text": op4_html_text, "op5_token_counts": op5_token_counts, "op6_licenses": op6_licenses, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op9_near_duplicates": op9_near_duplicates, "op10_decontaminate": op10_decontaminate}
+    "op4_html_text": op4_html_text, "op5_token_counts": op5_token_counts, "op6_licenses": op6_licenses, "op7_packing": op7_packing, "op8_line_dedup": op8_line_dedup, "op9_near_duplicates": op9_near_duplicates, "op10_decontaminate": op10_decontaminate,
+    "op11_top_k": op11_top_k,
+    "op12_word_runs": op12_word_runs,
+    "op13_whitening": op13_whitening,
+}
 SQL: dict[str, str] = oracles.SQL

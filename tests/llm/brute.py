@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -121,3 +122,29 @@ def contamination(rows, items):
                     found |= windows[tuple(words[j : j + n])]
         out[doc] = (len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
     return out
+
+
+def top_k(rows, k=5, every=50):
+    """Highest inner products of floor(256 * x) as whole numbers; shorter vectors are filled up with zeros."""
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for i, q in good:
+        if i % every == 0:
+            scores = [(max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(q, x)))), j) for j, x in good if j != i]
+            out += [(i, rank + 1, j, s) for rank, (s, j) in enumerate(sorted(scores, key=lambda r: (-r[0], r[1]))[:k])]
+    return sorted(out)
+
+
+def word_runs(words):
+    """Runs (start, length, smallest period) of at least 6 words and 4 periods, by extending every period from every place."""
+    out = []
+    for q in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(6, 4 * q) and not any(all(words[t] == words[t + r] for t in range(i, j + q - r)) for r in range(1, q)):
+                out.append((i, j + q - i, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
