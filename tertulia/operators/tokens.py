@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tertulia.functions import text
-from tertulia.functions.sequences import adjacent, merge_at, without_words
-from tertulia.session import lookup_join, stage
+from tertulia.functions.sequences import adjacent, merge_at, merge_pairs, without_words
+from tertulia.session import fits_broadcast, lookup_join, stage
 
 # Parts of speech kept by the lexicon filter.
 KEPT_POS = ["NOUN", "ADJ", "VERB", "ADV", "PROPN", "NUM"]
 
+# Most phrases that travel inside the plan.
+PHRASES_IN_ROW = 100_000
+
 # Blocks that hold pictographs, skin tones, and sequences joined by a zero-width joiner; two letters make a flag.
 PICTOGRAPH = r"[\x{2300}-\x{23FF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}\x{1F000}-\x{1FAFF}]"
 _TONE = r"\x{FE0F}?[\x{1F3FB}-\x{1F3FF}]?"
@@ -93,14 +97,36 @@ def phrase_model(df: DataFrame, min_count: int = 5, threshold: float = 20.0, col
     return scored.where(F.col("score") > threshold).select("a", "b", "n", "score")
 
 
-def apply_phrases(df: DataFrame, phrases: DataFrame, column: str = "processed", key: str = "post_id") -> DataFrame:
+def apply_phrases(
+    df: DataFrame, phrases: DataFrame, column: str = "processed", key: str = "post_id", max_phrases: int = PHRASES_IN_ROW
+) -> DataFrame:
     """Merge phrases to ``a_b``, greedily from left to right, without overlap.
 
-    A phrase position is taken greedily exactly when it is the 1st, 3rd, 5th ... of a run of consecutive phrase
-    positions. Only the matching positions are shuffled; the token lists stay whole.
+    The phrases are counted. Up to ``max_phrases`` travel in the plan as a hash table, and each list is merged inside its
+    row: nothing is shuffled, and no position is ever a row. More of them are joined to the positions, and of the positions
+    only matching ones are shuffled. Both ways give the same lists.
     """
+    table = stage(phrases.select("a", "b"), "phrase-pairs")
+    if fits_broadcast(table, max_phrases):
+        return df.withColumn(column, merge_pairs(F.col(column), _pair_table(table)))
+    return _apply_many_phrases(df, table, column, key)
+
+
+def _pair_table(table: DataFrame) -> Callable[[Column, Column], Column]:
+    """A test for the pairs of a small table: one constant of buckets, of which a look-up compares the few pairs of one."""
+    number = 2 * table.count() + 1
+    bucket = lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(number)).cast("int")
+    buckets: list[list[dict[str, str]]] = [[] for _ in range(number)]
+    for r in table.select(bucket("a", "b").alias("at"), "a", "b").collect():
+        buckets[r.at].append({"a": r.a, "b": r.b})
+    constant = F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<a:string,b:string>>>")
+    return lambda a, b: F.exists(F.get(constant, bucket(a, b)), lambda p: (p["a"] == a) & (p["b"] == b))
+
+
+def _apply_many_phrases(df: DataFrame, phrases: DataFrame, column: str, key: str) -> DataFrame:
+    """A phrase position is taken greedily exactly when it is the 1st, 3rd, 5th ... of a run of consecutive ones."""
     pairs = df.select(key, F.posexplode(adjacent(F.col(column))).alias("at", "p")).select(key, "at", "p.a", "p.b")
-    hits = lookup_join(pairs, phrases.select("a", "b"), ["a", "b"], "left_semi", key).select(key, "at")
+    hits = lookup_join(pairs, phrases, ["a", "b"], "left_semi", key).select(key, "at")
     order = Window.partitionBy(key).orderBy("at")
     runs = hits.withColumn("run", F.col("at") - F.row_number().over(order))
     runs = runs.groupBy(key, "run").agg(F.min("at").alias("first"), F.max("at").alias("last"))
@@ -116,20 +142,24 @@ def lemma_pos_filter(
 ) -> DataFrame:
     """Replace tokens by their lemma and drop unwanted parts of speech, from a table ``(form, pos, lemma)``.
 
-    Forms the table lacks stay as they are. The compact token lists are partitioned by post first, so that taking them
-    apart and putting them together again needs no shuffle of single tokens.
+    Forms the table lacks stay as they are. The rows are partitioned by post first, so that taking the lists apart and
+    putting them together again needs no shuffle of single tokens. The other columns travel with a post's first token, so
+    the posts are read once and not joined back.
     """
     forms = lexicon.groupBy("form").agg(F.min(F.struct("pos", "lemma")).alias("_entry"))
     forms = forms.select("form", F.col("_entry.pos").alias("_pos"), F.col("_entry.lemma").alias("_lemma"))
-    placed = df.select(key, column).repartition(key)
-    exploded = placed.select(key, F.posexplode_outer(column).alias("_at", "form")).where("form is not null")
+    others = [c for c in df.columns if c not in (key, column)]
+    rest = F.struct(F.lit(True).alias("_here"), *[F.col(f"`{c}`") for c in others])
+    placed = df.select(key, column, rest.alias("_rest")).repartition(key)
+    exploded = placed.select(key, "_rest", F.posexplode_outer(column).alias("_at", "form"))
+    first = F.coalesce("_at", F.lit(0)) == 0
+    exploded = exploded.where(F.col("form").isNotNull() | first).withColumn("_rest", F.when(first, F.col("_rest")))
     known = lookup_join(exploded, forms, ["form"], "left", key)
-    kept = known.where(F.col("_pos").isNull() | F.col("_pos").isin(pos or KEPT_POS))
-    word = F.coalesce("_lemma", "form").alias("w")
-    lists = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_at", word))).alias("_kept"))
-    lists = lists.select(key, F.col("_kept.w").alias("_words"))
-    joined = df.join(lists, key, "left")
-    return joined.withColumn(column, F.coalesce("_words", F.array().cast("array<string>"))).drop("_words")
+    kept = F.col("form").isNotNull() & (F.col("_pos").isNull() | F.col("_pos").isin(pos or KEPT_POS))
+    word = F.when(kept, F.struct("_at", F.coalesce("_lemma", "form").alias("w")))
+    lists = known.groupBy(key).agg(F.array_sort(F.collect_list(word)).alias("_kept"), F.any_value("_rest", F.lit(True)).alias("_rest"))
+    values = {key: F.col(key), column: F.col("_kept.w")}
+    return lists.select(*[values[c].alias(c) if c in values else F.col("_rest").getField(c).alias(c) for c in df.columns])
 
 
 def process_words(

@@ -66,13 +66,25 @@ def greedy(tokens, phrases):
     return out
 
 
-@pytest.mark.parametrize("bound", [1_000_000, 1])
-def test_phrases_merge_greedily(spark, bound, monkeypatch):
+@pytest.mark.parametrize("bound, in_row", [(1, 100), (1_000_000, 0), (1, 0)])
+def test_phrases_merge_greedily(spark, bound, in_row, monkeypatch):
     monkeypatch.setattr(tk, "lookup_join", lambda *a: lookup_join(*a, max_rows=bound))
     rng = random.Random(3)
     lists = [[rng.choice("abc") for _ in range(rng.randint(0, 30))] for _ in range(300)] + [list("abcab"), []]
     pairs = {("a", "b"), ("b", "b"), ("b", "c"), ("c", "a")}
     phrases = spark.createDataFrame(sorted(pairs), "a string, b string")
+    merged = tk.apply_phrases(token_table(spark, lists), phrases, max_phrases=in_row)
+    assert words(merged) == [greedy(t, pairs) for t in lists]
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange" not in plan and "Generate" not in plan) == (in_row > 0)
+    none = tk.apply_phrases(token_table(spark, lists), phrases.limit(0), max_phrases=in_row)
+    assert words(none) == lists
+
+
+def test_phrases_with_any_character(spark):
+    pairs = {("a\u0000b", "c"), ("'", '"'), ("\\", "é😀"), ("", "x")}
+    lists = [[*p, *p] for p in pairs] + [["a", "b\u0000c"], ["a\u0000b", "c", "c"], ["x", "x"]]
+    phrases = spark.createDataFrame(sorted(pairs), "a string, b string")
     assert words(tk.apply_phrases(token_table(spark, lists), phrases)) == [greedy(t, pairs) for t in lists]
 
 
@@ -94,6 +106,10 @@ def test_lexicon_replaces_and_drops(spark, bound, monkeypatch):
     lex = spark.createDataFrame([("los", "DET", "el"), ("gatos", "NOUN", "gato"), ("comen", "VERB", "comer")], "form string, pos string, lemma string")
     df = token_table(spark, [["los", "gatos", "comen", "gatos", "zzz"], ["los"], []])
     assert words(tk.lemma_pos_filter(df, lex)) == [["gato", "comer", "gato", "zzz"], [], []]
+    wide = df.selectExpr("'x' AS pos", "post_id", "post_id AS _at", "processed", "CAST(NULL AS int) AS topic")
+    kept = tk.lemma_pos_filter(wide, lex)
+    assert kept.columns == wide.columns and words(kept) == [["gato", "comer", "gato", "zzz"], [], []]
+    assert {(r.pos, r._at == r.post_id, r.topic) for r in kept.collect()} == {("x", True, None)}
 
 
 def test_emoji_become_words(spark):
