@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tertulia.functions.sequences import adjacent
+from tertulia.operators.cycles import break_cycles  # noqa: F401
 from tertulia.operators.timeline import doc_freq, top_per_topic
 from tertulia.session import stage
 
@@ -248,43 +249,6 @@ def top_sqrt_edges(pairs: DataFrame, salts: int = 64) -> DataFrame:
     return kept.withColumn("_at", whole).where("_at <= _limit").select("topic", "word", "next_word", "n")
 
 
-def break_cycles(edges: DataFrame) -> DataFrame:
-    """Drop every edge that is the lightest of some cycle; what is left has no cycle.
-
-    Taking the lightest edge that lies on a cycle, again and again, removes exactly these edges: an edge goes when its
-    head leads back to its tail over heavier edges only. All edges search at once, one step per round, and an edge that
-    found its way back stops. Equal weights are ordered by the words.
-    """
-    e = edges.select("topic", "word", "next_word", "n")
-    for _ in range(2):
-        # an edge whose tail has no way in or whose head has no way out lies on no cycle and need not search
-        heads = e.select("topic", F.col("next_word").alias("word")).distinct()
-        tails = e.select("topic", F.col("word").alias("next_word")).distinct()
-        e = e.join(heads, ["topic", "word"], "left_semi").join(tails, ["topic", "next_word"], "left_semi")
-    e = stage(e, "core")
-    heavier = (F.col("h.n") > F.col("r.n")) | (
-        (F.col("h.n") == F.col("r.n"))
-        & (F.struct("h.word", "h.next_word") < F.struct("r.word", "r.next_word"))
-    )
-    seen = e.withColumn("at", F.col("next_word"))
-    front = seen
-    dropped = None
-    step = e.select("topic", "word", "next_word", "n")
-    while True:
-        reach = front.alias("r").join(
-            step.alias("h"), (F.col("h.topic") == F.col("r.topic")) & (F.col("h.word") == F.col("r.at")) & heavier
-        )
-        reach = reach.select("r.topic", "r.word", "r.next_word", "r.n", F.col("h.next_word").alias("at")).distinct()
-        fresh = stage(reach.join(seen, ["topic", "word", "next_word", "at"], "left_anti"), "cycle-front")
-        back = fresh.where("at = word").select("topic", "word", "next_word")
-        dropped = back if dropped is None else dropped.union(back)
-        if fresh.isEmpty():
-            break
-        seen = seen.unionByName(fresh)
-        front = fresh.join(back, ["topic", "word", "next_word"], "left_anti")
-    return edges.join(dropped.distinct(), ["topic", "word", "next_word"], "left_anti")
-
-
 def topic_story(edges: DataFrame, steps: int = 4) -> DataFrame:
     """Level of each word of an acyclic graph: the length of the longest way to it, ``(topic, word, level)``.
 

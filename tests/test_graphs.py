@@ -5,7 +5,7 @@ from itertools import combinations
 
 import pytest
 
-from tertulia.operators import graphs
+from tertulia.operators import cycles, graphs
 from tests.test_operators import token_table
 
 
@@ -113,19 +113,68 @@ def one_by_one(edges):
         left.remove(found)
 
 
-def test_cycles_of_random_graphs(spark):
+@pytest.mark.parametrize("part_edges", [10_000, 0])
+def test_cycles_of_random_graphs(spark, part_edges):
     rng, frames, wanted = random.Random(6), [], set()
     for topic in range(3):
         names = "abcdefghij"
         edges = [(a, b, rng.randint(1, 6)) for a in names for b in names if a != b and rng.random() < 0.25]
         frames.append(pair_table(spark, edges, topic))
         wanted |= {(topic, *e) for e in one_by_one(edges)}
-    left = graphs.break_cycles(frames[0].union(frames[1]).union(frames[2]))
+    left = graphs.break_cycles(frames[0].union(frames[1]).union(frames[2]), part_edges)
     assert {(r.topic, r.word, r.next_word) for r in left.collect()} == wanted
     level = {(r.topic, r.word): r.level for r in graphs.topic_story(left).collect()}
     assert all(level[t, a] < level[t, b] for t, a, b in wanted)
 
 
+def parts_of(edges):
+    """Strongly connected parts of two nodes or more, by searching from every node."""
+    after = {}
+    for a, b, _ in edges:
+        after.setdefault(a, set()).add(b)
+
+    def reached(a):
+        seen, todo = set(), [a]
+        while todo:
+            for b in after.get(todo.pop(), ()):
+                if b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        return seen
+
+    reach = {a: reached(a) for a in after}
+    return {frozenset(b for b in reach[a] if a in reach.get(b, ())) for a in after if a in reach[a]} - {frozenset()}
+
+
+def test_strong_parts(spark):
+    rng = random.Random(8)
+    names = [f"w{i:02}" for i in range(60)]
+    edges = [(a, b, 1) for a in names for b in names if a != b and rng.random() < 0.02]
+    found = {}
+    for r in cycles.strong_parts(pair_table(spark, edges + [("x", "x", 1)])).collect():
+        found.setdefault(r.part, set()).update((r.word, r.next_word))
+    assert {frozenset(v) for v in found.values()} == parts_of(edges)
+
+
+@pytest.mark.parametrize("part_edges", [10_000, 0])
+def test_a_thousand_parts(spark, part_edges):
+    """Rings of three to seven words, two by two linked: each loses its lightest edge, the links between them stay."""
+    rng, edges, light = random.Random(9), [], set()
+    for i in range(1000):
+        size = rng.randint(3, 7)
+        ring = [(f"{i}-{j}", f"{i}-{(j + 1) % size}", rng.randint(1, 9)) for j in range(size)]
+        edges += ring + ([(f"{i - 1}-0", f"{i}-0", 1)] if i % 2 else [])
+        light.add(max(ring, key=lambda e: (-e[2], e[0], e[1]))[:2])
+    left = {(r.word, r.next_word) for r in graphs.break_cycles(pair_table(spark, edges), part_edges).collect()}
+    assert left == {e[:2] for e in edges} - light
+
+
+def test_edge_to_itself_goes(spark):
+    left = graphs.break_cycles(pair_table(spark, [("a", "a", 9), ("a", "b", 1)])).collect()
+    assert [(r.word, r.next_word) for r in left] == [("a", "b")]
+    assert graphs.break_cycles(pair_table(spark, [("a", "b", 1)]).limit(0)).count() == 0
+
+
 def test_story_of_a_cycle_is_an_error(spark):
     with pytest.raises(ValueError):
         graphs.topic_story(pair_table(spark, [("a", "b", 1), ("b", "a", 1)]))
