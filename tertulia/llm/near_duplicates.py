@@ -6,25 +6,24 @@ probability of their Jaccard similarity, so half as many hash evaluations give a
 and of lower variance. ``BANDS`` bands of four values each go into buckets; two sets of similarity 0.8 share none with a
 probability of 1.4e-7.
 
-Equal sets are one class, found by a 128-bit digest, and only class representatives go on. The members of all buckets that
-have the same least digest are a group around it, its pivot. Each member is compared with the pivot on full sets, and what
-is linked makes up components. A pair inside a component needs no look; of other pairs in a group, one member at least is
-not linked to the pivot. In groups of up to ``SMALL`` members these pairs are compared one by one. In larger groups only
-some can be linked: let P be any set of shingles, here those of the pivot and of ``MODELS`` further members, x and y share
-i shingles, and c(x), c(y) be in P. Either i <= min(c(x), c(y)), which the sizes must allow, or they share a shingle
-outside of P, at least i - c(x) of them, so that a prefix in hash order has one. The first kind is found by sizes, the second by a join on shingles. A group of very many copies, each with
-edits of its own, thus costs about one comparison per member, and no link is lost.
+Equal sets are one class, found by a 128-bit digest, and only class representatives go on. The members of a bucket are a
+group around its pivot, the member that shares most buckets with others: the text that copies were made from, where it is
+there. Each member is compared with the pivot on full sets, and what is linked makes up components. A pair inside a
+component needs no look, nor does one of two members linked to the pivot. What is left is compared too: in groups of up to
+``SMALL`` members pair by pair; in larger ones in blocks, where each member that is not linked meets all others in matrix
+products of one task per pair of blocks. A block gives back the links that join components, fewer than it has members, so
+no group yields its pairs as rows. A group of many copies that hang together thus costs about one comparison per member; one
+whose members are all just below the threshold costs the products of its blocks, spread over tasks. No link is lost.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +34,9 @@ from tertulia.session import stage
 SHINGLE = 4
 BANDS = 30
 SMALL = 16
-MODELS = 4
+# Members of a block, and shingles of all of them together, about.
+BLOCK = 512
+BLOCK_SHINGLES = 1 << 19
 PERMUTATIONS = 2 * BANDS
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,74 +112,44 @@ def _sets(docs: DataFrame, length: int) -> DataFrame:
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc, text in rows:
             s = shingle_set(text, length)
-            digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-            d1, d2 = np.frombuffer(digest, np.int64).tolist()
-            yield doc, len(s), d1, d2, band_keys(s).tolist() if len(s) else None
+            yield doc, len(s), *_digest(s), band_keys(s).tolist() if len(s) else None
 
     return map_rows(docs, run, f"doc {kind}, n long, d1 long, d2 long, bands array<long>")
 
 
-def _compared(percent: int) -> Column:
-    """Of the sets ``set_a`` (the pivot) and ``set_b``: whether 100 * intersection >= percent * union. With the sets of
-    ``models`` also how much of ``set_b`` is in one of them or the pivot, and the shingles outside, one of which a link to
-    another member must have."""
-    fields = [("linked", T.BooleanType()), ("same", T.LongType()), ("tokens", T.ArrayType(T.LongType()))]
+def _linked(percent: int) -> Column:
+    """Of the sets ``set_a`` and ``set_b``: whether 100 * intersection >= percent * union."""
 
-    @F.pandas_udf(T.StructType([T.StructField(*f) for f in fields]))
-    def compare(a: pd.Series, b: pd.Series, models: pd.Series) -> pd.DataFrame:
-        linked, shared, tokens = [], [], []
-        for x, y, more in zip(a, b, models):
+    @F.pandas_udf(T.BooleanType())
+    def compare(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             same = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
-            linked.append(100 * same >= percent * (len(x) + len(y) - same))
-            if more is None:
-                shared.append(same)
-                tokens.append(None)
-                continue
-            x = np.unique(np.concatenate([x, *(np.frombuffer(m, np.uint64) for m in more)]))
-            common = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
-            same = int(common.sum())
-            shared.append(same)
-            outside = y[~common].view(np.int64)
-            # a partner is not smaller than percent of this set
-            least = -(-percent * (len(y) + -(-percent * len(y) // 100)) // (100 + percent)) - same
-            tokens.append(outside[: max(0, len(outside) - max(1, least) + 1)].tolist())
-        return pd.DataFrame({"linked": linked, "same": shared, "tokens": tokens})
-
-    return compare(F.col("set_a"), F.col("set_b"), F.col("models"))
-
-
-def _with_pivots(groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """``groups (p, x)``, pivots and members, with the result of the comparison."""
-    sizes = groups.groupBy("p").agg((F.count(F.lit(1)) > SMALL).alias("large"))
-    sized = groups.join(sizes, "p")
-    # a few members of each large group; the rank is cut before the shuffle
-    first = sized.filter("large").withColumn("rank", F.row_number().over(Window.partitionBy("p").orderBy("x"))).filter(F.col("rank") <= MODELS)
-    some = full.select(F.col("c").alias("xc"), F.col("shingles").alias("model"))
-    models = first.select("p", F.col("x.c").alias("xc")).join(some, "xc").groupBy("p").agg(F.collect_list("model").alias("models"))
-    both = sized.join(models, "p", "left").select("p", "x", "large", "models", F.col("p.c").alias("pc"), F.col("x.c").alias("xc"))
-    a = full.select(F.col("c").alias("pc"), F.col("shingles").alias("set_a"))
-    b = full.select(F.col("c").alias("xc"), F.col("shingles").alias("set_b"))
-    rows = both.join(a, "pc").join(b, "xc").select("p", "x", "large", _compared(percent).alias("r"))
-    return stage(rows.select("p", "x", "large", "r.*"), "compared")
-
-
-def _candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)``: pairs of different components ``g`` that may be linked and were not compared yet."""
-    names = ["x", "linked", "same", "g"]
-    mine = lambda df, *more: df.filter(~F.col("linked")).select("p", *more, F.struct(*names).alias("u"))
-    others = lambda df, *more: df.select("p", *more, F.struct(*names).alias("v"))
-    # of two members that are both not linked to the pivot, the smaller one asks
-    ask = (F.col("u.g") != F.col("v.g")) & (F.col("v.linked") | (F.col("u.x") < F.col("v.x"))) & _close(F.col("u.x.n"), F.col("v.x.n"), percent)
-    small, large = rows.filter(~F.col("large")), rows.filter("large")
-    tokens = large.withColumn("token", F.explode("tokens"))
-    inside = percent * (F.col("u.x.n") + F.col("v.x.n")) <= (100 + percent) * F.least("u.same", "v.same")
-    pairs = [
-        mine(small).join(others(small), "p").filter(ask),
-        mine(large).join(others(large), "p").filter(ask & inside),
-        mine(tokens, "token").join(others(tokens, "token"), ["p", "token"]).filter(ask),
-    ]
-    return reduce(DataFrame.unionByName, [df.select(F.col("u.x.c").alias("a"), F.col("v.x.c").alias("b")) for df in pairs])
+            out.append(100 * same >= percent * (len(x) + len(y) - same))
+        return pd.Series(out, dtype=bool)
+
+    return compare(F.col("set_a"), F.col("set_b"))
+
+
+def _with_sets(pairs: DataFrame, full: DataFrame, a: str, b: str) -> DataFrame:
+    """``set_a`` and ``set_b`` beside the classes in columns ``a`` and ``b``."""
+    left = full.select(F.col("c").alias(a), F.col("shingles").alias("set_a"))
+    right = full.select(F.col("c").alias(b), F.col("shingles").alias("set_b"))
+    return pairs.join(left, a).join(right, b)
+
+
+def _buckets(classes: DataFrame) -> DataFrame:
+    """``(c, n, first)``: classes in buckets of two and more, and the pivot of the bucket, a struct like ``(c, n)``."""
+    banded = classes.select("n", F.struct("d1", "d2").alias("c"), F.explode("bands").alias("bucket"))
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    members = stage(banded.join(shared, "bucket"), "buckets")
+    weight = members.groupBy("c").agg(F.sum("m").alias("weight"))
+    weighed = members.join(weight, "c")
+    # most weight, then the least digest
+    pivot = weighed.groupBy("bucket").agg(F.min(F.struct((-F.col("weight")).alias("w"), "c", "n")).alias("p"))
+    pivot = pivot.select("bucket", F.struct("p.c", "p.n").alias("first"))
+    return members.join(pivot, "bucket").select("c", "n", "first")
 
 
 def _close(a: Column, b: Column, percent: int) -> Column:
@@ -186,37 +157,107 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _pairs_of_small(rows: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: pairs of different components ``g`` in small groups that were not compared yet."""
+    mine = rows.filter(~F.col("linked")).select("p", F.struct("x", "g").alias("u"))
+    others = rows.select("p", F.struct("x", "g", "linked").alias("v"))
+    # of two members that are both not linked to the pivot, the smaller one asks
+    ask = (F.col("u.g") != F.col("v.g")) & (F.col("v.linked") | (F.col("u.x") < F.col("v.x"))) & _close(F.col("u.x.n"), F.col("v.x.n"), percent)
+    pairs = mine.join(others, "p").filter(ask).select(F.col("u.x.c").alias("a"), F.col("v.x.c").alias("b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _blocks_of_large(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: links that join different components ``g`` inside large groups.
+
+    Members are dealt into blocks by their digest; blocks of those that are not linked to the pivot meet all blocks.
+    """
+    size = lambda when: F.ceil(F.greatest(F.count_if(when) / BLOCK, F.sum(F.when(when, F.col("x.n"))) / BLOCK_SHINGLES)).cast("int")
+    number = rows.groupBy("p").agg(size(~F.col("linked")).alias("na"), size(F.lit(True)).alias("nb")).filter("na > 0")
+    rows = rows.join(number, "p").select("na", "nb", "linked", "p", F.col("x.c").alias("c"), F.struct("x.c.d1", "x.c.d2", "x.n", "g").alias("x"))
+    rows = rows.join(full, "c").withColumn("hash", F.xxhash64("c.d1", "c.d2"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod("hash", F.col(n)).cast("int")
+    flat = ["p.c.d1 AS p1", "p.c.d2 AS p2", "ab", "bb", "x.d1", "x.d2", "x.n", "x.g.d1 AS g1", "x.g.d2 AS g2", "shingles"]
+    asking = rows.filter("NOT linked").withColumn("ab", own("na")).withColumn("bb", each("nb")).selectExpr(*flat, "true AS asks")
+    others = rows.withColumn("bb", own("nb")).withColumn("ab", each("na")).selectExpr(*flat, "false AS asks")
+    found = asking.unionByName(others).groupBy("p1", "p2", "ab", "bb").applyInPandas(lambda members: _block_links(members, percent), "a1 long, a2 long, b1 long, b2 long")
+    return found.select(F.struct(F.col("a1").alias("d1"), F.col("a2").alias("d2")).alias("a"), F.struct(F.col("b1").alias("d1"), F.col("b2").alias("d2")).alias("b"))
+
+
+def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each two sets, by products of 0/1 matrices over some columns at a time."""
+    total = np.zeros((len(left), len(right)))
+    known = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    places = []
+    for sets in (left, right):
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(known, flat), max(len(known) - 1, 0))
+        inside = known[at] == flat if len(known) else np.zeros(len(flat), bool)
+        order = np.argsort(at[inside], kind="stable")
+        places.append((at[inside][order], owner[inside][order], len(sets)))
+    for low in range(0, len(known), 2048):
+        matrices = []
+        for at, owner, n in places:
+            cut = slice(*np.searchsorted(at, [low, low + 2048]))
+            matrices.append(np.zeros((n, 2048), np.float32))
+            matrices[-1][owner[cut], at[cut] - low] = 1
+        total += matrices[0] @ matrices[1].T
+    return total
+
+
+def _block_links(members: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between members of two blocks (``asks`` or not) that join components, no more than it takes to join them."""
+    out: list[tuple[int, int, int, int]] = []
+    left, right = members[members["asks"]], members[~members["asks"]]
+    if len(left) and len(right):
+        a, b = ([np.frombuffer(s, np.uint64) for s in df["shingles"]] for df in (left, right))
+        same = _shared_counts(a, b)
+        sizes = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])
+        names = [df[["d1", "d2"]].to_numpy(np.int64) for df in (left, right)]
+        group = pd.factorize(pd.MultiIndex.from_frame(pd.concat([left[["g1", "g2"]], right[["g1", "g2"]]])))[0]
+        mine, theirs = group[: len(a)], group[len(a) :].copy()
+        linked = 100 * same >= percent * (sizes - same)
+        for i in range(len(a)):
+            while len(found := np.flatnonzero(linked[i] & (theirs != mine[i]))):
+                j = found[0]
+                out.append((*names[0][i].tolist(), *names[1][j].tolist()))
+                # the two components are one from here on
+                old = theirs[j]
+                theirs[theirs == old], mine[mine == old] = mine[i], mine[i]
+    return pd.DataFrame(out, columns=["a1", "a2", "b1", "b2"]).astype("int64")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = SHINGLE, percent: int = 80) -> DataFrame:
     """One row ``(key, d1, d2, n_shingles, component_id)`` per row of ``docs``; ``d1, d2`` is the digest of the set.
 
     Null, empty and blank texts have an empty set and are linked with nothing: their component is their own id. Rows that
-    repeat an id are documents of their own which share a name. Rows without an id are found similar like others but name
-    no component; where no similar row has an id, the component is null. Other columns are ignored.
+    repeat an id are documents of their own which share a name. Rows without an id are linked like others but name no
+    component; where no linked row has an id, the component is null. Other columns are ignored.
     """
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     sets = stage(_sets(rows, length), "shingle-digests")
-    classes = sets.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"), F.any_value("bands").alias("bands")).filter("rep IS NOT NULL")
+    classes = sets.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"), F.any_value("bands").alias("bands"))
     classes = stage(classes, "classes")
-    banded = classes.select("n", F.struct("d1", "d2").alias("c"), F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("c", "n")).alias("first")).filter("m > 1").drop("m")
-    members = stage(banded.join(shared, "bucket"), "buckets")
-    wanted = members.select("c.d1", "c.d2").distinct()
-    full = stage(_full_sets(rows, sets, wanted, length), "full-sets")
+    members = stage(_buckets(classes), "bucket-pivots")
+    full = stage(_full_sets(rows, sets, members.select("c.d1", "c.d2").distinct(), length), "full-sets")
 
     around = members.filter("c <> first.c").select(F.col("first").alias("p"), F.struct("c", "n").alias("x")).distinct()
-    compared = _with_pivots(stage(around, "groups"), full, percent)
+    around = around.withColumns({"pc": F.col("p.c"), "xc": F.col("x.c")})
+    compared = stage(_with_sets(around, full, "pc", "xc").select("p", "x", _linked(percent).alias("linked")), "compared")
     links = compared.filter("linked").select(F.col("p.c").alias("a"), F.col("x.c").alias("b")).distinct()
-    groups = connected(_as_nodes(links))
-
-    node = F.xxhash64("x.c.d1", "x.c.d2")
-    labelled = compared.withColumn("node", node).join(groups, "node", "left").withColumn("g", F.coalesce("component", "node"))
-    rest = _candidates(stage(labelled.drop("component", "node"), "labelled"), percent)
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = stage(_confirmed(rest, full, percent), "links")
+    groups = connected(links)
+
+    sizes = compared.groupBy("p").agg((F.count(F.lit(1)) > SMALL).alias("large"))
+    labelled = compared.withColumn("node", F.col("x.c")).join(groups, "node", "left").withColumn("g", F.coalesce("component", "node"))
+    labelled = stage(labelled.join(sizes, "p").select("p", "x", "linked", "g", "large"), "labelled")
+    rest = _pairs_of_small(labelled.filter("NOT large"), percent)
+    more = _with_sets(rest, full, "a", "b").select("a", "b", _linked(percent).alias("linked")).filter("linked").select("a", "b")
+    more = stage(more.unionByName(_blocks_of_large(labelled.filter("large"), full, percent)), "links")
     if not more.isEmpty():
-        groups = connected(_as_nodes(links.unionByName(more)))
+        groups = connected(links.unionByName(more))
 
-    named = classes.select("n", "d1", "d2", "rep", F.xxhash64("d1", "d2").alias("node")).join(groups, "node")
+    named = classes.select("n", "d1", "d2", "rep", F.struct("d1", "d2").alias("node")).join(groups, "node")
     ids = named.groupBy("component").agg(F.min("rep").alias("least"))
     linked = named.join(ids, "component").select("n", "d1", "d2", "least")
     alone = classes.join(linked, ["n", "d1", "d2"], "left_anti").select("n", "d1", "d2", F.col("rep").alias("least"))
@@ -225,36 +266,54 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     return out.select(F.col("doc").alias(key), "d1", "d2", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
 
 
-def _as_nodes(links: DataFrame) -> DataFrame:
-    return links.select(F.xxhash64("a.d1", "a.d2").alias("a"), F.xxhash64("b.d1", "b.d2").alias("b"))
+def _digest(shingles: np.ndarray) -> list[int]:
+    return np.frombuffer(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), np.int64).tolist()
 
 
 def _full_sets(rows: DataFrame, sets: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The full set of one document of each wanted class, as bytes."""
+    """The full set of one document of each wanted class, as bytes; rows without an id are all looked at."""
     of_doc = sets.join(wanted, ["d1", "d2"], "left_semi").groupBy("d1", "d2").agg(F.min("doc").alias("doc"))
     texts = rows.join(of_doc.select("doc").distinct(), "doc", "left_semi").select("text")
+    texts = texts.unionByName(rows.filter("doc IS NULL").select("text"))
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for (text,) in rows:
             s = shingle_set(text, length)
             if len(s):
-                d1, d2 = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64).tolist()
-                yield d1, d2, s.tobytes()
+                yield *_digest(s), s.tobytes()
 
     found = map_rows(texts, run, "d1 long, d2 long, shingles binary")
     # rows that repeat an id may bring further sets or the same set twice
     return found.groupBy(F.struct("d1", "d2").alias("c")).agg(F.any_value("shingles").alias("shingles"))
 
 
-def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    a = full.select(F.col("c").alias("a"), F.col("shingles").alias("set_a"))
-    b = full.select(F.col("c").alias("b"), F.col("shingles").alias("set_b"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("models", F.lit(None).cast("array<binary>"))
-    return both.select("a", "b", _compared(percent).alias("r")).filter("r.linked").select("a", "b")
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, of those with its id; texts without words all stay.
 
+    A row without an id stays if its component has no row with one. Of rows that repeat an id each is judged by its own
+    text; equal rows count once.
+    """
+    found = stage(near_duplicates(docs, key, text).withColumnRenamed(key, "_id"), "components")
+    often = found.groupBy("_id").agg(F.count(F.lit(1)).alias("m")).filter("m > 1 AND _id IS NOT NULL").select("_id")
+    often = stage(often, "repeated-ids")
+    gone = found.filter("_id <> component_id").join(often, "_id", "left_anti").select("_id")
+    boxed = box(docs, _id=docs[key], _text=docs[text])
+    once = boxed.join(often.unionByName(gone), "_id", "left_anti").filter("_id IS NOT NULL").select("row")
+    # rows whose id does not tell them apart get the digest of their text
+    twice = boxed.join(often, "_id", "left_semi").unionByName(boxed.filter("_id IS NULL"))
+    if twice.isEmpty():
+        return unbox(once)
+    rows = stage(twice.withColumn("_at", F.monotonically_increasing_id()), "rows-of-repeated-ids")
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is that of their component; rows without an id stay."""
-    found = near_duplicates(docs, key, text).select(F.col(key).alias("_id"), "component_id")
-    gone = found.filter("_id <> component_id").select("_id").distinct()
-    return unbox(box(docs, _id=docs[key]).join(gone, "_id", "left_anti"))
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for at, text in rows:
+            s = shingle_set(text)
+            yield at, len(s), *_digest(s)
+
+    digests = map_rows(rows.select("_at", "_text"), run, "_at long, n long, d1 long, d2 long")
+    of_row = found.select("_id", "d1", "d2", "component_id").distinct()
+    same = F.col("r._id").eqNullSafe(F.col("f._id")) & (F.col("r.d1") == F.col("f.d1")) & (F.col("r.d2") == F.col("f.d2"))
+    judged = rows.join(digests, "_at").alias("r").join(of_row.alias("f"), same).select("r._at", "r._id", "n", "component_id")
+    first = judged.filter("n > 0 AND _id = component_id").groupBy("component_id").agg(F.min("_at").alias("_at")).select("_at")
+    stay = first.unionByName(judged.filter("n = 0 OR (_id IS NULL AND component_id IS NULL)").select("_at"))
+    return unbox(once.unionByName(rows.join(stay, "_at", "left_semi").select("row")))

@@ -100,6 +100,54 @@ def test_groups_of_many_copies(spark, monkeypatch, small):
     assert by_id(found, "n_shingles", "component_id", "kept") == brute.near_duplicates(data)
 
 
+def edited(base, rng, edits):
+    words = list(base)
+    for at in rng.sample(range(len(words)), edits):
+        words[at] = f"edit{rng.randrange(10**9)}"
+    return " ".join(words)
+
+
+def test_copies_with_edits_of_their_own(spark, monkeypatch):
+    """Groups whose members are not linked to one pivot: blocks give links that join components, never all pairs."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 40)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(80)]
+    apart = [edited(base, rng, 2) for _ in range(150)]
+    chains = [" ".join(f"c{i + j}" for i in range(100)) for j in range(0, 120, 4)]
+    data = list(enumerate(rng.sample(apart + chains, len(apart) + len(chains))))
+    made = []
+    stage = near_duplicates.stage
+    monkeypatch.setattr(near_duplicates, "stage", lambda df, label: made.append((label, stage(df, label))) or made[-1][1])
+    found = near_duplicates.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"))
+    found = found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    assert by_id(found, "n_shingles", "component_id", "kept") == brute.near_duplicates(data)
+    rows = {label: df.count() for label, df in made}
+    assert rows["links"] < 2 * len(data) and rows["compared"] < 20 * len(data)
+    # with the text they were made from all hang together at once
+    data.append((999, " ".join(base)))
+    found = near_duplicates.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"))
+    found = found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    assert by_id(found, "n_shingles", "component_id", "kept") == brute.near_duplicates(data)
+
+
+def test_rows_are_judged_one_by_one(spark):
+    rng = random.Random(13)
+    base = [f"w{i}" for i in range(100)]
+    a, other = " ".join(base), " ".join(f"v{i}" for i in range(50))
+    near, bridge = edited(base, rng, 2), " ".join(base[7:] + [f"x{i}" for i in range(7)])
+    far = " ".join(base[14:] + [f"x{i}" for i in range(14)])
+    docs = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    kept = lambda rows: sorted(map(tuple, near_duplicates.keep_first(docs(rows)).collect()), key=str)
+    assert kept([(3, a), (7, near), (7, other)]) == [(3, a), (7, other)]
+    assert kept([(3, a), (3, a), (3, near), (4, near)]) in ([(3, a)], [(3, near)])
+    assert kept([(3, a), (None, near), (None, other), (None, ""), (5, ""), (5, None)]) == sorted([(3, a), (None, other), (None, ""), (5, ""), (5, None)], key=str)
+    found = near_duplicates.near_duplicates(docs([(3, a), (None, near)])).collect()
+    assert {r.component_id for r in found} == {3}
+    assert brute.near_duplicates([(1, a), (2, far)])[2][1] == 2 and brute.near_duplicates([(1, a), (2, far), (3, bridge)])[2][1] == 1
+    joined = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs([(1, a), (2, far), (None, bridge)])).collect()}
+    assert joined == {1: 1, 2: 1, None: 1}
+
+
 def test_near_duplicates_of_odd_rows(odd):
     found = near_duplicates.near_duplicates(odd)
     assert found.count() == odd.count() and near_duplicates.near_duplicates(odd.limit(0)).count() == 0
