@@ -28,7 +28,8 @@ def cut_pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0, ke
     """Rows ``(key, start, length, ids, doc_tokens)``, every id of every document in exactly one of them.
 
     ``ids`` are little-endian unsigned 32-bit numbers. A null or empty text is the end id alone. Rows with equal or null
-    keys are encoded one by one; other columns are ignored.
+    keys are encoded one by one; other columns are ignored. A huge text, long runs of white space included, is encoded whole
+    by one task.
     """
     kind = docs.schema[key].dataType.simpleString()
 

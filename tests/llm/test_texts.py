@@ -229,3 +229,15 @@ def test_toxicity_of_odd_rows(odd):
     scored = toxicity.score(odd, model, into="row")
     assert scored.columns == ["doc_id", "text", "lang", "n_lines", "row"] and scored.filter("row between 0 and 1").count() == odd.count()
     assert toxicity.fit([], []).score(None) < 0.5
+
+
+def test_long_white_space(spark, bpe):
+    """Runs of blanks on which the faster encoder gives up."""
+    own = encoder(bpe)
+    text = "a" + " " * 2_000_000 + "b"
+    want = own.library.encode(text, add_special_tokens=False).ids
+    assert own.ids(text).tolist() == want
+    docs = spark.createDataFrame([(1, text), (2, "three short words"), (3, "\n\t " * 400_000)], "doc_id long, text string")
+    packed = registered.packed(docs).collect()
+    assert {r.doc_id: r.doc_tokens for r in packed}[1] == len(want) + 1
+    assert sum(r.length for r in packed if r.doc_id == 1) == len(want) + 1
