@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tertulia.operators.selection import first_rows, number_text
+
 
 def _keep_first(df: DataFrame, digest: Column, key: str) -> DataFrame:
     """One row per digest, the one with the lowest key.
@@ -42,8 +44,8 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int = 42, key: str = "
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "post_id") -> DataFrame:
-    """Exactly ``n`` posts (or all, if fewer): those with the lowest lots."""
-    return df.orderBy(_lot(key, seed), key).limit(n)
+    """Exactly ``n`` posts (or all, if fewer): those with the lowest lots. No task holds ``n`` rows if ``n`` is large."""
+    return first_rows(df, F.concat(_lot(key, seed), number_text(F.col(key))), n)
 
 
 def sample_posts(df: DataFrame, fraction: float | None = None, n: int | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tertulia.functions.sequences import adjacent
 from tertulia.operators.cycles import break_cycles  # noqa: F401
+from tertulia.operators.selection import RANKED, first_rows, number_text
 from tertulia.operators.timeline import doc_freq, top_per_topic
 from tertulia.session import stage
 
@@ -233,20 +234,16 @@ def adjacent_words(df: DataFrame, column: str = "processed") -> DataFrame:
     return pairs.groupBy("topic", F.col("p.a").alias("word"), F.col("p.b").alias("next_word")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_sqrt_edges(pairs: DataFrame, salts: int = 64) -> DataFrame:
+def top_sqrt_edges(pairs: DataFrame, ranked: int = RANKED) -> DataFrame:
     """Per topic the ``ceil(sqrt(E))`` most used word pairs, E being the topic's pairs of two different words.
 
-    The limit grows with the topic, so each topic is first ranked in ``salts`` parts of equal chance; a part keeps as
-    many pairs as the topic may, which drops none that can win. The second ranking sees ``salts * sqrt(E)`` pairs.
+    The limit grows with the topic, so where it is large the last pair is found by counting, and no task ranks all of them.
     """
     proper = stage(pairs.where("word <> next_word"), "word-pairs")
-    limits = proper.groupBy("topic").agg(F.ceil(F.sqrt(F.count(F.lit(1)))).alias("_limit"))
-    salted = proper.join(F.broadcast(limits), "topic").withColumn("_salt", F.pmod(F.xxhash64("word", "next_word"), F.lit(salts)))
-    best = [F.desc("n"), "word", "next_word"]
-    part = F.row_number().over(Window.partitionBy("topic", "_salt").orderBy(*best))
-    kept = salted.withColumn("_at", part).where("_at <= _limit")
-    whole = F.row_number().over(Window.partitionBy("topic").orderBy(*best))
-    return kept.withColumn("_at", whole).where("_at <= _limit").select("topic", "word", "next_word", "n")
+    limits = proper.groupBy("topic").agg(F.ceil(F.sqrt(F.count(F.lit(1)))).alias("limit"))
+    # a separator below all letters keeps the order of the words
+    order = F.concat(number_text(-F.col("n")), "word", F.lit("\u0001"), "next_word")
+    return first_rows(proper, order, limits, ["topic"], ranked).select("topic", "word", "next_word", "n")
 
 
 def topic_story(edges: DataFrame, steps: int = 4) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tertulia.functions.text import extract_hashtags
+from tertulia.operators.selection import first_rows, number_text
 
 # Headers of the export and the names used here.
 COLUMN_NAMES = {
@@ -50,8 +51,8 @@ def filter_has_hash(df: DataFrame, column: str = "content") -> DataFrame:
 
 
 def head_n(df: DataFrame, n: int, key: str = "post_id") -> DataFrame:
-    """First ``n`` posts by key: stored tables have no row order of their own."""
-    return df.orderBy(key).limit(n)
+    """First ``n`` posts by key: stored tables have no row order of their own. No task holds ``n`` rows if ``n`` is large."""
+    return first_rows(df, number_text(F.col(key)), n)
 
 
 def parse_date(df: DataFrame, column: str = "date") -> DataFrame:

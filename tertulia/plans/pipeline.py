@@ -25,8 +25,8 @@ from tertulia.sources.layout import RunLayout
 class MiningConfig:
     """What to read, what to keep, and which models to fit.
 
-    ``key`` names a column of the input that identifies a post. Without one, keys are given in reading order when the
-    input is first stored; they then stay the same for the whole run.
+    ``key`` names a column of the input that identifies a post. Without one, posts are numbered in the order of file names
+    and lines, so that the first of equal posts is the first in the files.
     """
 
     path: str
@@ -75,7 +75,7 @@ def _read(spark: SparkSession, c: MiningConfig) -> DataFrame:
     df = reader(spark, c.path, c.sep, c.multiline)
     if c.key:
         return df.withColumnRenamed(c.key, "post_id").withColumn("post_id", F.col("post_id").cast("long"))
-    return df.withColumn("post_id", F.monotonically_increasing_id())
+    return files.in_file_order(df)
 
 
 def mine_topics(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tertulia.session import fits_broadcast, stage
+
 _TEXT = T.StringType()
 
 
@@ -68,6 +70,27 @@ def count_skipped(spark: SparkSession, path: str, sep: str = ",", multiline: boo
     return rows.agg(F.count_if(F.col("_fields") > width), F.count(F.col(f"`{rows.columns[0]}`"))).first()[0]
 
 
+def in_file_order(rows: DataFrame, key: str = "post_id") -> DataFrame:
+    """Number the rows of a file scan from 0 in the order of file names and of lines, as column ``key``.
+
+    Two passes: the rows are stored once with the part of the file they come from and their place in it, then the rows of
+    each part are counted and the counts added up. So the numbers do not depend on how files are split or dealt to tasks.
+    ``rows`` may filter and compute columns, but must come from a scan without a shuffle in between.
+    """
+    named = rows.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at")
+    )
+    stored = stage(named, "rows-in-order")
+    # rows of a part lie side by side in one task, so its numbers have no gaps
+    parts = stored.groupBy("_file", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.partitionBy(F.lit(0)).orderBy("_file", "_start")) - F.col("_rows")
+    # one row per part of a file
+    offsets = stage(parts.select("_file", "_start", (before - F.col("_first")).alias("_offset")), "offsets")
+    offsets = F.broadcast(offsets) if fits_broadcast(offsets) else offsets
+    joined = stored.join(offsets, ["_file", "_start"])
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns if c != key], (F.col("_at") + F.col("_offset")).alias(key))
+
+
 def empty_to_null(df: DataFrame) -> DataFrame:
     """Empty text to null in every text column."""
     texts = {f.name for f in df.schema if f.dataType == _TEXT}

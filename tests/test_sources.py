@@ -64,3 +64,27 @@ def test_conflict_modes(spark, tmp_path):
     assert layout.settle(spark, "fail") == (layout, "errorifexists")
     assert layout.settle(spark, "replace")[1] == "overwrite"
     assert layout.settle(spark, "rename")[0].version == "v 1"
+
+
+@pytest.mark.parametrize("tolerant", [True, False])
+def test_rows_are_numbered_in_file_order(spark, tmp_path, tolerant):
+    """The same numbers whatever the size of the splits; files are dealt to tasks by size, not by name."""
+    want = []
+    for name, rows in [("b.csv", 900), ("a.csv", 40), ("c.csv", 2000), ("d.csv", 0)]:
+        lines = [f"{name}-{i},x" for i in range(rows)]
+        want += [(name, line.split(",")[0]) for line in lines]
+        if tolerant and lines:
+            lines.insert(len(lines) // 2, "bad,line,with,more")
+        (tmp_path / name).write_text("word,other\n" + "".join(f"{line}\n" for line in lines))
+    want = [w for _, w in sorted(want, key=lambda r: r[0])]
+    reader = files.scan_csv_tolerant if tolerant else files.scan_csv
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("3000", "700", usual):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "10")
+            rows = files.in_file_order(reader(spark, str(tmp_path), ",", False).where("other = 'x'")).collect()
+            assert [r.word for r in sorted(rows, key=lambda r: r.post_id)] == want and {r.post_id for r in rows} == set(range(len(want)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
