@@ -296,6 +296,13 @@ scored AS (SELECT topic, word, p, n_word / CAST(n_all AS DOUBLE) AS pw, n / CAST
   total / CAST(n_all AS DOUBLE) AS pt FROM terms JOIN wn USING (word) JOIN tot USING (topic) CROSS JOIN alln),
 sal AS (SELECT word, any_value(pw) * sum(given * ln(given / pt)) AS saliency FROM scored GROUP BY word)"""
 
+_DISTANCES = _EMPIRICAL + """,
+grid AS (SELECT t.topic, w.word, coalesce(p.p, 0) AS p FROM tot t CROSS JOIN wn w
+  LEFT JOIN terms p ON p.topic = t.topic AND p.word = w.word),
+distances AS (SELECT a.topic AS topic_a, b.topic AS topic_b, sum(
+  CASE WHEN a.p > 0 THEN a.p * ln(2 * a.p / (a.p + b.p)) ELSE 0 END + CASE WHEN b.p > 0 THEN b.p * ln(2 * b.p / (a.p + b.p)) ELSE 0 END
+) / 2 AS distance FROM grid a JOIN grid b ON a.word = b.word AND a.topic < b.topic GROUP BY a.topic, b.topic)"""
+
 _EMOJI = "CASE domain_group WHEN 'click' THEN '👍' WHEN 'view' THEN '👀' WHEN 'purchase' THEN '💰💰' ELSE '⚡' END"
 
 
@@ -571,14 +578,16 @@ bare AS (SELECT post_id, list_filter(processed, lambda t: t NOT IN ({stop})) AS
             "SELECT topic, word, round(0.6::DOUBLE * ln(p) + 0.4::DOUBLE * ln(p / pw), 6) AS relevance, round(saliency, 6) AS saliency "
             "FROM scored JOIN sal USING (word)",
         ),
-        "topic_distance": _with(
-            _EMPIRICAL + """,
-grid AS (SELECT t.topic, w.word, coalesce(p.p, 0) AS p FROM tot t CROSS JOIN wn w
-  LEFT JOIN terms p ON p.topic = t.topic AND p.word = w.word)""",
-            """SELECT a.topic AS topic_a, b.topic AS topic_b, round(sum(
-  CASE WHEN a.p > 0 THEN a.p * ln(2 * a.p / (a.p + b.p)) ELSE 0 END + CASE WHEN b.p > 0 THEN b.p * ln(2 * b.p / (a.p + b.p)) ELSE 0 END
-) / 2, 6) AS distance FROM grid a JOIN grid b ON a.word = b.word AND a.topic < b.topic GROUP BY a.topic, b.topic""",
+        "topic_distance": _with(_DISTANCES, "SELECT topic_a, topic_b, round(distance, 6) AS distance FROM distances"),
+        "topic_centred": _with(
+            _DISTANCES + """,
+square AS (SELECT topic_a, topic_b, distance * distance AS d FROM distances UNION ALL
+  SELECT topic_b, topic_a, distance * distance FROM distances UNION ALL SELECT topic, topic, 0 FROM tot),
+line AS (SELECT topic_a AS topic, avg(d) AS m FROM square GROUP BY topic_a)""",
+            """SELECT s.topic_a, s.topic_b, round(-(s.d - a.m - b.m + (SELECT avg(m) FROM line)) / 2, 6) AS value
+FROM square s JOIN line a ON a.topic = s.topic_a JOIN line b ON b.topic = s.topic_b""",
         ),
+        "topic_map": _with(_EMPIRICAL, "SELECT topic, round(total / CAST(n_all AS DOUBLE), 6) AS share FROM tot CROSS JOIN alln"),
         "term_cosine_edges": _with(_EDGES, "SELECT topic, src, dst, round(weight, 6) AS weight FROM edges"),
         "inverse_weight": _with(_EDGES, "SELECT topic, src, dst, round(1 / weight, 6) AS weight FROM edges"),
         "node_frequency_rank": _with(

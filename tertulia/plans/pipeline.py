@@ -178,10 +178,13 @@ def classify_and_report(
     out(named, "words_timeline_topic", ["topic_id"])
     labels = naming.default_labels(terms)
     out(labels, "topic_names")
-    counts = stage(timeline.topic_word_count(short), "topic-words")
-    empirical = stage(relevance.empirical_terms(counts), "empirical")
-    out(relevance.term_relevance(empirical), "term_relevance")
-    out(relevance.topic_distance(empirical), "topic_distance")
+    # the view of the model: all its weights, and the posts' words shared out by their mixes
+    weights = tm.topic_terms(model, counter, len(counter.vocabulary))
+    modelled = stage(relevance.model_terms(weights, posts), "model-terms")
+    out(relevance.term_relevance(modelled), "term_relevance")
+    distances = stage(relevance.topic_distance(modelled), "topic-distances")
+    out(distances, "topic_distance")
+    out(relevance.topic_map(distances, modelled), "topic_map")
     if graphs_too:
         _report_graphs(posts, terms, layout, mode)
     return posts

@@ -734,6 +734,20 @@ def topic_distance(spark, sf_dir):
     return _rounded(relevance.topic_distance(relevance.empirical_terms(counts)), "distance")
 
 
+@query
+def topic_centred(spark, sf_dir):
+    terms = stage(relevance.empirical_terms(_topic_words(spark, sf_dir)), "empirical")
+    return _rounded(relevance.topic_centred(stage(relevance.topic_distance(terms), "distances"), terms.select("topic").distinct()), "value")
+
+
+@query
+def topic_map(spark, sf_dir):
+    """The shares of the map. Its points are free to turn with the last digit, so tests compare their distances."""
+    terms = stage(relevance.empirical_terms(_topic_words(spark, sf_dir)), "empirical")
+    placed = relevance.topic_map(stage(relevance.topic_distance(terms), "distances"), terms)
+    return _rounded(placed.select("topic", "share"), "share")
+
+
 # graphs
 
 

@@ -205,3 +205,36 @@ def test_other_masters_need_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Session())
+
+
+def test_models_are_measured_in_one_pass(spark, tmp_path):
+    rng = random.Random(21)
+    docs = token_table(spark, [[rng.choice("abcdefgh") for _ in range(rng.randrange(1, 40))] for _ in range(60)])
+    terms = {2: [(0, "a"), (0, "b"), (0, "zz"), (1, "c"), (1, "d")], 3: [(0, "a"), (0, "h"), (1, "b"), (1, "c"), (2, "e"), (2, "f")]}
+    table = spark.createDataFrame([(k, *t) for k, ts in terms.items() for t in ts], "k int, topic int, word string")
+    both = {(r.k, r.topic): r.coherence for r in co.coherence_of_models(docs, table, 7).collect()}
+    for k, ts in terms.items():
+        one = co.coherence_by_topic(docs, spark.createDataFrame(ts, "topic int, word string"), 7).collect()
+        assert {(k, r.topic): pytest.approx(r.coherence) for r in one} == {key: v for key, v in both.items() if key[0] == k}
+
+
+def test_a_stored_model_is_measured_without_a_fit(spark, tmp_path, monkeypatch):
+    docs = token_table(spark, [["a", "b"], ["a", "c"], ["b", "c", "c"]] * 4)
+    vectors = tm.vectorize(docs)
+    tm.save_model(tm.lda_fit(vectors, 2), vectors.counter, str(tmp_path), 2)
+    monkeypatch.setattr(tm, "lda_fit", lambda *a: pytest.fail("fitted again"))
+    assert [r.k for r in tm.lda_range(docs, [2], str(tmp_path)).collect()] == [2]
+
+
+def test_topic_map_keeps_distances(spark):
+    """Topics on a line, at 0, 1 and 3, and shares of their words."""
+    from tertulia.operators.relevance import topic_map
+
+    far = spark.createDataFrame([(0, 1, 1.0), (0, 2, 3.0), (1, 2, 2.0)], "topic_a int, topic_b int, distance double")
+    terms = spark.createDataFrame([(0, 1.0), (1, 2.0), (2, 1.0), (2, 4.0)], "topic int, n double")
+    rows = topic_map(far, terms).orderBy("topic").collect()
+    assert [r.share for r in rows] == [0.125, 0.25, 0.625]
+    assert [abs(a.x - b.x) for a, b in [(rows[0], rows[1]), (rows[1], rows[2])]] == pytest.approx([1, 2])
+    assert [r.y for r in rows] == pytest.approx([0, 0, 0], abs=1e-6)
+    one = topic_map(far.limit(0), terms.where("topic = 0")).collect()
+    assert [tuple(r) for r in one] == [(0, 0.0, 0.0, 1.0)]

@@ -1,4 +1,5 @@
 import json
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,8 +53,18 @@ def test_mining_writes_the_contract(spark, run):
 def test_reports_follow_from_the_stored_model(spark, run):
     _, result = run
     layout = result.layout
-    posts = pipeline.classify_and_report(spark, layout, 3)
+    posts = pipeline.classify_and_report(spark, layout, 3, graphs_too=True)
     n = posts.count()
+    mapped = sorted(files.scan_csv(spark, layout.table("topic_map")).collect(), key=lambda r: int(r.topic))
+    assert [int(r.topic) for r in mapped] == [0, 1, 2] and sum(float(r.share) for r in mapped) == pytest.approx(1)
+    # three topics lie in a plane, so the map keeps their distances
+    at = {int(r.topic): (float(r.x), float(r.y)) for r in mapped}
+    for r in files.scan_csv(spark, layout.table("topic_distance")).collect():
+        assert math.dist(at[int(r.topic_a)], at[int(r.topic_b)]) == pytest.approx(float(r.distance), abs=1e-6)
+    payload = spark.read.json(layout.table("visualization"))
+    assert payload.count() == 3 and spark.read.json(layout.table("points")).count() == n
+    documents = [json.loads(r.payload) for r in payload.collect()]
+    assert all(d["weights"] and d["nodes"] for d in documents)
     shares = files.scan_csv(spark, layout.table("topic_distribution")).collect()
     assert sum(int(r["count"]) for r in shares) == n
     wide = files.scan_csv(spark, layout.table("df_classified"))
