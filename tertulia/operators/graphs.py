@@ -21,6 +21,8 @@ from tertulia.operators.timeline import doc_freq, top_per_topic
 from tertulia.session import stage
 
 MAX_TERMS = 500
+# Tasks that add up the matrices of all others.
+ADDERS = 32
 
 
 def topic_vocabulary(df: DataFrame, max_terms: int = MAX_TERMS, column: str = "processed") -> DataFrame:
@@ -49,18 +51,49 @@ def _pair_counts(batches: Iterator[pa.RecordBatch], terms: dict[int, dict[str, i
                     seen[at[inside] - low, col[inside]] = 1
                     sums[topic] += seen.T @ seen
     for topic, total in sums.items():
-        a, b = np.nonzero(np.triu(total, 1))
-        numbers = [np.full(len(a), topic), a, b]
-        columns = [pa.array(c.astype(np.int32)) for c in numbers] + [pa.array(total[a, b].astype(np.int64))]
+        if total.any():
+            upper = total[np.triu_indices(len(total), 1)].astype(np.int64)
+            yield pa.record_batch([pa.array([topic], pa.int32()), pa.array([upper.tobytes()])], names=["topic", "counts"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> dict[int, np.ndarray]:
+    """Matrices of a task added up per topic."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for topic, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            part = np.frombuffer(counts, np.int64)
+            sums[topic] = sums[topic] + part if topic in sums else part
+    return sums
+
+
+def _half_added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for topic, total in _added(batches).items():
+        yield pa.record_batch([pa.array([topic], pa.int32()), pa.array([total.tobytes()])], names=["topic", "counts"])
+
+
+def _as_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for topic, total in _added(batches).items():
+        size = round((1 + (1 + 8 * len(total)) ** 0.5) / 2)
+        a, b = (side[total > 0] for side in np.triu_indices(size, 1))
+        columns = [pa.array(c.astype(np.int32)) for c in (np.full(len(a), topic), a, b)] + [pa.array(total[total > 0])]
         yield pa.record_batch(columns, names=["topic", "a", "b", "co"])
 
 
-def term_cosine_edges(df: DataFrame, vocab: DataFrame, column: str = "processed") -> DataFrame:
+def _at_most(nodes: DataFrame, max_terms: int, by: str = "topic") -> None:
+    """An error where a topic has more than ``max_terms`` rows: what follows holds a matrix of them per topic."""
+    largest = nodes.groupBy(by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > max_terms:
+        raise ValueError(f"a topic has {largest} terms, more than max_terms={max_terms}")
+
+
+def term_cosine_edges(df: DataFrame, vocab: DataFrame, column: str = "processed", max_terms: int = MAX_TERMS) -> DataFrame:
     """Cosine of the 0/1 post vectors of each two vocabulary terms of a topic that share a post: ``src < dst``.
 
-    The vocabulary of a topic (``max_terms`` at most) travels to the posts as one array. Each task adds its posts up in
-    one matrix per topic; pairs of terms become rows only after that, and only their sums are shuffled, by number.
+    The vocabulary of a topic (``max_terms`` at most, else an error) travels to the posts as one array. Each task adds its
+    posts up in one matrix per topic. The matrices are added up in two steps, ``ADDERS`` tasks and then one per topic, and
+    pairs of terms become rows only after that, once per topic whatever the number of tasks.
     """
+    _at_most(vocab, max_terms)
     terms: dict[int, dict[str, int]] = {}
     for r in vocab.select("topic", "term").orderBy("topic", "term").collect():
         ids = terms.setdefault(r.topic, {})
@@ -71,8 +104,9 @@ def term_cosine_edges(df: DataFrame, vocab: DataFrame, column: str = "processed"
     posts = df.join(F.broadcast(lists), "topic").select(
         F.col("topic").cast("int").alias("topic"), F.array_intersect(lowered, F.col("_vocab")).alias("terms")
     )
-    pairs = posts.mapInArrow(lambda b: _pair_counts(b, shared.value), "topic int, a int, b int, co long")
-    counts = pairs.groupBy("topic", "a", "b").agg(F.sum("co").alias("co"))
+    sums = posts.mapInArrow(lambda b: _pair_counts(b, shared.value), "topic int, counts binary")
+    half = sums.repartition(ADDERS).mapInArrow(_half_added, "topic int, counts binary")
+    counts = half.repartition("topic").mapInArrow(_as_pairs, "topic int, a int, b int, co long")
     place = F.row_number().over(Window.partitionBy("topic").orderBy("term")) - 1
     df_term = F.col("df").cast("double").alias("df")
     known = vocab.select(F.col("topic").cast("int").alias("topic"), "term", df_term, place.alias("id"))
@@ -92,11 +126,13 @@ def node_frequency_rank(vocab: DataFrame) -> DataFrame:
     return vocab.select("topic", "term", "freq", (F.row_number().over(order) - 1).alias("rank"))
 
 
-def _numbered(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes ``(topic, term, id)`` with small numbers, and every edge in both directions by number."""
+def _numbered(edges: DataFrame, max_terms: int) -> tuple[DataFrame, DataFrame]:
+    """Nodes ``(topic, term, id)`` with small numbers, and every edge in both directions by number; an error where a topic
+    has more than ``max_terms`` nodes."""
     ends = edges.select("topic", F.col("src").alias("term")).union(edges.select("topic", F.col("dst").alias("term")))
     order = Window.partitionBy("topic").orderBy("term")
     nodes = stage(ends.distinct().withColumn("id", F.row_number().over(order) - 1), "graph-nodes")
+    _at_most(nodes, max_terms)
     u = F.broadcast(nodes.select("topic", F.col("term").alias("src"), F.col("id").alias("u")))
     v = F.broadcast(nodes.select("topic", F.col("term").alias("dst"), F.col("id").alias("v")))
     one = edges.join(u, ["topic", "src"]).join(v, ["topic", "dst"]).select("topic", "u", "v")
@@ -110,13 +146,13 @@ def _ones(words: list[Column]) -> Column:
     return total
 
 
-def closeness(edges: DataFrame) -> DataFrame:
+def closeness(edges: DataFrame, max_terms: int = MAX_TERMS) -> DataFrame:
     """Closeness by number of hops, scaled by the share of the graph a node reaches: ``(topic, term, closeness)``.
 
     Each node keeps the set of nodes within d hops as bits in a row of integers. One round ORs the sets of its
     neighbours; the bits gained in round d are the nodes at distance d.
     """
-    nodes, arcs = _numbered(edges)
+    nodes, arcs = _numbered(edges, max_terms)
     width = (nodes.agg(F.max("id")).first()[0] or 0) // 64 + 1
     names = [f"w{i}" for i in range(width)]
     bit = F.expr("shiftleft(1L, id % 64)")
@@ -165,14 +201,14 @@ def _push(batches: Iterator[pa.RecordBatch], links: dict[int, np.ndarray]) -> It
             yield pa.record_batch([pa.array(c) for c in [*ids, passed[s, v]]], names=["topic", "s", "v", "value"])
 
 
-def betweenness(edges: DataFrame) -> DataFrame:
+def betweenness(edges: DataFrame, max_terms: int = MAX_TERMS) -> DataFrame:
     """Share of shortest paths (by hops) through each node: ``(topic, term, betweenness)``; Brandes 2001 by levels.
 
     Forward, the nodes a source reached in the last round pass their path counts to their neighbours; pairs seen before
     are taken out. Backward, each level hands its dependencies to the level before it. Spark keeps the pairs and levels;
     each task multiplies its sources' values with the 0/1 neighbour matrix of the topic, ``max_terms`` wide at most.
     """
-    nodes, arcs = _numbered(edges)
+    nodes, arcs = _numbered(edges, max_terms)
     spark = edges.sparkSession
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     # at most max_terms rows of at most max_terms numbers per topic

@@ -198,7 +198,7 @@ closeness AS (SELECT topic, term, (r / CAST(dist AS DOUBLE)) * (r / CAST(n - 1 A
 
 
 def _betweenness(depth: int = 4) -> str:
-    """Shortest paths level by level, then their shares back; like above, the graphs are not deeper than the levels."""
+    """Shortest paths level by level, then their shares back; a graph deeper than the levels is an error."""
     sql = _EDGES + """,
 node AS MATERIALIZED (SELECT topic, term, CAST(row_number() OVER (PARTITION BY topic ORDER BY term) AS INTEGER) AS id
   FROM (SELECT topic, src AS term FROM edges UNION SELECT topic, dst FROM edges)),
@@ -223,7 +223,11 @@ d{d} AS MATERIALIZED (SELECT p.topic, p.s, p.v, p.paths, coalesce(p.paths * g.gi
     shares = " UNION ALL ".join(f"SELECT topic, v, share FROM d{d}" for d in range(1, depth))
     return sql + f""",
 total AS (SELECT topic, v, sum(share) AS share FROM ({shares}) GROUP BY topic, v),
-size AS (SELECT topic, count(*) AS n FROM node GROUP BY topic)"""
+deeper AS (SELECT count(*) AS n_deeper FROM rest{depth} r JOIN adj a ON a.topic = r.topic AND a.s = r.v
+  JOIN p{depth} p ON p.topic = r.topic AND p.s = r.s AND p.v = a.v),
+size AS (SELECT topic, count(*) * CASE WHEN any_value(n_deeper) > 0
+    THEN CAST(error('the graph is deeper than the levels of this query') AS BIGINT) ELSE 1 END AS n
+  FROM node CROSS JOIN deeper GROUP BY topic)"""
 
 
 _ADJACENT = _TOKENS + """,

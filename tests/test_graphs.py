@@ -199,3 +199,16 @@ def test_isolated_terms_keep_zero(spark):
     edges = graphs.term_cosine_edges(df, vocab)
     nodes = graphs.graph_nodes(vocab, graphs.closeness(edges), graphs.betweenness(edges)).collect()
     assert {r.term: (r.rank, r.closeness) for r in nodes} == {"aa": (0, 1.0), "bb": (1, 1.0), "cc": (2, 0.0)}
+
+
+def test_larger_graphs_are_an_error(spark):
+    """What holds a matrix of terms per topic says so before anything is collected."""
+    edges = spark.createDataFrame([(0, "a", "b", 1.0), (0, "b", "c", 1.0)], "topic int, src string, dst string, weight double")
+    for measure in (graphs.closeness, graphs.betweenness):
+        with pytest.raises(ValueError, match="max_terms=2"):
+            measure(edges, max_terms=2)
+        assert measure(edges, max_terms=3).count() == 3
+    df = token_table(spark, [["aa", "bb", "cc"]])
+    with pytest.raises(ValueError, match="3 terms"):
+        graphs.term_cosine_edges(df, graphs.topic_vocabulary(df), max_terms=2)
+    assert graphs.term_cosine_edges(df.limit(0), graphs.topic_vocabulary(df)).count() == 0
