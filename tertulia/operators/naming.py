@@ -43,6 +43,33 @@ def parse_topic_names(replies: DataFrame, k: int | None = None, column: str = "r
     return out if k is None else out.withColumn("complete", F.coalesce(F.size("names") == k, F.lit(False)))
 
 
+def request_table(prompts: DataFrame) -> DataFrame:
+    """``(request_id, prompt)``: requests under a digest of their text, by which replies find them again."""
+    return prompts.select(F.sha2("prompt", 256).alias("request_id"), "prompt").distinct()
+
+
+def good_replies(requests: DataFrame, replies: DataFrame, k: int) -> DataFrame:
+    """``(request_id, names)``: for each request a reply that names all ``k`` topics; of several the least text decides."""
+    known = replies.join(requests.select("request_id"), "request_id", "left_semi")
+    whole = parse_topic_names(known, k).where("complete")
+    return whole.groupBy("request_id").agg(F.min("reply").alias("reply")).join(whole, ["request_id", "reply"]).select("request_id", "names").dropDuplicates(["request_id"])
+
+
+def open_requests(requests: DataFrame, replies: DataFrame, k: int) -> DataFrame:
+    """Requests without a good reply, to be sent again."""
+    return requests.join(good_replies(requests, replies, k), "request_id", "left_anti")
+
+
+def topic_names(requests: DataFrame, replies: DataFrame, labels: DataFrame, k: int) -> DataFrame:
+    """``(topic, title)`` for each topic of ``labels (topic, label)``: its title in the reply, or else its label.
+
+    ``requests`` and ``replies`` of one model are a few rows; a topic without a title in a good reply keeps its label too.
+    """
+    titles = good_replies(requests, replies, k).select(F.explode("names").alias("topic", "title")).groupBy("topic").agg(F.min("title").alias("title"))
+    rows = labels.select(F.col("topic").cast("string").alias("topic"), "label").join(F.broadcast(titles), "topic", "left")
+    return rows.select("topic", F.coalesce(F.nullif(F.trim("title"), F.lit("")), "label").alias("title"))
+
+
 def default_labels(topic_terms: DataFrame, n: int = 3) -> DataFrame:
     """A label from the first words of each topic, for use without a naming service."""
     words = F.array_sort(F.collect_list(F.struct("rank", "word")))

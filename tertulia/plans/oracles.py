@@ -592,6 +592,7 @@ line AS (SELECT topic_a AS topic, avg(d) AS m FROM square GROUP BY topic_a)""",
 FROM square s JOIN line a ON a.topic = s.topic_a JOIN line b ON b.topic = s.topic_b""",
         ),
         "topic_map": _with(_EMPIRICAL, "SELECT topic, round(total / CAST(n_all AS DOUBLE), 6) AS share FROM tot CROSS JOIN alln"),
+        "topic_names": _with(_FOLDED, "SELECT CAST(topic AS VARCHAR) AS topic, upper(word) AS title FROM ranked WHERE rank = 1"),
         "term_cosine_edges": _with(_EDGES, "SELECT topic, src, dst, round(weight, 6) AS weight FROM edges"),
         "inverse_weight": _with(_EDGES, "SELECT topic, src, dst, round(1 / weight, 6) AS weight FROM edges"),
         "node_frequency_rank": _with(

@@ -151,9 +151,14 @@ def mine_topics(
 
 
 def classify_and_report(
-    spark: SparkSession, layout: RunLayout, k: int, num_words: int = 25, graphs_too: bool = False, mode: str = "errorifexists"
+    spark: SparkSession, layout: RunLayout, k: int, num_words: int = 25, graphs_too: bool = False, mode: str = "errorifexists",
+    context: str = "", title_language: str = "Spanish",
 ) -> DataFrame:
-    """Classify every processed post with the stored model for ``k`` and write the reports; gives the classified posts."""
+    """Classify every processed post with the stored model for ``k`` and write the reports; gives the classified posts.
+
+    Topics are labelled by their first words. The request for better names goes to ``topic_requests``; :func:`name_topics`
+    takes the replies.
+    """
     done = files.scan_parquet(spark, f"{layout.results}/df_processed.parquet")
     model, counter = tm.load_model(layout.models, k)
     path = layout.table("df_classified.parquet")
@@ -178,6 +183,7 @@ def classify_and_report(
     out(named, "words_timeline_topic", ["topic_id"])
     labels = naming.default_labels(terms)
     out(labels, "topic_names")
+    naming.request_table(naming.topic_prompt(terms, context, title_language)).write.mode(mode).json(layout.table("topic_requests"))
     # the view of the model: all its weights, and the posts' words shared out by their mixes
     weights = tm.topic_terms(model, counter, len(counter.vocabulary))
     modelled = stage(relevance.model_terms(weights, posts), "model-terms")
@@ -190,6 +196,20 @@ def classify_and_report(
     return posts
 
 
+def name_topics(spark: SparkSession, layout: RunLayout, k: int, replies: DataFrame) -> DataFrame:
+    """Turn ``replies (request_id, reply)`` into ``topic_names``: titles from good replies, labels for all others.
+
+    Requests that are still open are written to ``open_requests``, which replaces those of an earlier call.
+    """
+    requests = files.scan_json_lines(spark, layout.table("topic_requests"), "request_id string, prompt string")
+    replies = stage(replies.select("request_id", "reply"), "replies")
+    labels = naming.default_labels(tm.topic_terms(*tm.load_model(layout.models, k), 3))
+    named = stage(naming.topic_names(requests, replies, labels, k), "topic-names")
+    files.write_csv(named, layout.table("topic_names"), "overwrite")
+    naming.open_requests(requests, replies, k).write.mode("overwrite").json(layout.table("open_requests"))
+    return named
+
+
 def _report_graphs(posts: DataFrame, terms: DataFrame, layout: RunLayout, mode: str) -> None:
     vocab = stage(graphs.topic_vocabulary(posts), "vocab")
     edges = stage(graphs.term_cosine_edges(posts, vocab), "edges")

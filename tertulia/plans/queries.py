@@ -748,6 +748,19 @@ def topic_map(spark, sf_dir):
     return _rounded(placed.select("topic", "share"), "share")
 
 
+@query
+def topic_names(spark, sf_dir):
+    """Titles for the languages' topics: one reply that names them all, one that is no JSON and one for another request."""
+    terms = timeline.top_per_topic(_topic_words(spark, sf_dir), 5).withColumn("weight", F.col("n").cast("double")).drop("n")
+    terms = stage(terms, "terms")
+    requests = stage(naming.request_table(naming.topic_prompt(terms, "posts in four languages")), "requests")
+    pairs = F.collect_list(F.struct(F.col("topic").cast("string"), F.upper("word")))
+    good = terms.where("rank = 1").agg(F.to_json(F.map_from_entries(pairs)).alias("reply"))
+    replies = requests.select("request_id").crossJoin(good.unionByName(good.select(F.lit("not json").alias("reply"))))
+    replies = replies.unionByName(good.select(F.lit("other").alias("request_id"), F.lit('{"0": "wrong"}').alias("reply")))
+    return naming.topic_names(requests, replies, naming.default_labels(terms), terms.select("topic").distinct().count())
+
+
 # graphs
 
 

@@ -120,6 +120,11 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def scan_json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """One document per line, as Spark writes them."""
+    return spark.read.schema(schema).json(path)
+
+
 def scan_outputs_by_name(spark: SparkSession, folder: str, part: str, sep: str = ",") -> DataFrame:
     """Result tables below ``folder`` whose own folder has ``part`` in its name."""
     return _reader(spark, sep, True).csv(f"{folder}/*{part}*")

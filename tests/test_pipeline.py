@@ -76,6 +76,24 @@ def test_reports_follow_from_the_stored_model(spark, run):
     assert top.where("Palabra = '' or Topic <> topic_id").isEmpty()
 
 
+def test_replies_become_topic_names(spark, run):
+    """After the reports: a bad reply leaves the labels and the request open, a good one closes it."""
+    _, result = run
+    layout = result.layout
+    request = files.scan_json_lines(spark, layout.table("topic_requests"), "request_id string, prompt string").collect()
+    assert len(request) == 1 and "0" in request[0].prompt
+    reply = lambda *texts: spark.createDataFrame([(request[0].request_id, t) for t in texts], "request_id string, reply string")
+    labels = {r.topic: r.title for r in pipeline.name_topics(spark, layout, 3, reply('{"0": "only one"}', "no json")).collect()}
+    still = files.scan_json_lines(spark, layout.table("open_requests"), "request_id string, prompt string")
+    assert set(labels) == {"0", "1", "2"} and "only one" not in labels.values() and still.count() == 1
+    good = '```json\n{"0": "a", "1": " ", "2": "c"}\n```'
+    named = {r.topic: r.title for r in pipeline.name_topics(spark, layout, 3, reply("no json", good, good)).collect()}
+    assert named == {"0": "a", "1": labels["1"], "2": "c"}
+    still = spark.read.schema("request_id string, prompt string").json(layout.table("open_requests"))
+    assert still.count() == 0
+    assert {r.topic for r in files.scan_csv(spark, layout.table("topic_names")).collect()} == {"0", "1", "2"}
+
+
 def test_more_topics_keeps_stored_values(spark, run):
     config, result = run
     before = {r.k: r.coherence for r in files.scan_coherence(spark, result.layout.table("Coherence_values")).collect()}
