@@ -22,7 +22,8 @@ PHRASES_IN_ROW = 100_000
 # Blocks that hold pictographs, skin tones, and sequences joined by a zero-width joiner; two letters make a flag.
 PICTOGRAPH = r"[\x{2300}-\x{23FF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}\x{1F000}-\x{1FAFF}]"
 _TONE = r"\x{FE0F}?[\x{1F3FB}-\x{1F3FF}]?"
-EMOJI = rf"[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|{PICTOGRAPH}{_TONE}(?:\x{{200D}}{PICTOGRAPH}{_TONE})*+"
+FLAG = r"[\x{1F1E6}-\x{1F1FF}]{2}"
+EMOJI = rf"{FLAG}|{PICTOGRAPH}{_TONE}(?:\x{{200D}}{PICTOGRAPH}{_TONE})*+"
 
 
 def clean_posts(
@@ -37,18 +38,28 @@ def clean_posts(
 
 
 def demojize(df: DataFrame, emoji: DataFrame, column: str = "content", key: str = "post_id") -> DataFrame:
-    """Replace every emoji of the table by ``:alias:``; emoji the table lacks stay.
+    """Replace every emoji by ``:alias:``, the longest match first: a whole sequence (a flag, a skin tone, pictographs that
+    are joined) that the table has, else the parts of it that the table has. What the table lacks stays.
 
-    Only posts that hold a pictograph are split, joined and put together again; all others pass through unchanged.
+    Only posts that hold a pictograph or a flag are split, joined and put together again; all others pass through unchanged.
     """
     marked = F.regexp_replace(F.col(column), F.lit(rf"({EMOJI})"), F.lit("\u0000$1\u0000"))
-    pieces = df.where(F.col(column).rlike(PICTOGRAPH)).select(key, F.posexplode(F.split(marked, "\u0000")).alias("_at", "emoji"))
-    named = lookup_join(pieces, emoji.select("emoji", "alias"), ["emoji"], "left", key)
-    piece = F.when(F.col("alias").isNotNull(), F.concat(F.lit(":"), "alias", F.lit(":"))).otherwise(F.col("emoji"))
-    whole = named.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_at", piece.alias("s")))).alias("_parts"))
-    whole = whole.select(key, F.array_join(F.col("_parts.s"), "").alias("_named"))
-    joined = df.join(whole, key, "left")
-    return joined.withColumn(column, F.coalesce("_named", column)).drop("_named")
+    pieces = df.where(F.col(column).rlike(f"{PICTOGRAPH}|{FLAG}")).select(key, F.posexplode(F.split(marked, "\u0000")).alias("_at", "_piece"))
+    # every second piece is a sequence; its parts are looked up beside it
+    parts = F.regexp_extract_all("_piece", F.lit(r"(?s)[^\x{200D}\x{FE0F}]"), F.lit(0))
+    looked_up = F.when(F.col("_at") % 2 == 1, F.concat(F.array("_piece"), parts)).otherwise(F.array("_piece"))
+    spread = pieces.select(key, "_at", F.posexplode(looked_up).alias("_part", "emoji"))
+    named = lookup_join(spread, emoji.select("emoji", "alias"), ["emoji"], "left", key)
+    word = F.concat(F.lit(":"), "alias", F.lit(":"))
+    entry = F.struct("_part", "emoji", word.alias("word"))
+    whole = named.groupBy(key, "_at").agg(F.array_sort(F.collect_list(entry)).alias("_all"))
+    first, rest = F.get("_all", F.lit(0)), F.slice("_all", F.lit(2), F.size("_all"))
+    known = F.exists(rest, lambda p: p["word"].isNotNull())
+    joined = F.array_join(F.transform(rest, lambda p: F.coalesce(p["word"], p["emoji"])), "")
+    text_of = F.coalesce(first["word"], F.when(known, joined), first["emoji"])
+    texts = whole.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_at", text_of.alias("s")))).alias("_parts"))
+    texts = texts.select(key, F.array_join(F.col("_parts.s"), "").alias("_named"))
+    return df.join(texts, key, "left").withColumn(column, F.coalesce("_named", column)).drop("_named")
 
 
 def remove_stopwords(df: DataFrame, words: list[str], column: str = "processed") -> DataFrame:

@@ -167,3 +167,24 @@ def test_lookup_join_both_ways(spark):
         small = lookup_join(rows, table, ["w"], how, "post_id")
         large = lookup_join(rows, table, ["w"], how, "post_id", max_rows=1, salts=5)
         assert sorted(map(str, small.collect())) == sorted(map(str, large.select(small.columns).collect()))
+
+
+def test_flags_tones_and_families_become_words(spark):
+    """With the default names: the longest match of the table, else the parts; the order of the text stays."""
+    from tertulia.sources.emoji import unicode_aliases
+
+    texts = {
+        "hola \U0001F1E8\U0001F1F4 fin": "hola :flag_co: fin",
+        "\U0001F468\u200D\U0001F469\u200D\U0001F467": ":man::woman::girl:",
+        "ok \U0001F44D\U0001F3FD\U0001F44D": "ok :thumbs_up_sign::medium_skin_tone::thumbs_up_sign:",
+        "\u2764\uFE0F x": ":heavy_black_heart: x",
+        "no emoji": "no emoji",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "post_id long, content string")
+    got = tk.demojize(df, unicode_aliases(spark)).orderBy("post_id").collect()
+    assert [r.content for r in got] == list(texts.values())
+    own = spark.createDataFrame([("\U0001F44D\U0001F3FD", "pulgar"), ("\U0001F44D", "otro")], "emoji string, alias string")
+    got = tk.demojize(spark.createDataFrame([(1, "a\U0001F44D\U0001F3FDb\U0001F44D\U0001F3FFc\U0001F600")], "post_id long, content string"), own)
+    assert got.first().content == "a:pulgar:b:otro:\U0001F3FFc\U0001F600"
+    words = tk.clean_posts(df, emoji=unicode_aliases(spark)).orderBy("post_id").collect()
+    assert words[0].processed == ["hola", "flag_co", "fin"] and words[1].processed == ["man", "woman", "girl"]
