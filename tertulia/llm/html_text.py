@@ -35,15 +35,18 @@ INLINE = frozenset(
 # Elements that are never part of an article.
 OUTSIDE = RAW | frozenset("head nav header footer aside button select option input menu dialog svg math canvas object video audio".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-# Words of class and id attributes that name what is no article; a compound ("has-sidebar") may just mention it.
+# Words of class and id attributes that name what is no article. A compound is named by its last part ("reader-comments") or
+# by what a list or box of it holds ("comment-list"); others ("share-enabled", "has-sidebar") may just mention it.
 NOTES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsored sponsor promo promoted promotion menu nav navbar navigation breadcrumb breadcrumbs "
     "sidebar aside widget widgets related recommended footer header masthead cookie cookies consent notice notices popup modal overlay newsletter subscribe "
     "signup login share sharing social comment comments respond disqus form search pagination pager toolbar copyright".split()
 )
+BOXES = frozenset("list lists section area block box wrapper wrap container thread threads bar panel zone group holder item items feed".split())
+MENTIONS = frozenset("has have with without no not is show shows hide hides enable enabled disable disabled before after".split())
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
 # How much an element's marks say that it is no article.
-PLAIN, HINTED, NAMED = 0, 1, 2
+PLAIN, HINTED, CALLED, NAMED = 0, 1, 2, 3
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 FEW_LINKS = 0.05  # share of linked characters
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -65,13 +68,23 @@ def _mark(tag: str, attributes: str) -> int:
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             return NAMED
         elif name in ("class", "id"):
-            if not NOTES.isdisjoint(value.split()):
+            mark = max([mark, *map(_name_mark, value.split())])
+            if mark == NAMED:
                 return NAMED
-            if not NOTES.isdisjoint(re.split(r"[^a-z]+", value)):
-                mark = HINTED
     return mark
 
 
+def _name_mark(word: str) -> int:
+    """What one word of a class or id attribute says."""
+    parts = [p for p in re.split(r"[^a-z]+", word) if p]
+    if word in NOTES:
+        return NAMED
+    if NOTES.isdisjoint(parts):
+        return PLAIN
+    outright = parts[-1] in NOTES or (len(parts) > 1 and parts[-1] in BOXES and parts[-2] in NOTES)
+    return CALLED if outright and MENTIONS.isdisjoint(parts) else HINTED
+
+
 class _Page:
     """Elements in page order; ``pieces`` are texts and breaks between blocks, each with its element."""
 
@@ -161,20 +174,21 @@ class _Page:
     def _take_out(self) -> None:
         """Skip marked elements, unless they hold an article or most of the text outside of links.
 
-        What is named outright goes, too, where an article stands beside it (comments are often articles). Where nothing
-        would be left, hints count for nothing.
+        What is named outright goes, too, where an article stands beside it (comments are often articles); so does what a
+        compound names then, which is a hint otherwise. Where nothing would be left, hints count for nothing.
         """
         if not any(self.marks):
             return
         n = len(self.tags)
         holds, named, beside = [False] * n, [False] * n, False
         for i in range(1, n):
-            named[i] = named[self.parents[i]] or self.marks[i] == NAMED
+            named[i] = named[self.parents[i]] or self.marks[i] >= CALLED
             if self.tags[i] in ("article", "main") and not self.skipped[i]:
                 holds[i] = True
                 beside = beside or not named[i]
         for i in range(n - 1, 0, -1):
             holds[self.parents[i]] |= holds[i]
+        self.marks = [(NAMED if beside else HINTED) if mark == CALLED else mark for mark in self.marks]
         chars = self._unlinked()
         self._skip(NAMED, [not beside and (h or 2 * c > chars[0]) for h, c in zip(holds, chars)])
         chars, before = self._unlinked(), list(self.skipped)
@@ -285,6 +299,8 @@ def extract_text(pages: DataFrame, source: str = "html", into: str = "text") ->
     """All columns of ``pages`` but the page source, plus the main text and its length in code points (``n_chars``).
 
     A null, empty or textless page has an empty text. Rows are treated one by one, so repeated rows give equal results.
+
+    A ``header`` element goes wherever it stands, with a title in it; headings outside of one are text.
     """
 
     boxed = box(pages, source=pages[source]).withColumn("found", _main_texts("source"))

@@ -241,3 +241,25 @@ def test_long_white_space(spark, bpe):
     packed = registered.packed(docs).collect()
     assert {r.doc_id: r.doc_tokens for r in packed}[1] == len(want) + 1
     assert sum(r.length for r in packed if r.doc_id == 1) == len(want) + 1
+
+
+@pytest.mark.parametrize("outside", [
+    '<section class="reader-comments">{0}</section>', '<div class="user-comments">{0}</div>', '<div id="cookie-banner">{0}</div>',
+    '<div class="x comment-list">{0}</div>', '<div class="site_footer">{0}</div>',
+])
+@pytest.mark.parametrize("inside", [True, False])
+def test_pages_without_reader_comments_and_banners(spark, outside, inside):
+    """Named by a compound, with more text than the article, beside it and in it."""
+    article = "<p>The short article itself.</p><p>Its second paragraph.</p>"
+    other = outside.format("".join(f"<p>Somebody said something long about it, number {i}.</p>" for i in range(20)))
+    page = f"<body><article>{article}{other}</article></body>" if inside else f"<body><article>{article}</article>{other}</body>"
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert html_text.extract_text(pages).first().text == "The short article itself. Its second paragraph."
+
+
+def test_pages_whose_names_only_mention(spark):
+    words = "A text of some length that is the article. " * 5
+    for name in ("has-sidebar", "page-with-menu", "post share-enabled", "content no-comments"):
+        page = f'<body><div class="{name}"><p>{words}</p></div><div class="menu-bar"><p>Home and more</p></div></body>'
+        pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+        assert html_text.extract_text(pages).first().text == words.strip()
