@@ -42,4 +42,17 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
-SQL = {"op11_top_k": NEAREST, "op8_line_dedup": LINES, "op10_decontaminate": CONTAMINATION}
+COPIES = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_FOLD.format(_TEXT)}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS sh FROM w)),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+arcs AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(d, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.d, arcs.b FROM reach JOIN arcs ON arcs.a = reach.r),
+least AS (SELECT d, min(r) AS component_id FROM reach GROUP BY d)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN least ON d = doc_id LEFT JOIN sizes USING (doc_id)"""
+
+SQL = {"op9_near_duplicates": COPIES, "op11_top_k": NEAREST, "op8_line_dedup": LINES, "op10_decontaminate": CONTAMINATION}
