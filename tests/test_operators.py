@@ -188,3 +188,16 @@ def test_flags_tones_and_families_become_words(spark):
     assert got.first().content == "a:pulgar:b:otro:\U0001F3FFc\U0001F600"
     words = tk.clean_posts(df, emoji=unicode_aliases(spark)).orderBy("post_id").collect()
     assert words[0].processed == ["hola", "flag_co", "fin"] and words[1].processed == ["man", "woman", "girl"]
+
+
+def test_repeated_posts_are_counted_by_digest(spark):
+    from tertulia.operators import profile
+
+    texts = ["b", "a", "b", None, "", "a", "b", "é"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "post_id long, content string, count string")
+    counts = profile.repeated_posts(df)
+    assert [tuple(r) for r in counts.collect()] == [("b", 3), ("a", 2), ("", 1), ("é", 1)]
+    assert [tuple(r) for r in profile.repeated_posts_top(df, 1).collect()] == [("b", 3)]
+    grouped = [line for line in counts._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line]
+    assert len(grouped) == 1 and "Aggregate [_groupingexpression" in grouped[0]
+    assert profile.repeated_posts(df.limit(0)).count() == 0
