@@ -11,6 +11,9 @@ Only windows that hold some shingle of some template can share a MinHash value w
 on shingles, and all others are left alone; this loses nothing.
 
 Templates of fewer than ``SHINGLE`` words have no shingle. They are found word for word, by a join on their first word.
+
+Headers of one family differ in a name or a version only, which containment forgives. Templates can name phrases that
+tell them apart; all shingles of these must be in the window.
 """
 
 from __future__ import annotations
@@ -27,11 +30,21 @@ CONTAINED = 0.8
 SMALLEST = 8
 
 
+def _grams(words: Column) -> Column:
+    """A hash for each run of ``SHINGLE`` words; null where there are fewer words."""
+    last = F.size(words) - SHINGLE
+    grams = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(SHINGLE)]))
+    return F.when(last >= 0, grams)
+
+
 def _shingles(df: DataFrame) -> DataFrame:
-    """``df`` with ``g``, a hash for each run of ``SHINGLE`` words of ``h``; null where there are fewer words."""
-    last = F.size("h") - SHINGLE
-    grams = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(SHINGLE)]))
-    return held(df, "g", F.when(last >= 0, grams)).drop("h")
+    """``df`` with the shingles ``g`` in place of the words ``h``."""
+    return held(df, "g", _grams(F.col("h"))).drop("h")
+
+
+def _telling(phrases: Column) -> Column:
+    """The shingles of all phrases."""
+    return F.array_distinct(F.flatten(F.transform(F.coalesce(phrases, F.array()), lambda p: F.coalesce(_grams(word_hashes(p)), F.array()))))
 
 
 def _bands(df: DataFrame, name: str) -> DataFrame:
@@ -57,20 +70,22 @@ def _short(rows: DataFrame, short: DataFrame, max_broadcast: int) -> DataFrame:
 
 def scan(
     docs: DataFrame, templates: DataFrame, key: str = "doc_id", text: str = "text", license_key: str = "license_id", template_text: str = "template",
-    max_broadcast: int = 1_000_000,
+    must: str | None = None, max_broadcast: int = 1_000_000,
 ) -> DataFrame:
     """``(key, license_id, containment)``: a row for each document and license found in it, with the largest containment.
 
     Words are compared without case and punctuation. Null and empty texts have no license; templates of fewer than
     ``SHINGLE`` words must occur word for word, and those without words are found nowhere. Rows that repeat an id give one result together, and rows without an id are one
-    document called null. A license may have several templates. Other columns are ignored.
+    document called null. A license may have several templates. ``must`` names a column with the phrases that a template of
+    ``SHINGLE`` words or more cannot do without; phrases of fewer words and null ask for nothing. Other columns are ignored.
     """
     rows = keyed(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), "id", "text")
-    known = templates.select(F.col(license_key).alias("license"), word_hashes(F.col(template_text)).alias("h"))
-    short = stage(known.filter((F.size("h") > 0) & (F.size("h") < SHINGLE)).distinct(), "short-templates")
+    telling = _telling(F.col(must) if must else F.array().cast("array<string>")).alias("must")
+    known = templates.select(F.col(license_key).alias("license"), word_hashes(F.col(template_text)).alias("h"), telling)
+    short = stage(known.filter((F.size("h") > 0) & (F.size("h") < SHINGLE)).select("license", "h").distinct(), "short-templates")
     size = F.greatest(F.lit(SMALLEST), F.pow(F.lit(2), F.ceil(F.log2(F.size("h")))).cast("int"))
     known = _shingles(known.filter(F.size("h") >= SHINGLE).withColumn("c", size))
-    known = stage(known.select("license", "c", F.array_distinct("g").alias("g")).distinct(), "templates")
+    known = stage(known.select("license", "c", F.array_distinct("g").alias("g"), "must").distinct(), "templates")
     # one power of two per length of templates, so a handful
     classes = [r["c"] for r in known.select("c").distinct().collect()] or [SMALLEST]
 
@@ -98,10 +113,11 @@ def scan(
     cut = stage(both.select("id", F.explode(cut).alias("w")).select("id", "w.c", F.col("w.s").alias("s")).filter("size(s) > 0"), "license-windows")
 
     # retrieval by bands, verification by containment
-    template_bands = _bands(known, "g").select("c", "band", "least", "license", F.col("g").alias("t"))
+    template_bands = _bands(known, "g").select("c", "band", "least", "license", F.col("g").alias("t"), "must")
     found = _bands(cut.select("id", "c", "s"), "s").join(template_bands, ["c", "band", "least"]).drop("band", "least")
     share = F.size(F.array_intersect("s", "t")) / F.size("t")
-    verified = found.select("id", "license", share.alias("containment")).filter(F.col("containment") >= CONTAINED)
+    whole = found.filter(F.size(F.array_except("must", "s")) == 0)
+    verified = whole.select("id", "license", share.alias("containment")).filter(F.col("containment") >= CONTAINED)
     if not short.isEmpty():
         verified = verified.unionByName(_short(texts, short, max_broadcast))
     best = verified.groupBy("id", "license").agg(F.max("containment").alias("containment"))
@@ -119,11 +135,6 @@ NOTICES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    (
-        "GPL-3.0",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
-        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    ),
     ("MIT", "Released under the MIT License."),
     (
         "MIT",
@@ -143,7 +154,6 @@ _FORMS = {
     ],
     "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0 license", "Apache License Version 2.0, January 2004"],
     "BSD-2-Clause": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "BSD 2-Clause", "2-Clause BSD", "Simplified BSD License",
     ],
     "BSD-3-Clause": [
@@ -182,3 +192,27 @@ _FORMS = {
     ],
 }
 FORMS = [(name, form) for name, forms in _FORMS.items() for form in [*forms, f"SPDX-License-Identifier: {name}"]] + [(RESERVED, "All rights reserved.")]
+
+# File headers that all but agree: their license, its name and version.
+_HEADERS = [
+    ("GPL-2.0", "General Public License", "2"), ("GPL-3.0", "General Public License", "3"), ("AGPL-3.0", "Affero General Public License", "3"),
+    ("LGPL-2.1", "Lesser General Public License", "2.1"), ("LGPL-3.0", "Lesser General Public License", "3"),
+]
+_HEADER = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published "
+    "by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+)
+_ONLY = "under the terms of version {version} of the GNU {name} as published by the Free Software Foundation"
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY"
+)
+TELLING = [
+    *[(i, _HEADER.format(name=n, version=v), [f"the GNU {n}", f"version {v} of the License"]) for i, n, v in _HEADERS],
+    *[(i, _ONLY.format(name=n, version=v), [f"terms of version {v} of the GNU {n}"]) for i, n, v in _HEADERS],
+    # the notice of three clauses goes on with the third one here
+    ("BSD-2-Clause", _BSD, ["with the distribution. THIS SOFTWARE"]),
+]
+TEMPLATES = [(name, form, None) for name, form in NOTICES + FORMS] + TELLING

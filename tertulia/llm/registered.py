@@ -63,15 +63,15 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     A notice that rights are reserved is no license and has a column of its own.
     """
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    templates = spark.createDataFrame(licenses.NOTICES + licenses.FORMS, "license_id string, template string")
+    templates = spark.createDataFrame(licenses.TEMPLATES, "license_id string, template string, must array<string>")
     granted = F.col("license_id") != licenses.RESERVED
-    found = licenses.scan(docs, templates).groupBy("doc_id").agg(
+    found = licenses.scan(docs, templates, must="must").groupBy(F.col("doc_id").alias("_doc")).agg(
         F.array_join(F.array_sort(F.collect_list(F.when(granted, F.col("license_id")))), ",").alias("licenses"),
         F.count_if(granted).alias("n_licenses"),
         F.round(F.max(F.when(granted, F.col("containment"))), 6).alias("containment"),
         F.count_if(~granted).alias("reserved"),
     )
-    joined = docs.select("doc_id").join(found, "doc_id", "left")
+    joined = docs.select("doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
     return joined.select(
         "doc_id", F.coalesce("licenses", F.lit("")).alias("licenses"), F.coalesce("n_licenses", F.lit(0)).alias("n_licenses"), "containment",
         (F.coalesce("reserved", F.lit(0)) > 0).alias("rights_reserved"),

@@ -43,20 +43,30 @@ def quality(text):
 
 
 def licenses(rows, notices):
-    templates = []
-    for name, text in notices:
+    """``notices``: license, text and the phrases that must be there."""
+    grams_of = lambda words: [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    templates, short = [], []
+    for name, text, must in notices:
         words = WORD.findall(text.translate(UPPER))
+        if len(words) < 5:
+            short.append((name, words))
+            continue
         size = max(8, 1 << (len(words) - 1).bit_length())
-        templates.append((name, size, {tuple(words[i : i + 5]) for i in range(len(words) - 4)}))
+        templates.append((name, size, set(grams_of(words)), {g for m in must or [] for g in grams_of(WORD.findall(m.translate(UPPER)))}))
     out = {}
     for doc, text in rows:
         words, best = WORD.findall((text or "").translate(UPPER)), {}
-        grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
-        for name, size, shingles in templates:
+        grams = grams_of(words)
+        for name, size, shingles, must in templates:
             for at in range(0, len(grams), size // 2):
-                share = len(shingles & set(grams[at : at + size * 3 // 2 - 4])) / len(shingles)
-                if share >= 0.8:
+                window = set(grams[at : at + size * 3 // 2 - 4])
+                share = len(shingles & window) / len(shingles)
+                if share >= 0.8 and must <= window:
                     best[name] = max(best.get(name, 0), share)
+        for name, run in short:
+            if any(words[i : i + len(run)] == run for i in range(len(words))):
+                best[name] = 1.0
+        best = {name: share for name, share in best.items() if "Reserved" not in name}
         out[doc] = (",".join(sorted(best)), len(best), round(max(best.values()), 6) if best else None)
     return out
 

@@ -38,7 +38,7 @@ def test_repeats_of_odd_rows(odd):
 
 
 def test_licenses(spark, sf, rows):
-    assert by_id(registered.op6_licenses(spark, sf), "licenses", "n_licenses", "containment") == brute.licenses(rows, licenses.NOTICES)
+    assert by_id(registered.op6_licenses(spark, sf), "licenses", "n_licenses", "containment") == brute.licenses(rows, licenses.TEMPLATES)
 
 
 def test_licenses_inside_long_texts(spark):
@@ -65,6 +65,39 @@ def test_licenses_of_other_forms(spark, tmp_path):
     assert found == {i: (want, False) for i, want in enumerate(texts.values())} | {len(texts): ("", True)}
 
 
+def test_headers_of_one_family(spark, tmp_path):
+    gnu = (
+        "This {what} is free software; you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software "
+        "Foundation; either version {v} of the License, or (at your option) any later version.\n\nThis {what} is distributed in the hope that it will be useful"
+    )
+    start = (
+        "Copyright (c) 2001, A. Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met:\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution.\n"
+    )
+    third = "3. Neither its name nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+    end = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"'
+    texts = {
+        gnu.format(what="program", name="GNU General Public License", v="2"): "GPL-2.0",
+        gnu.format(what="program", name="GNU General Public License", v="3"): "GPL-3.0",
+        gnu.format(what="library", name="GNU Lesser General Public License", v="2.1"): "LGPL-2.1",
+        gnu.format(what="library", name="GNU Lesser General Public License", v="3"): "LGPL-3.0",
+        gnu.format(what="program", name="GNU Affero General Public License", v="3"): "AGPL-3.0",
+        "modify it under the terms of version 2 of the GNU General Public License as published by the Free Software Foundation.": "GPL-2.0",
+        start + end: "BSD-2-Clause", start + third + end: "BSD-3-Clause", start.replace("1. ", "* ").replace("2. ", "* ") + end: "BSD-2-Clause",
+        "nothing": "",
+    }
+    data = [(i, f"some words before it {t}") for i, t in enumerate(texts)]
+    data += [(None, f"{data[0][1]} x"), (None, "a b c d e f")]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = registered.op6_licenses(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.licenses for r in got if r.doc_id is not None} == dict(enumerate(texts.values()))
+    assert [r.licenses for r in got if r.doc_id is None] == ["GPL-2.0"] * 2
+    expected = brute.licenses([d for d in data if d[0] is not None], licenses.TEMPLATES)
+    assert {r.doc_id: (r.licenses, r.n_licenses, r.containment) for r in got if r.doc_id is not None} == expected
+
+
 def test_lines(spark, sf, rows):
     want = {d: (n, k, hashlib.sha256(t.encode()).hexdigest()) for d, (n, k, t) in brute.line_dedup(rows).items()}
     assert by_id(registered.op8_line_dedup(spark, sf), "n_lines", "n_dropped", "kept_sha256") == want
