@@ -1,10 +1,11 @@
 """Removal of lines that many documents share, with levelled sorted runs of line hashes.
 
 A run is a stored table ``(h1, h2, n_docs, last)``, bucketed and sorted by the 128-bit hash of a line's key: in how many
-documents the key was found and the largest id among them. Every batch of documents adds a run at level 0. When a level
-has ``fanout`` runs they are merged into one run of the next level, so a corpus of B batches is held in O(log B) runs per
-level and each hash is rewritten O(log B) times. All runs have the same buckets: merging them, and joining a batch with
-them, is a sort-merge join of stored buckets without another shuffle.
+documents the key was found and the largest id among them. A batch of documents is merge-anti-joined with the runs: a key
+that some run has in enough documents, with an id as large, is settled and tells nothing new. What is left becomes a run
+at level 0, so a line that stands in every document is not stored again and again. Two runs of one level are merged into
+one run of the next: a corpus of B batches is held in O(log B) runs and each hash is rewritten O(log B) times. All runs
+have the same buckets, so both are sort-merge joins of stored buckets and shuffle no run.
 
 Lines are dropped in a second pass, when the counts are complete: the lines of each document are joined with the keys of
 the merged runs that are common enough, and leave unless the document is the last holder of the key.
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,59 +24,80 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tertulia.llm.tables import box, delete_folder, map_rows, unbox
-from tertulia.session import lookup_join, new_folder
+from tertulia.session import lookup_join, new_folder, stage
 
 MIN_CHARS = 40
 MIN_DOCS = 5
-BATCHES = 4
-FANOUT = 4
+BATCHES = 6  # at least; more where these would hold over ``BATCH_DOCS`` documents each
+BATCH_DOCS = 100_000_000
 SPACE = b" \t\n\x0b\x0c\r"
 
 
 class LineRuns:
-    """The runs of one corpus. ``add`` takes a batch, ``merged`` gives all keys with their counts."""
+    """The runs of one corpus. ``add`` takes a batch, ``common`` gives the keys of at least ``min_docs`` documents.
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
-        self.spark, self.fanout = spark, fanout
+    Counts are exact below ``min_docs`` and at least ``min_docs`` above; ``last`` is exact.
+    """
+
+    def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS):
+        self.spark, self.min_docs = spark, min_docs
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[tuple[str, str]]] = []
 
+    def runs(self) -> list[tuple[str, str]]:
+        return [run for level in self.levels for run in level]
+
     def _write(self, keys: DataFrame) -> tuple[str, str]:
+        """``keys`` are partitioned by hash already, so a task writes whole buckets."""
         name, path = f"line_run_{uuid.uuid4().hex}", new_folder(self.spark, "line-run")
-        dealt = keys.repartition(self.buckets, "h1", "h2")
-        dealt.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", path).saveAsTable(name)
+        keys.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", path).saveAsTable(name)
         return name, path
 
-    def _merge(self, runs: list[tuple[str, str]]) -> DataFrame:
-        out = self.spark.table(runs[0][0])
-        for name, _ in runs[1:]:
-            a, b = out.alias("a"), self.spark.table(name).alias("b")
-            same = (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
-            out = a.join(b, same, "full_outer").select(
-                F.coalesce("a.h1", "b.h1").alias("h1"),
-                F.coalesce("a.h2", "b.h2").alias("h2"),
-                (F.coalesce("a.n_docs", F.lit(0)) + F.coalesce("b.n_docs", F.lit(0))).alias("n_docs"),
-                F.greatest("a.last", "b.last").alias("last"),
-            )
-        return out
+    def _drop(self, runs: list[tuple[str, str]]) -> None:
+        for name, path in runs:
+            self.spark.sql(f"DROP TABLE {name}")
+            delete_folder(self.spark, path)
+
+    def _merge(self, one: tuple[str, str], other: tuple[str, str]) -> DataFrame:
+        a, b = self.spark.table(one[0]).alias("a"), self.spark.table(other[0]).alias("b").hint("merge")
+        same = (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
+        return a.join(b, same, "full_outer").select(
+            F.coalesce("a.h1", "b.h1").alias("h1"),
+            F.coalesce("a.h2", "b.h2").alias("h2"),
+            (F.coalesce("a.n_docs", F.lit(0)) + F.coalesce("b.n_docs", F.lit(0))).alias("n_docs"),
+            F.greatest("a.last", "b.last").alias("last"),
+        )
 
     def add(self, lines: DataFrame) -> None:
         """``lines``: ``(h1, h2, doc)``, a key once per document."""
-        self._put(0, self._write(lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("last"))))
+        new = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("last"))
+        for name, _ in self.runs():
+            a, b = new.alias("a"), self.spark.table(name).filter(F.col("n_docs") >= self.min_docs).alias("b").hint("merge")
+            same = (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
+            # a null id is smaller than all others
+            new = a.join(b, same & (F.col("a.last").isNull() | F.coalesce(F.col("a.last") <= F.col("b.last"), F.lit(False))), "left_anti")
+        self._put(0, self._write(new))
 
     def _put(self, level: int, run: tuple[str, str]) -> None:
         if level == len(self.levels):
             self.levels.append([])
         self.levels[level].append(run)
-        if len(self.levels[level]) == self.fanout:
+        if len(self.levels[level]) == 2:
             full, self.levels[level] = self.levels[level], []
-            self._put(level + 1, self._write(self._merge(full)))
-            for name, path in full:
-                self.spark.sql(f"DROP TABLE {name}")
-                delete_folder(self.spark, path)
+            self._put(level + 1, self._write(self._merge(*full)))
+            self._drop(full)
+
+    def common(self) -> DataFrame:
+        """``(h1, h2, last)``, stored."""
+        # read as plain files: above a union, scans lose their buckets while the plan still counts on them
+        runs = [self.spark.read.schema(self.spark.table(name).schema).parquet(path) for name, path in self.runs()]
+        found = reduce(DataFrame.unionAll, runs).groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("last").alias("last"))
+        return stage(found.filter(F.col("n_docs") >= self.min_docs).select("h1", "h2", "last"), "common-lines")
 
-    def merged(self) -> DataFrame:
-        return self._merge([run for level in self.levels for run in level])
+    def close(self) -> None:
+        """Drop all runs."""
+        self._drop(self.runs())
+        self.levels = []
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -101,7 +124,7 @@ def drop_common_lines(
     text: str = "text",
     min_chars: int = MIN_CHARS,
     min_docs: int = MIN_DOCS,
-    batches: int = BATCHES,
+    batches: int | None = None,
     max_broadcast: int = 200_000,
 ) -> DataFrame:
     """All columns of ``docs`` with the text rewritten, plus ``n_lines`` (before) and ``n_dropped``.
@@ -110,9 +133,10 @@ def drop_common_lines(
     points found in at least ``min_docs`` documents loses all its lines except those in the document of the largest id.
     Null and empty texts are one empty line and stay as they are (a null text stays null). Rows that repeat an id count as
     documents of their own; when the largest id repeats, all its rows keep the line. Rows without an id count too and come
-    before all ids.
+    before all ids. The result does not depend on ``batches``.
     """
     spark = docs.sparkSession
+    batches = batches or max(BATCHES, -(-docs.count() // BATCH_DOCS))
     named = box(docs, id=docs[key], digest=F.xxhash64(docs[text]), text=docs[text])
     batch = F.pmod(F.xxhash64("id", "digest"), F.lit(batches)).cast("int")
     source = named.select(F.col("id").alias("doc"), "digest", batch.alias("batch"), "text")
@@ -120,10 +144,11 @@ def drop_common_lines(
     path = new_folder(spark, "lines")
     lines.write.partitionBy("batch").parquet(path)
     lines = spark.read.schema(lines.schema).parquet(path)
-    runs = LineRuns(spark)
-    for batch in range(batches):
-        runs.add(lines.filter(F.col("batch") == batch).select("h1", "h2", "doc"))
-    common = runs.merged().filter(F.col("n_docs") >= min_docs).select("h1", "h2", "last")
+    runs = LineRuns(spark, min_docs)
+    for number in range(batches):
+        runs.add(lines.filter(F.col("batch") == number).select("h1", "h2", "doc"))
+    common = runs.common()
+    runs.close()
     found = lookup_join(lines.drop("batch"), common, ["h1", "h2"], "inner", salt_by="digest", max_rows=max_broadcast)
     losing = found.filter(~F.col("doc").eqNullSafe(F.col("last")))
     # rows of the same id and text have the same lines, so they share one list of numbers

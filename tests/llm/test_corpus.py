@@ -111,6 +111,36 @@ def test_lines_of_odd_rows(odd):
     assert line_dedup.drop_common_lines(odd.limit(0)).count() == 0
 
 
+def test_runs_of_several_levels(spark):
+    rng = random.Random(9)
+    found = [(k, None if rng.random() < 0.1 else d) for d in range(200) for k in {int(40 * rng.random() ** 3) for _ in range(6)}]
+    runs = line_dedup.LineRuns(spark, min_docs=5)
+    lines = spark.createDataFrame([(k, -k, d, d is None or d * 7 % 11) for k, d in found], "h1 long, h2 long, doc long, batch string").cache()
+    sizes = []
+    for batch in sorted({r.batch for r in lines.select("batch").distinct().collect()}):
+        runs.add(lines.filter(F.col("batch") == batch).drop("batch"))
+        sizes.append([len(level) for level in runs.levels])
+    assert sizes[0] == [1] and sizes[7] == [0, 0, 0, 1] and max(map(sum, sizes)) <= 4
+    stored = sum(spark.table(name).count() for name, _ in runs.runs())
+    want = {}
+    for k, d in found:
+        n, last = want.get(k, (0, -1))
+        want[k] = n + 1, max(last, -1 if d is None else d)
+    assert {r.h1: -1 if r.last is None else r.last for r in runs.common().collect()} == {k: last for k, (n, last) in want.items() if n >= 5}
+    assert stored < lines.select("h1", "batch").distinct().count()  # settled keys are not stored again
+    # runs meet without moving
+    assert "Exchange" not in runs._merge(*runs.runs()[:2])._jdf.queryExecution().executedPlan().toString()
+    runs.close()
+    assert not runs.runs()
+
+
+@pytest.mark.parametrize("batches", [1, 9])
+def test_lines_in_any_number_of_batches(spark, rows, batches):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.drop_common_lines(docs, batches=batches).collect()
+    assert {r.doc_id: (r.n_lines, r.n_dropped, r.text or "") for r in found} == brute.line_dedup(rows)
+
+
 def test_near_duplicates(spark, sf, rows):
     assert by_id(registered.op9_near_duplicates(spark, sf), "n_shingles", "component_id", "kept") == brute.near_duplicates(rows)
 
