@@ -23,6 +23,7 @@ changes nothing. Sums are formed before every shuffle, and very frequent keys ar
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -32,14 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tertulia.llm.tables import box, unbox
-from tertulia.session import stage
+from tertulia.llm.tables import box, delete_folder, unbox
+from tertulia.session import new_folder, stage
 
 LENGTH = 100
 GRAM = 32
 BLOCK = 11
 BITS = 1 << 28
-PART = 1 << 22
+# Windows of a part of a huge text, and bytes hashed side by side: few enough for a core's cache.
+PART = 1 << 16
+BUFFER = 1 << 16
+PLACE_BITS = 17  # places in a buffer
 # Rows after which a task hands on what it has found.
 ROWS = 500_000
 # A position is a number below 2**40, above it 23 bits of the text's hash: rows that repeat an id are told apart.
@@ -49,7 +53,6 @@ _RNG = np.random.default_rng(1729)
 _BYTES = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
-_PLACES = np.uint64((1 << 31) - 1)  # a string has less than 2**31 bytes
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -62,7 +65,7 @@ _KNOWN: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """The first ``n`` powers; the longest list so far is kept, at most ``PART`` and a little of them."""
+    """The first ``n`` powers; the longest list so far is kept, ``BUFFER`` and a little of them."""
     if base not in _KNOWN or len(_KNOWN[base]) < n:
         out = np.full(max(n, 1 << 16), base, np.uint64)
         out[0] = 1
@@ -72,21 +75,20 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Hashes:
-    """Hashes of any spans of a text in constant time each."""
+    """Hashes of any spans of a buffer in constant time each."""
 
-    def __init__(self, data: bytes):
-        codes = np.frombuffer(data, np.uint8)
+    def __init__(self, codes: np.ndarray):
         self.sums = np.zeros(len(codes) + 1, np.uint64)
         self.back = _powers(_INVERSE, len(codes) + 1)
         with np.errstate(over="ignore"):
             np.cumsum(_BYTES[codes] * _powers(_BASE, len(codes) + 1)[:-1], out=self.sums[1:])
 
     def every(self, width: int) -> np.ndarray:
-        """The hashes of all spans of one width."""
+        """The hashes of all spans of one width, not mixed: their upper bits are good."""
         with np.errstate(over="ignore"):
             h = self.sums[width:] - self.sums[:-width]
             h *= self.back[: len(h)]
-            return _mix(h)
+            return h
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -94,26 +96,72 @@ class Hashes:
 
 
 def _least(h: np.ndarray, w: int) -> np.ndarray:
-    """The place of the least of the upper 33 bits, the leftmost of equal ones, in every run of ``w``."""
+    """In every run of ``w`` the least of the upper bits, the leftmost of equal ones, with its place in the lower bits."""
     n = len(h)
-    h = (h & ~_PLACES) | np.arange(n, dtype=np.uint64)
+    key = (h >> np.uint64(32 + PLACE_BITS)).astype(np.uint32) << np.uint32(PLACE_BITS)
+    key |= np.arange(n, dtype=np.uint32)
     # the least of runs of doubling length, until two of them overlap to one of w
     size = 1
     while 2 * size <= w:
-        h = np.minimum(h[:-size], h[size:])
+        key = np.minimum(key[:-size], key[size:])
         size *= 2
-    return (np.minimum(h[: n - w + 1], h[w - size : w - size + n - w + 1]) & _PLACES).astype(np.int64)
-
-
-def anchor_runs(data: bytes) -> tuple[Hashes, np.ndarray, np.ndarray, np.ndarray] | None:
-    """Hashes, and of each run its anchor, its first window and the number of windows; None for texts without a window."""
-    n = len(data)
-    if n < LENGTH:
-        return None
-    hashes = Hashes(data)
-    anchor = _least(hashes.every(GRAM), LENGTH - GRAM + 1)
-    first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-    return hashes, anchor[first], first, np.diff(np.append(first, len(anchor)))
+    return np.minimum(key[: n - w + 1], key[w - size : w - size + n - w + 1])
+
+
+class Pieces(NamedTuple):
+    """Texts, or parts of huge ones, side by side in a buffer that fits a core's cache."""
+
+    codes: np.ndarray
+    owner: np.ndarray  # row of each piece
+    place: np.ndarray  # where in its text a piece starts
+    begin: np.ndarray  # where in the buffer
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column of texts, and where each row starts and the last one ends."""
+    column = column.cast(pa.large_binary())
+    _, at, data = column.buffers()
+    at = np.frombuffer(at, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data if data is not None else b"", np.uint8), at
+
+
+def _pieces(column: pa.Array, rows: np.ndarray, part_size: int) -> Iterator[Pieces]:
+    """The texts of ``rows``, each of ``LENGTH`` bytes or more; huge ones in parts of ``part_size`` windows."""
+    data, at = _bytes_of(column)
+    held: list[np.ndarray] = []
+    marks: list[tuple[int, int, int]] = []
+    size = 0
+    for row in rows.tolist():
+        low, high = int(at[row]), int(at[row + 1])
+        for start in range(low, high - LENGTH + 1, part_size):
+            piece = data[start : min(high, start + part_size + LENGTH - 1)]
+            if held and size + len(piece) > BUFFER:
+                yield Pieces(np.concatenate(held), *np.array(marks, dtype=np.int64).T)
+                held, marks, size = [], [], 0
+            held.append(piece)
+            marks.append((row, start - low, size))
+            size += len(piece)
+    if held:
+        yield Pieces(np.concatenate(held), *np.array(marks, dtype=np.int64).T)
+
+
+def anchor_runs(codes: np.ndarray, begin: np.ndarray) -> tuple[Hashes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, and of each run its anchor, its first window, the number of windows and its piece; no run crosses pieces."""
+    end = np.append(begin[1:], len(codes))
+    hashes = Hashes(codes)
+    least = _least(hashes.every(GRAM), LENGTH - GRAM + 1)
+    # windows that lie across two pieces are runs of their own and go
+    new = np.zeros(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    new[begin] = True
+    new[(end - LENGTH + 1)[:-1]] = True
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(least)))
+    piece = np.searchsorted(begin, first, "right") - 1
+    whole = first + LENGTH <= end[piece]
+    first, n, piece = first[whole], n[whole], piece[whole]
+    anchor = (least[first] & np.uint32((1 << PLACE_BITS) - 1)).astype(np.int64)
+    return hashes, anchor, first, n, piece
 
 
 def _is_set(bitmap: np.ndarray | None, values: np.ndarray) -> np.ndarray:
@@ -123,92 +171,137 @@ def _is_set(bitmap: np.ndarray | None, values: np.ndarray) -> np.ndarray:
     return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def _runs(text: str, tag: int, level: int, open_runs: np.ndarray | None, open_blocks: np.ndarray | None, part_size: int):
-    """``(short, long, at, n)`` of the runs of one level, as arrays, or None.
-
-    Huge texts are done in parts of ``part_size`` windows; a run that a part's end divides is two runs, on every level.
-    """
-    data = text.encode("utf-8", "surrogatepass")
-    parts = []
-    for at in range(0, max(1, len(data) - LENGTH + 1), part_size):
-        part = _part_runs(data[at : at + part_size + LENGTH - 1], tag + at, level, open_runs, open_blocks)
-        if part is not None:
-            parts.append((part[0], part[1], part[2] + at, part[3]))
-    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else None
-
-
-def _part_runs(data: bytes, tag: int, level: int, open_runs: np.ndarray | None, open_blocks: np.ndarray | None):
-    found = anchor_runs(data)
-    if found is None:
-        return None
-    hashes, anchor, first, n = found
-    if level == 0:
-        long = hashes.spans(first, first + n - 1 + LENGTH)
-        return hashes.spans(anchor, anchor + GRAM), long, first, n
-    live = _is_set(open_runs, first + tag)
-    anchor, first, n = anchor[live], first[live], n[live]
-    if not len(first):
-        return None
-    # windows in blocks by their distance from the anchor
-    window = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    block = (np.repeat(anchor, n) - window) // BLOCK
-    new = np.concatenate(([True], (block[1:] != block[:-1]) | (np.repeat(first, n)[1:] != np.repeat(first, n)[:-1])))
-    start = np.flatnonzero(new)
-    size = np.diff(np.append(start, len(window)))
-    first, anchor, block = window[start], np.repeat(anchor, n)[start], block[start]
-    if level == 1:
-        # all windows of a full block share these bytes, whether the run holds all of them or not
-        low = anchor - block * BLOCK
-        core = hashes.spans(low, low - (BLOCK - 1) + LENGTH)
-        return core, hashes.spans(first, first + size - 1 + LENGTH), first, size
-    live = _is_set(open_blocks, first + tag)
-    first, size = first[live], size[live]
-    if not len(first):
-        return None
-    window = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    whole = hashes.spans(window, window + LENGTH)
-    return whole, whole, window, np.ones(len(window), np.int64)
-
-
-def _emit(docs: DataFrame, level: int, seen: Broadcast | None, filters: list[Broadcast | None]) -> DataFrame:
-    """The runs of a level: the short strings alone for counting, or all columns of those that ``seen`` lets through."""
-    kind = docs.schema["doc"].dataType.simpleString()
-    schema = f"short long, long long, doc {kind}, at long, n int" if seen else "short long"
+def _anchored(docs: DataFrame, schema: str, pick, texts: Broadcast | None = None) -> DataFrame:
+    """Columns that ``pick(hashes, codes, anchor, first, n, row, at)`` takes of the runs of a buffer; ``at`` holds the tag too."""
     part_size = PART
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, texts, runs, blocks = (b.value if b is not None else None for b in (seen, *filters))
         for batch in batches:
-            ids, tags = batch.column(0), batch.column(1).to_numpy()
-            held: list[tuple] = []
-            size = 0
-            for i in np.flatnonzero(_is_set(texts, tags)).tolist():
-                found = _runs(batch.column(2)[i].as_py(), int(tags[i]), level, runs, blocks, part_size)
-                if found is None:
-                    continue
-                short, long, at, n = found
-                if seen is None:
-                    held.append((short,))
-                else:
-                    keep = np.flatnonzero(_is_set(known, short.view(np.int64)))
-                    held.append((short[keep], long[keep], np.full(len(keep), i), at[keep] + tags[i], n[keep]))
-                size += len(held[-1][0])
-                if size > ROWS:
-                    yield _as_batch(held, ids)
-                    held, size = [], 0
-            if held:
-                yield _as_batch(held, ids)
+            tags = batch.column(1).to_numpy()
+            rows = np.flatnonzero(_is_set(texts.value if texts is not None else None, tags))
+
+            def found() -> Iterator[tuple[np.ndarray, ...]]:
+                for codes, owner, place, begin in _pieces(batch.column(2), rows, part_size):
+                    hashes, anchor, first, n, piece = anchor_runs(codes, begin)
+                    row = owner[piece]
+                    yield pick(hashes, codes, anchor, first, n, row, first - begin[piece] + place[piece] + tags[row])
+
+            yield from _batches(found(), batch.column(0), schema)
 
     return docs.mapInArrow(run, schema)
 
 
-def _as_batch(held: list[tuple], ids: pa.Array) -> pa.RecordBatch:
-    columns = [np.concatenate(x) for x in zip(*held)]
-    out = {"short": pa.array(columns[0].view(np.int64))}
-    if len(columns) > 1:
-        out |= {"long": pa.array(columns[1].view(np.int64)), "doc": ids.take(pa.array(columns[2]))}
-        out |= {"at": pa.array(columns[3].astype(np.int64)), "n": pa.array(columns[4].astype(np.int32))}
-    return pa.RecordBatch.from_pydict(out)
+def _batches(found: Iterator[tuple[np.ndarray, ...]], ids: pa.Array, schema: str) -> Iterator[pa.RecordBatch]:
+    """Columns as batches of about ``ROWS`` rows; a column ``doc`` holds numbers of rows and becomes their ids."""
+    names = [part.split()[0] for part in schema.split(", ")]
+    held: list[tuple] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        columns = dict(zip(names, (np.concatenate(x) for x in zip(*held))))
+        arrays = {}
+        for name, values in columns.items():
+            if name == "doc":
+                arrays[name] = ids.take(pa.array(values))
+            else:
+                arrays[name] = pa.array(values.view(np.int64) if values.dtype == np.uint64 else values)
+        return pa.RecordBatch.from_pydict(arrays)
+
+    for columns in found:
+        held.append(columns)
+        size += len(columns[0])
+        if size > ROWS:
+            yield batch()
+            held, size = [], 0
+    if size:
+        yield batch()
+
+
+def _grams(docs: DataFrame) -> DataFrame:
+    """The short string of every run."""
+    return _anchored(docs, "short long", lambda hashes, codes, anchor, first, n, row, at: (hashes.spans(anchor, anchor + GRAM),))
+
+
+def _whole_runs(docs: DataFrame, seen: Broadcast) -> DataFrame:
+    """The runs whose short strings ``seen`` lets through."""
+
+    def pick(hashes, codes, anchor, first, n, row, at):
+        short = hashes.spans(anchor, anchor + GRAM)
+        keep = np.flatnonzero(_is_set(seen.value, short.view(np.int64)))
+        first, n = first[keep], n[keep]
+        return short[keep], hashes.spans(first, first + n - 1 + LENGTH), row[keep], at[keep], n.astype(np.int32)
+
+    return _anchored(docs, f"short long, long long, doc {_kind(docs)}, at long, n int", pick)
+
+
+def _open_runs(docs: DataFrame, texts: Broadcast, runs: Broadcast) -> DataFrame:
+    """The bytes of undecided runs, under 200 each, with the way from the first window to the anchor."""
+
+    def pick(hashes, codes, anchor, first, n, row, at):
+        keep = np.flatnonzero(_is_set(runs.value, at))
+        first, n = first[keep], n[keep]
+        body = np.empty(len(keep), object)
+        body[:] = [codes[a:b].tobytes() for a, b in zip(first.tolist(), (first + n - 1 + LENGTH).tolist())]
+        return row[keep], at[keep], n.astype(np.int32), (anchor[keep] - first).astype(np.int32), body
+
+    return _anchored(docs, f"doc {_kind(docs)}, at long, n int, lead int, body binary", pick, texts)
+
+
+def _within(runs: DataFrame, blocks: Broadcast | None, seen: Broadcast | None, count: bool) -> DataFrame:
+    """Blocks of windows of the undecided runs or, where ``blocks`` tells the undecided ones, single windows of those.
+
+    With ``count`` the short strings alone, else all columns of those that ``seen`` lets through.
+    """
+    schema = "short long" if count else f"short long, long long, doc {_kind(runs)}, at long, n int"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _batches(found(batch), batch.column(0), schema)
+
+    def found(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        data, off = _bytes_of(batch.column(4))
+        at, n, lead = (batch.column(i).to_numpy() for i in (1, 2, 3))
+        low = 0
+        while low < len(at):
+            high = max(low + 1, int(np.searchsorted(off, off[low] + BUFFER, "right")) - 1)
+            first = off[low:high] - off[low]
+            hashes = Hashes(data[off[low] : off[high]])
+            short, long, row, window, size = _split(hashes, first, n[low:high].astype(np.int64), first + lead[low:high], at[low:high] - first)
+            keep = np.flatnonzero(_is_set(seen.value if seen is not None else None, short.view(np.int64)))
+            if count:
+                yield (short[keep],)
+            else:
+                place = window[keep] + (at[low:high] - first)[row[keep]]
+                yield short[keep], long[keep], row[keep] + low, place, size[keep].astype(np.int32)
+            low = high
+
+    def _split(hashes, first, n, anchor, shift):
+        row, window = _every(first, n)
+        block = (anchor[row] - window) // BLOCK
+        start = np.flatnonzero(np.concatenate(([True], (block[1:] != block[:-1]) | (row[1:] != row[:-1]))))
+        size = np.diff(np.append(start, len(window)))
+        row, window, block = row[start], window[start], block[start]
+        if blocks is None:
+            # all windows of a full block share these bytes, whether the run holds all of them or not
+            low = anchor[row] - block * BLOCK
+            return hashes.spans(low, low - (BLOCK - 1) + LENGTH), hashes.spans(window, window + size - 1 + LENGTH), row, window, size
+        live = _is_set(blocks.value, window + shift[row])
+        row = row[live]
+        of, window = _every(window[live], size[live])
+        whole = hashes.spans(window, window + LENGTH)
+        return whole, whole, row[of], window, np.ones(len(window), np.int64)
+
+    return runs.mapInArrow(run, schema)
+
+
+def _every(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All windows of runs, with the number of the run of each."""
+    row = np.repeat(np.arange(len(n)), n)
+    return row, first[row] + np.arange(len(row)) - (np.cumsum(n) - n)[row]
+
+
+def _kind(df: DataFrame) -> str:
+    return df.schema["doc"].dataType.simpleString()
 
 
 def _bitmap(values: DataFrame) -> Broadcast:
@@ -229,14 +322,27 @@ def _bitmap(values: DataFrame) -> Broadcast:
     return spark.sparkContext.broadcast(out)
 
 
-def _decided(rows: DataFrame) -> DataFrame:
-    """``(doc, at, n, repeated)``: repeated runs, and those that are open."""
+def _decided(rows: DataFrame, last: bool) -> DataFrame:
+    """``(doc, at, n, repeated)``: repeated runs, and those that are open; on the last level none is open."""
+    path = new_folder(rows.sparkSession, "ranked-runs")
+    rows.write.parquet(path)
+    rows = rows.sparkSession.read.schema(rows.schema).parquet(path)
     groups = rows.groupBy("short", "long").agg(F.min(F.struct("doc", "at", "n")).alias("first"), F.count(F.lit(1)).alias("m"))
-    several = groups.groupBy("short").agg(F.count(F.lit(1)).alias("ways")).filter("ways > 1")
-    open_runs = groups.join(several, "short").select("first.doc", "first.at", "first.n", F.lit(False).alias("repeated"))
     later = rows.join(groups.filter("m > 1").select("short", "long", "first"), ["short", "long"])
     later = later.filter(~(F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("at") == F.col("first.at"))))
-    return stage(open_runs.unionByName(later.select("doc", "at", "n", F.lit(True).alias("repeated"))), "runs")
+    found = later.select("doc", "at", "n", F.lit(True).alias("repeated"))
+    if not last:
+        several = groups.groupBy("short").agg(F.count(F.lit(1)).alias("ways")).filter("ways > 1")
+        still = groups.join(several, "short").select("first.doc", "first.at", "first.n", F.lit(False).alias("repeated"))
+        found = still.unionByName(found)
+    found = stage(found, "runs")
+    delete_folder(rows.sparkSession, path)
+    return found
+
+
+def _several(strings: DataFrame) -> Broadcast:
+    """A bitmap of the strings that occur more than once."""
+    return _bitmap(strings.groupBy("short").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("short"))
 
 
 def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -245,18 +351,19 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     Texts are ordered by id (null first), then by a hash of the text; ``tag`` is that hash.
     """
     tagged = docs.select(F.col(key).alias("doc"), _tag(text).alias("tag"), F.col(text).alias("text")).filter(F.octet_length("text") >= LENGTH)
-    found, filters = [], [None, None, None]
-    for level in range(3):
-        counted = _emit(tagged, level, None, filters).groupBy("short").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("short")
-        rows = stage(_emit(tagged, level, _bitmap(counted), filters), "ranked-runs")
-        decided = _decided(rows)
+    decided = _decided(_whole_runs(tagged, _several(_grams(tagged))), last=False)
+    found = [decided.filter("repeated")]
+    still = decided.filter(~F.col("repeated"))
+    if not still.isEmpty():
+        texts = _bitmap(still.select((F.col("at") - F.col("at").bitwiseAND(F.lit(PLACE))).alias("v")))
+        runs = stage(_open_runs(tagged, texts, _bitmap(still.select("at"))), "open-runs")
+        decided = _decided(_within(runs, None, None, count=False), last=False)
         found.append(decided.filter("repeated"))
         still = decided.filter(~F.col("repeated"))
-        if level == 2 or still.isEmpty():
-            break
-        if level == 0:
-            filters[0] = _bitmap(still.select((F.col("at") - F.col("at").bitwiseAND(F.lit(PLACE))).alias("v")))
-        filters[level + 1] = _bitmap(still.select("at"))
+        if not still.isEmpty():
+            blocks = _bitmap(still.select("at"))
+            seen = _several(_within(runs, blocks, None, count=True))
+            found.append(_decided(_within(runs, blocks, seen, count=False), last=True))
     spans = found[0]
     for part in found[1:]:
         spans = spans.unionByName(part)
