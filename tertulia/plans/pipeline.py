@@ -185,7 +185,7 @@ def classify_and_report(
     out(labels, "topic_names")
     naming.request_table(naming.topic_prompt(terms, context, title_language)).write.mode(mode).json(layout.table("topic_requests"))
     # the view of the model: all its weights, and the posts' words shared out by their mixes
-    weights = tm.topic_terms(model, counter, len(counter.vocabulary))
+    weights = tm.topic_weights(model)
     modelled = stage(relevance.model_terms(weights, posts), "model-terms")
     out(relevance.term_relevance(modelled), "term_relevance")
     distances = stage(relevance.topic_distance(modelled), "topic-distances")

@@ -238,3 +238,36 @@ def test_topic_map_keeps_distances(spark):
     assert [r.y for r in rows] == pytest.approx([0, 0, 0], abs=1e-6)
     one = topic_map(far.limit(0), terms.where("topic = 0")).collect()
     assert [tuple(r) for r in one] == [(0, 0.0, 0.0, 1.0)]
+
+
+def test_a_model_in_slabs_and_blocks(spark, tmp_path, monkeypatch):
+    """No part holds all terms or posts; mixes are those of plain inference, ranks those of the whole matrix."""
+    import numpy as np
+
+    from tertulia.operators import lda
+
+    monkeypatch.setattr(lda, "SLAB_TERMS", 3)
+    monkeypatch.setattr(lda, "BLOCK_POSTS", 5)
+    rng = random.Random(8)
+    lists = [[rng.choice("abcdefgh" if i % 2 else "opqrstuvwxyz") + "x" for _ in range(rng.randrange(0, 30))] for i in range(60)]
+    docs = token_table(spark, [*lists, None, ["ax", None, "zzz"]]).drop("topic")
+    vectors = tm.vectorize(docs, tm.LdaSettings(min_df=2))
+    model = tm.lda_fit(vectors, 2)
+    assert vectors.counter.table.count() > 4 and vectors.table.select("block").distinct().count() > 4
+    words, matrix = vectors.counter.vocabulary, model.topicsMatrix().toArray()
+    assert set(words) == {w for ws in lists for w in ws} and len(words) == len(matrix) == vectors.counter.size
+    assert model.totals == pytest.approx(matrix.sum(0))
+    share = matrix / matrix.sum(0)
+    for t in range(2):
+        want = sorted(range(len(words)), key=lambda i: (-share[i, t], words[i]))[:6]
+        got = tm.topic_terms(model, vectors.counter, 6).where(F.col("topic") == t).orderBy("rank").collect()
+        assert [(r.word, pytest.approx(r.weight)) for r in got] == [(words[i], share[i, t]) for i in want]
+    assert tm.topic_weights(model).count() == 2 * len(words)
+    beta = np.exp(lda._digamma(matrix) - lda._digamma(matrix.sum(0)))
+    for r in tm.classify(docs, model, vectors.counter).collect():
+        uses = Counter(w for w in r.processed or [] if w in words)
+        rows, n, gamma = beta[[words.index(w) for w in uses]], np.array(list(uses.values())), np.ones(2)
+        for _ in range(2000 if uses else 0):
+            theta = np.exp(lda._digamma(gamma) - lda._digamma(gamma.sum()))
+            gamma = 1 + theta * (rows.T @ (n / (rows @ theta)))
+        assert r.topic_proba == pytest.approx(gamma / gamma.sum(), abs=1e-3)
