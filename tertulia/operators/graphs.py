@@ -279,7 +279,8 @@ def top_sqrt_edges(pairs: DataFrame, ranked: int = RANKED) -> DataFrame:
     limits = proper.groupBy("topic").agg(F.ceil(F.sqrt(F.count(F.lit(1)))).alias("limit"))
     # a separator below all letters keeps the order of the words
     order = F.concat(number_text(-F.col("n")), "word", F.lit("\u0001"), "next_word")
-    return first_rows(proper, order, limits, ["topic"], ranked).select("topic", "word", "next_word", "n")
+    # the first round counts the pairs of each number of uses, 20 digits: there are few of them
+    return first_rows(proper, order, limits, ["topic"], ranked, lead=20).select("topic", "word", "next_word", "n")
 
 
 def topic_story(edges: DataFrame, steps: int = 4) -> DataFrame:

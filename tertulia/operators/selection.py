@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tertulia.session import stage
 
-# Up to so many rows are ranked by one task.
-RANKED = 10_000
+# Up to so many rows are ranked by one task. Spark keeps no more than the limit per task before the shuffle only up to
+# ``spark.sql.optimizer.windowGroupLimitThreshold``, 1,000 by default; beyond it one task would read a whole group.
+RANKED = 1_000
 # Characters that each round adds to the prefix.
 STEP = 3
 
@@ -24,13 +25,15 @@ def number_text(number: Column) -> Column:
 
 
 def first_rows(
-    df: DataFrame, order: Column, limits: DataFrame | int, group: list[str] | None = None, ranked: int = RANKED, step: int = STEP
+    df: DataFrame, order: Column, limits: DataFrame | int, group: list[str] | None = None, ranked: int = RANKED, step: int = STEP,
+    lead: int = STEP,
 ) -> DataFrame:
     """Of each group the ``limits`` rows whose text ``order`` comes first; ``limits`` is a number or a small table
     ``(group columns, limit)`` of one row per group. Texts should tell the rows of a group apart; of rows with equal texts
     at the limit any may stay, and one task ranks them. Rows without a text come last.
 
-    Each round reads ``order`` and the group columns of ``df`` once: hand over a stored table.
+    Each round reads ``order`` and the group columns of ``df`` once: hand over a stored table. ``lead`` is the length of the
+    first prefix, for texts that begin with a number of few distinct values.
     """
     group = group or []
     if isinstance(limits, int):
@@ -39,11 +42,12 @@ def first_rows(
     state = limits.select(*group, F.col("limit").cast("long").alias("_left"), F.lit("").alias("_prefix"), F.lit(False).alias("_all"))
     state = stage(state.where("_left > 0"), "selection")
     keyed = df.select(*group, order.alias("_order"))
+    ranked = min(ranked, int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", str(RANKED))))
     if (state.agg(F.max("_left")).first()[0] or 0) <= ranked:
         return _ranked(df, order, state, group)
     while True:
         inside = _beside(keyed, state, group).where(~F.col("_all") & F.startswith("_order", F.col("_prefix")))
-        width = F.length("_prefix") + step
+        width = F.when(F.length("_prefix") == 0, F.lit(lead)).otherwise(F.length("_prefix") + step)
         counts = inside.groupBy(*group, "_prefix", "_left", F.substring("_order", F.lit(1), width).alias("_next"))
         counts = counts.agg(F.count(F.lit(1)).alias("_n"))
         # some thousand prefixes per group, whatever its size

@@ -39,3 +39,19 @@ def test_samples_do_not_depend_on_the_way(spark, monkeypatch):
     monkeypatch.setattr(dedupe, "first_rows", lambda *a: first_rows(*a, ranked=5))
     assert few == {r.post_id for r in dedupe.sample_n(df, 60).collect()}
     assert [r.post_id for r in profile.head_n(df, 3).orderBy("post_id").collect()] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("lead", [3, 20])
+def test_long_limits_are_found_by_counting(spark, monkeypatch, lead):
+    """Spark cuts ranks before the shuffle up to 1,000 rows; beyond, no group is ranked whole."""
+    from tertulia.operators import selection
+
+    states, ranked = [], selection._ranked
+    monkeypatch.setattr(selection, "_ranked", lambda df, order, state, group: states.append(state) or ranked(df, order, state, group))
+    df = spark.range(9000).select((F.col("id") % 2).alias("topic"), (F.col("id") % 900).alias("n"), "id")
+    order = F.concat(number_text(-F.col("n")), F.lpad(F.col("id").cast("string"), 5, "0"))
+    limits = spark.createDataFrame([(0, 1500), (1, 1003)], "topic int, limit int")
+    got = {(r.topic, r.id) for r in first_rows(df, order, limits, ["topic"], lead=lead).collect()}
+    rows = sorted((-(i % 900), i) for i in range(9000))
+    want = {(t, i) for t, n in ((0, 1500), (1, 1003)) for _, i in [r for r in rows if r[1] % 2 == t][:n]}
+    assert got == want and all(r._prefix for r in states[0].collect())
