@@ -84,27 +84,36 @@ def _words_and_pairs(links: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def phrase_counts(df: DataFrame, column: str = "processed") -> DataFrame:
-    """Counts ``(a, b, n)`` of words (``b`` null) and of adjacent pairs, from one pass over the tokens."""
-    words, pairs = _words_and_pairs(_followers(df, column))
+    """Counts ``(a, b, n)`` of words (``b`` null) and of adjacent pairs, from one pass over the tokens.
+
+    The links are written once: the filter of the pairs would move below their count, and the texts be cleaned for each side.
+    """
+    words, pairs = _words_and_pairs(stage(_followers(df, column), "followers"))
     return words.select("a", F.lit(None).cast("string").alias("b"), "n").unionByName(pairs)
 
 
 def phrase_model(df: DataFrame, min_count: int = 5, threshold: float = 20.0, column: str = "processed") -> DataFrame:
     """Pairs worth merging: ``(n_ab - min_count) / (n_a * n_b) * V`` above ``threshold`` (Mikolov et al. 2013).
 
-    ``V`` is the number of distinct words plus distinct pairs. The counts are written once: the pairs that can pass
-    (``n_ab > min_count``) are then a filter on the stored table. They meet the word counts in two joins on unique keys,
-    whose skewed partitions the adaptive plan splits.
+    ``V`` is the number of distinct words plus distinct pairs. Only pairs that can pass (``n_ab > min_count``) are written;
+    of all others, most of them, one row says how many there are. The pairs meet the word counts in two joins on unique
+    keys, whose skewed partitions the adaptive plan splits. ``df`` is read twice: hand over a stored table.
     """
-    links = stage(_followers(df, column), "followers")
-    words, pairs = _words_and_pairs(links)
-    words = stage(words, "words")
-    size = words.count() + pairs.count()
+    tokens = F.col(column)
+    words = df.select(F.explode(F.slice(tokens, F.lit(1), F.greatest(F.size(tokens), F.lit(0)))).alias("a"))
+    words = stage(words.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "words")
+    links = df.select(F.explode(adjacent(tokens)).alias("u")).select("u.a", "u.b").where("b is not null")
+    links = links.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    frequent = [F.when(F.col("n") > min_count, F.col(c)).alias(c) for c in ("a", "b")]
+    links = links.select(*frequent, "n").groupBy("a", "b").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("_pairs"))
+    links = stage(links, "followers")
+    size = words.count() + (links.agg(F.sum("_pairs")).first()[0] or 0)
+    pairs = links.where("b is not null").drop("_pairs")
     # as doubles: the product of two large counts does not fit a long
     left = words.select("a", F.col("n").cast("double").alias("n_a"))
     right = words.select(F.col("a").alias("b"), F.col("n").cast("double").alias("n_b"))
     score = (F.col("n") - min_count) / (F.col("n_a") * F.col("n_b")) * F.lit(float(size))
-    scored = pairs.where(F.col("n") > min_count).join(left, "a").join(right, "b").withColumn("score", score)
+    scored = pairs.join(left, "a").join(right, "b").withColumn("score", score)
     return scored.where(F.col("score") > threshold).select("a", "b", "n", "score")
 
 

@@ -554,7 +554,7 @@ def phrase_counts(spark, sf_dir):
 
 @query
 def phrase_model(spark, sf_dir):
-    return _rounded(tk.phrase_model(fx.tokens(spark, sf_dir)), "score")
+    return _rounded(tk.phrase_model(stage(fx.tokens(spark, sf_dir).select("processed"), "tokens")), "score")
 
 
 @query

@@ -201,3 +201,46 @@ def test_repeated_posts_are_counted_by_digest(spark):
     grouped = [line for line in counts._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line]
     assert len(grouped) == 1 and "Aggregate [_groupingexpression" in grouped[0]
     assert profile.repeated_posts(df.limit(0)).count() == 0
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_phrase_counts_clean_once(spark):
+    from tertulia.operators import tokens as tk
+
+    posts = spark.createDataFrame([(1, "uno dos uno dos"), (2, "uno"), (3, None)], "post_id long, content string")
+    got = tk.phrase_counts(tk.clean_posts(posts))
+    assert "regexp" not in plan(got)
+    assert {tuple(r) for r in got.collect()} == {("uno", None, 3), ("dos", None, 2), ("uno", "dos", 2), ("dos", "uno", 1)}
+
+
+def test_rare_pairs_are_counted_not_stored(spark, monkeypatch):
+    from tertulia.operators import tokens as tk
+
+    stored = {}
+    monkeypatch.setattr(tk, "stage", lambda df, label, keep=tk.stage: stored.setdefault(label, keep(df, label)))
+    lists = [["a", "b"]] * 8 + [[f"x{i}", f"y{i}"] for i in range(50)] + [["a"], [], None]
+    got = tk.phrase_model(token_table(spark, lists), min_count=5, threshold=0.0).collect()
+    # 102 words and 51 pairs
+    assert [(r.a, r.b, r.n, r.score) for r in got] == [("a", "b", 8, pytest.approx((8 - 5) / (9 * 8) * 153))]
+    assert stored["followers"].count() == 2
+
+
+def test_tokens_of_bad_length_are_never_made(spark):
+    from tertulia.functions import text
+
+    rows = spark.createDataFrame([("a bb " + "c" * 15 + " " + "d" * 16 + " _ee ñu1xx\u216f\u216f " + "é" * 40,)], "t string")
+    got = rows.select(text.tokenize(F.col("t"), False).alias("w"))
+    assert got.first().w == ["bb", "c" * 15, "ñu", "xx\u217f\u217f"] and "filter" not in plan(got)
+
+
+def test_an_export_folder_is_written_in_as_many_files_as_there_are_parts(spark, sf, monkeypatch):
+    from tertulia.plans import queries
+    from tertulia.sources import files
+
+    seen, write = [], files.write_csv
+    monkeypatch.setattr(files, "write_csv", lambda df, path: seen.append(plan(df)) or write(df, path))
+    queries.queries()["scan_csv_dir"](spark, sf)
+    assert "Repartition 4" not in seen[0]
