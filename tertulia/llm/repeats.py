@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tertulia.llm.tables import box, delete_folder, unbox
+from tertulia.llm.tables import box, delete_folder, free_shuffles, unbox
 from tertulia.session import new_folder, stage
 
 LENGTH = 100
@@ -319,27 +319,44 @@ def _bitmap(values: DataFrame) -> Broadcast:
     out = np.zeros(bits // 8, np.uint8)
     for row in placed.groupBy("part").agg(F.bitmap_construct_agg("place").alias("b")).collect():  # BITS bits at most
         out[row["part"] * 4096 : row["part"] * 4096 + 4096] |= np.frombuffer(row["b"], np.uint8)[: len(out)]
+    free_shuffles(spark)
     return spark.sparkContext.broadcast(out)
 
 
 def _decided(rows: DataFrame, last: bool) -> DataFrame:
-    """``(doc, at, n, repeated)``: repeated runs, and those that are open; on the last level none is open."""
-    path = new_folder(rows.sparkSession, "ranked-runs")
+    """``(doc, at, n, repeated)``: repeated runs, and those that are open; on the last level none is open.
+
+    The two are found one after the other, so that the shuffles of one are gone when the other begins.
+    """
+    spark, path = rows.sparkSession, new_folder(rows.sparkSession, "ranked-runs")
     rows.write.parquet(path)
-    rows = rows.sparkSession.read.schema(rows.schema).parquet(path)
-    groups = rows.groupBy("short", "long").agg(F.min(F.struct("doc", "at", "n")).alias("first"), F.count(F.lit(1)).alias("m"))
-    later = rows.join(groups.filter("m > 1").select("short", "long", "first"), ["short", "long"])
-    later = later.filter(~(F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("at") == F.col("first.at"))))
-    found = later.select("doc", "at", "n", F.lit(True).alias("repeated"))
+    rows = spark.read.schema(rows.schema).parquet(path)
+    found = stage(_repeated(rows), "runs")
+    free_shuffles(spark)
     if not last:
-        several = groups.groupBy("short").agg(F.count(F.lit(1)).alias("ways")).filter("ways > 1")
-        still = groups.join(several, "short").select("first.doc", "first.at", "first.n", F.lit(False).alias("repeated"))
-        found = still.unionByName(found)
-    found = stage(found, "runs")
-    delete_folder(rows.sparkSession, path)
+        found = stage(_undecided(rows), "runs").unionByName(found)
+    delete_folder(spark, path)
+    free_shuffles(spark)
     return found
 
 
+def _groups(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("short", "long").agg(F.min(F.struct("doc", "at", "n")).alias("first"), F.count(F.lit(1)).alias("m"))
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """All but the first of runs with equal bytes."""
+    later = rows.join(_groups(rows).filter("m > 1").select("short", "long", "first"), ["short", "long"])
+    later = later.filter(~(F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("at") == F.col("first.at"))))
+    return later.select("doc", "at", "n", F.lit(True).alias("repeated"))
+
+
+def _undecided(rows: DataFrame) -> DataFrame:
+    """The first of runs with equal bytes where runs of other bytes have the same short string."""
+    several = rows.groupBy("short").agg((F.min("long") < F.max("long")).alias("several")).filter("several").select("short")
+    return _groups(rows).join(several, "short").select("first.doc", "first.at", "first.n", F.lit(False).alias("repeated"))
+
+
 def _several(strings: DataFrame) -> Broadcast:
     """A bitmap of the strings that occur more than once."""
     return _bitmap(strings.groupBy("short").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("short"))
@@ -398,7 +415,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     result; rows without an id come first in the order.
     """
     spans = repeated_runs(docs, key, text).groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
-    spans = stage(spans, "removed-spans").withColumnRenamed("doc", "_doc").withColumnRenamed("tag", "_tag")
+    spans = stage(spans, "removed-spans")
+    free_shuffles(docs.sparkSession)
+    spans = spans.withColumnRenamed("doc", "_doc").withColumnRenamed("tag", "_tag")
     body = F.coalesce(docs[text], F.lit(""))
     rows = box(docs, doc=docs[key], tag=_tag(text), text=body)
     same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("tag") == F.col("_tag"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -59,6 +60,14 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished queries deleted: Spark does that when the driver collects its garbage, which a
+    driver with memory left puts off while the disks fill. The last query's files go with the second collection."""
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)
+    spark.sparkContext._jvm.System.gc()
+
+
 def box(docs: DataFrame, **named: Column) -> DataFrame:
     """All columns of ``docs`` as one column ``row`` beside the named ones, so that no name of the input can clash."""
     return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in named.items()])

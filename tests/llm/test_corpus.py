@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +33,27 @@ def test_repeats_of_hard_texts(spark, monkeypatch, part):
     assert by_id(found, "n_bytes", "n_removed", "n_spans", "sha") == brute.suffix_dedup(data)
 
 
+def _shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = disk.getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_repeats_leave_no_shuffles_behind(spark):
+    """Decided runs are stored; the shuffles they came from, several times the input, go before the next step begins."""
+    rows = [(s % 5, s % 3, s, 0, 1) for s in range(60)]
+    runs = spark.createDataFrame(rows, "short long, long long, doc long, at long, n int")
+    before = _shuffle_files(spark)
+    found = repeats._decided(runs, last=False)
+    for _ in range(50):
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert found.filter("repeated").count() == 45 and found.filter("not repeated").count() == 15
+
+
 def test_repeats_of_odd_rows(odd):
     assert repeats.remove_repeats(odd.withColumn("kept", F.lit(1))).count() == odd.count()
     assert repeats.remove_repeats(odd.limit(0)).count() == 0
