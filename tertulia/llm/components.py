@@ -13,18 +13,19 @@ def connected(links: DataFrame) -> DataFrame:
     """``links (a, b)`` between different ids; gives ``(node, component)`` for all nodes, the component being its least id.
 
     Every round keeps the components and hangs nodes on smaller neighbours, so the number of rounds grows with the
-    logarithm of the longest path. Each round is a stored table; a node of very many links is one group of a sum in the
-    one join and a splittable key in the other.
+    logarithm of the longest path. Each round is a stored table of at most as many rows as there are links, and shuffles
+    them four times; the links of one node to smaller ones meet in one task, in sums and joins that spill.
     """
     spark = links.sparkSession
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     kept, mark = _write(edges)
     while True:
         edges = spark.read.schema(edges.schema).parquet(kept)
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        lower = large.filter("u <> v").distinct()
+        least = edges.groupBy("u").agg(F.min("v").alias("m"))
+        # larger neighbours of a node hang on its least neighbour, or on the node itself
+        large = edges.join(least.select(F.col("u").alias("v"), "m"), "v", "left").select("u", F.coalesce("m", "v").alias("v"))
+        # dealt once, for the sum and for the join
+        lower = large.filter("u <> v").repartition("u")
         least = lower.groupBy("u").agg(F.min("v").alias("m"))
         # a node and its smaller neighbours all hang on the least of them
         small = lower.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tertulia.llm.components import connected
-from tertulia.llm.tables import box, map_rows, unbox
+from tertulia.llm.tables import box, free_shuffles, map_rows, unbox
 from tertulia.session import stage
 
 SHINGLE = 4
@@ -235,6 +235,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     repeat an id are documents of their own which share a name. Rows without an id are linked like others but name no
     component; where no linked row has an id, the component is null. Other columns are ignored.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     sets = stage(_sets(rows, length), "shingle-digests")
     classes = sets.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"), F.any_value("bands").alias("bands"))
@@ -246,7 +247,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     around = around.withColumns({"pc": F.col("p.c"), "xc": F.col("x.c")})
     compared = stage(_with_sets(around, full, "pc", "xc").select("p", "x", _linked(percent).alias("linked")), "compared")
     links = compared.filter("linked").select(F.col("p.c").alias("a"), F.col("x.c").alias("b")).distinct()
+    free_shuffles(spark)
     groups = connected(links)
+    free_shuffles(spark)
 
     sizes = compared.groupBy("p").agg((F.count(F.lit(1)) > SMALL).alias("large"))
     labelled = compared.withColumn("node", F.col("x.c")).join(groups, "node", "left").withColumn("g", F.coalesce("component", "node"))
@@ -254,14 +257,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     rest = _pairs_of_small(labelled.filter("NOT large"), percent)
     more = _with_sets(rest, full, "a", "b").select("a", "b", _linked(percent).alias("linked")).filter("linked").select("a", "b")
     more = stage(more.unionByName(_blocks_of_large(labelled.filter("large"), full, percent)), "links")
+    free_shuffles(spark)
     if not more.isEmpty():
-        groups = connected(links.unionByName(more))
+        # the components found before stand for their links
+        groups = connected(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    free_shuffles(spark)
 
-    named = classes.select("n", "d1", "d2", "rep", F.struct("d1", "d2").alias("node")).join(groups, "node")
+    named = classes.select("n", "d1", "d2", "rep", F.struct("d1", "d2").alias("node")).join(groups, "node", "left")
+    named = named.withColumn("component", F.coalesce("component", "node"))
     ids = named.groupBy("component").agg(F.min("rep").alias("least"))
-    linked = named.join(ids, "component").select("n", "d1", "d2", "least")
-    alone = classes.join(linked, ["n", "d1", "d2"], "left_anti").select("n", "d1", "d2", F.col("rep").alias("least"))
-    of_class = stage(linked.unionByName(alone), "class-components")
+    of_class = stage(named.join(ids, "component").select("n", "d1", "d2", "least"), "class-components")
     out = sets.drop("bands").join(of_class, ["n", "d1", "d2"], "left")
     return out.select(F.col("doc").alias(key), "d1", "d2", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
 

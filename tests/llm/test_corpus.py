@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import time
 
 import pytest
@@ -258,6 +259,24 @@ def test_components_of_random_graphs(spark):
     assert {r.node: r.component for r in found} == {x: find(x) for x in parent} and len(found) == len(parent)
 
 
+def test_a_round_of_components_shuffles_four_times(spark, monkeypatch):
+    plans, write = [], components._write
+
+    def written(edges):
+        edges.collect()
+        plans.append(edges._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0])
+        return write(edges)
+
+    monkeypatch.setattr(components, "_write", written)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = components.connected(spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r.component for r in found} == {0} and len(found) == 41
+    assert len(plans) > 2 and all(len(re.findall(r"[+:]- Exchange hash", p)) <= 4 for p in plans)
+
+
 def test_contamination(spark, sf, rows):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     names = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
