@@ -157,6 +157,19 @@ def test_posts_without_known_terms_get_the_prior(spark):
     assert all(sum(r.topic_proba) == pytest.approx(1) for r in rows)
 
 
+def test_a_round_asks_the_driver_for_few_jobs(spark):
+    vectors = tm.vectorize(token_table(spark, [["a", "b"], ["a", "c"], ["b", "c", "c"]] * 10))
+    sc, jobs = spark.sparkContext, {}
+    for passes in (1.0, 2.0):
+        sc.setJobGroup(f"rounds-{passes}", "rounds of a fit")
+        tm.lda_fit(vectors, 2, tm.LdaSettings(passes=passes, batch=0.5))
+        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        jobs[passes] = len(sc.statusTracker().getJobIdsForGroup(f"rounds-{passes}"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    # the two more rounds: their table, and one query of their sums that shuffles nothing
+    assert 0 < (jobs[2.0] - jobs[1.0]) / 2 <= 7
+
+
 def test_all_terms_are_kept_or_fitting_stops(spark):
     docs = token_table(spark, [[f"t{i}" for i in range(40)], ["t1"]])
     assert len(tm.vectorize(docs).counter.vocabulary) == 40
