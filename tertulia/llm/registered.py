@@ -28,8 +28,7 @@ def _held_out() -> Column:
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Fitted on labelled rows that are not held out."""
-    texts, toxic = toxicity.sample(docs, labels.filter(~_held_out()), "doc_id", "text", "toxic", toxicity.Settings())
-    return toxicity.fit(texts, toxic)
+    return toxicity.learn(docs, labels.filter(~_held_out()), "doc_id", "text", "toxic")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Each word has the n-grams of its characters (``NGRAMS`` long, blanks at both ends included) and itself as features, hashed
 into ``BUCKETS`` embeddings. A window of ``WINDOW`` words is the average of its words, a word the average of its features,
-and a linear softmax over that average tells the classes. Embeddings and softmax are trained together, in numpy on the
-driver, on a bounded sample of labelled texts. A misspelt word shares most n-grams with the word it stands for, so it is
+and a linear softmax over that average tells the classes. Embeddings and softmax are trained together, in numpy in one
+task, on a bounded sample of labelled texts; the driver gets the model alone. A misspelt word shares most n-grams with the word it stands for, so it is
 scored without having been seen. A text is as toxic as its most toxic window, in training and in scoring, so length does
 not dilute a short insult.
 
@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -291,17 +292,39 @@ def _telling(ids: list[np.ndarray], y: np.ndarray, vocabulary: list[str], settin
     return above(1, 0) | above(0, 1), n_features
 
 
-def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, settings: Settings) -> tuple[list[str], list[int]]:
-    """At most ``toxic`` and ``clean`` labelled texts of the classes, chosen by a hash of the key."""
+def _sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, settings: Settings) -> DataFrame:
+    """At most ``toxic`` and ``clean`` labelled texts ``(t, y)`` of the classes, chosen by a hash of the key, beside the key."""
     picked = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("y"))
     order = [F.xxhash64(key), F.col(key)]
     ids = [picked.filter(F.col("y") == y).orderBy(*order).limit(most) for y, most in ((0, settings.clean), (1, settings.toxic))]
     rows = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("_text")).filter(F.length("_text") <= settings.longest)
     # rows that repeat a key give one text
-    found = rows.join(F.broadcast(ids[0].unionByName(ids[1])), key).groupBy(key, "y").agg(F.min("_text").alias("t")).orderBy(*order).collect()
+    return rows.join(F.broadcast(ids[0].unionByName(ids[1])), key).groupBy(key, "y").agg(F.min("_text").alias("t"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, settings: Settings) -> tuple[list[str], list[int]]:
+    """The texts that :func:`learn` trains on, and their labels, on the driver."""
+    found = _sampled(docs, labels, key, text, label, settings).orderBy(F.xxhash64(key), key).collect()
     return [r["t"] for r in found], [r["y"] for r in found]
 
 
+def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, settings: Settings = Settings()) -> Model:
+    """:func:`fit` on the :func:`sample`, in one task."""
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            toxic += batch.column(1).to_pylist()
+        model = fit(texts, toxic, settings)
+        yield pa.record_batch([pa.array([model.table.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], names=["table", "bias"])
+
+    found = _sampled(docs, labels, key, text, label, settings).repartition(1).sortWithinPartitions(F.xxhash64(key), key)
+    row = found.select("t", "y").mapInArrow(train, "table binary, bias double").first()
+    # an empty table may have no task
+    return Model(np.frombuffer(row.table, np.float64), row.bias) if row else fit([], [], settings)
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
     """All columns of ``docs`` plus the score from 0 to 1. A null, empty or blank text gets the score of no words."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a fixed size: one number per bucket

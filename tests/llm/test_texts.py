@@ -224,6 +224,19 @@ def test_misspelt_words_share_features():
     assert model.score("one two horribble three") > 0.5 > model.score("one two pleasannt three")
 
 
+def test_toxicity_is_learnt_in_a_task(spark, monkeypatch):
+    """The model of the sample, without the sample's texts on the driver; none at all gives the model without texts."""
+    rows = [(i, f"you are {'awful trash' if i % 3 == 0 else 'kind and calm'} number {i} of many {i * 7}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 3 == 0) for i in range(120)], "doc_id long, toxic boolean")
+    want = toxicity.fit(*toxicity.sample(docs, labels.filter(~registered._held_out()), "doc_id", "text", "toxic", toxicity.Settings()))
+    monkeypatch.setattr(toxicity, "sample", lambda *a: pytest.fail("texts on the driver"))
+    got = registered.toxicity_model(docs, labels)
+    assert got.table == pytest.approx(want.table) and got.bias == pytest.approx(want.bias)
+    assert got.score("awful trash") > 0.5 > got.score("kind and calm")
+    assert registered.toxicity_model(docs, labels.limit(0)).score("x") < 0.5
+
+
 def test_toxicity_of_odd_rows(odd):
     model = toxicity.fit(["bad"], [1])
     scored = toxicity.score(odd, model, into="row")
