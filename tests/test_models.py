@@ -284,3 +284,63 @@ def test_a_model_in_slabs_and_blocks(spark, tmp_path, monkeypatch):
             theta = np.exp(lda._digamma(gamma) - lda._digamma(gamma.sum()))
             gamma = 1 + theta * (rows.T @ (n / (rows @ theta)))
         assert r.topic_proba == pytest.approx(gamma / gamma.sum(), abs=1e-3)
+
+
+def test_posts_leap_to_where_steps_end():
+    """Topics that hardly differ: plain steps crawl. Leaps need few steps and end at rest, as the same posts do beside others."""
+    import numpy as np
+
+    from tertulia.operators import lda
+
+    rng = np.random.default_rng(4)
+    beta = rng.gamma(100, 0.01, (500, 4)) / 500
+    lengths = np.array([40, 3, 41, 40, 1, 300, 33])
+    at = np.concatenate([rng.choice(500, n, False) for n in lengths])
+    at[84:124] = at[:40]
+    uses = rng.integers(1, 4, len(at))
+    uses[84:124] = uses[:40]
+    steps, step = [], lda._step
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(lda, "_step", lambda *a: steps.append(1) or step(*a))
+        start = np.ones((len(lengths), 4)) + np.arange(4) / 10
+        gamma, ratio = lda._infer(beta, at, uses, lengths, 1.0, start)
+    plain, ends = 0, np.cumsum(lengths)
+    for low, high, first, last, parts in zip(ends - lengths, ends, start, gamma, np.split(ratio, ends[:-1])):
+        rows, n = beta[at[low:high]], uses[low:high]
+        step_of = lambda g: 1 + lda._theta(g[None])[0] * (rows.T @ (n / (rows @ lda._theta(g[None])[0])))  # noqa: E731, B023
+        assert np.abs(step_of(last) - last).mean() < 1e-3
+        assert parts == pytest.approx(n / (rows @ lda._theta(last[None])[0]))
+        while np.abs(step_of(first) - first).mean() >= 1e-3:
+            first, plain = step_of(first), plain + 1
+    assert len(steps) < plain / 3
+    assert (gamma[0] == gamma[3]).all()
+    assert (lda._infer(beta, at[:40], uses[:40], lengths[:1], 1.0, start[:1])[0][0] == gamma[0]).all()
+    x = np.array([[1e-3, 0.3, 2.0, 1e6]])
+    assert lda._theta(x) == pytest.approx(np.exp(lda._digamma(x) - lda._digamma(x.sum(1))), rel=1e-9)
+
+
+def test_rounds_shuffle_no_posts(spark):
+    from tertulia.operators import lda
+
+    posts = spark.createDataFrame([], lda._BLOCK)
+    linked = spark.createDataFrame([], "slab int, block int, at binary")
+    counts, linked = lda._kept(lda._counts_of(posts), "block", 2), lda._kept(linked, "slab", 2)
+    weights = spark.createDataFrame([], lda._WEIGHTS)
+    plan = lda._inferred(counts, weights, linked, 2, lambda block, sent: sent, "slab int, block int, sent binary")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    counts.unpersist()
+    linked.unpersist()
+    # the slabs' weights and what they send; posts and links lie where they were put
+    assert text.count("InMemoryTableScan") == 2 and text.count("ENSURE_REQUIREMENTS") == 2
+
+
+@pytest.mark.parametrize("least", [1.0, 2, 0.2])
+def test_terms_are_those_of_the_vocabulary(spark, least):
+    from tertulia.operators import tokens as tk
+
+    rng = random.Random(5)
+    docs = token_table(spark, [*([rng.choice("abcdefghijñ\U0001F600") * rng.randrange(1, 4) for _ in range(rng.randrange(0, 9))] for _ in range(40)), None, [None, "a"]])
+    n = least if least >= 1 else least * docs.count()
+    want = {r.term for r in tk.vocabulary(docs).where(F.col("term").isNotNull() & (F.col("df") >= n)).collect()}
+    counter = tm.vectorize(docs, tm.LdaSettings(min_df=least)).counter
+    assert sorted(counter.vocabulary) == sorted(want) and counter.size == len(want)
